@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from plumbwright.functions.fixed import NUMBER_LABELS
 
@@ -54,3 +55,16 @@ def vector_add(a: Column, b: Column) -> Column:
 def vector_set(a: Column, index: int, value) -> Column:
     """A copy of the vector with one element replaced."""
     return F.transform(a, lambda x, i: F.when(i == index, F.lit(value)).otherwise(x))
+
+
+def describe(df: DataFrame, column: str) -> DataFrame:
+    """Widths, rank, type and row counts of an array column."""
+    c = F.col(column)
+    shapes = df.groupBy(F.size(c).alias("width")).agg(F.count(F.lit(1)).alias("n"))
+    dtype = df.schema[column].dataType
+    rank, inner = 0, dtype
+    while isinstance(inner, ArrayType):
+        rank, inner = rank + 1, inner.elementType
+    return shapes.select(
+        "width", F.lit(rank).alias("rank"), F.lit(dtype.simpleString()).alias("dtype"), "n"
+    )
