@@ -22,5 +22,11 @@ def windowed_profile(
 
 
 def drift_monitor(profiles: DataFrame, baseline: DataFrame, rules: list[Column]) -> DataFrame:
-    """Violations per window against a stored baseline profile."""
+    """Violations per window against a stored baseline profile.
+
+    Write it in append mode, where every window is judged once, when it closes.
+    In update mode a window that fired early and recovered would keep its alarm;
+    to judge open windows, store the updated profiles and apply the rules to the
+    stored table.
+    """
     return violations(profiles, baseline, rules)

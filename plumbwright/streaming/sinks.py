@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from plumbwright.functions.cells import field
 from plumbwright.sources.scratch import new_folder
@@ -40,6 +41,7 @@ def drain_updates(
     if query.exception() is not None:
         raise query.exception()
     values = [c for c in stream.columns if c not in keys]
-    updates = spark.read.schema(stream.schema.add("batch", "bigint")).parquet(out)
+    schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    updates = spark.read.schema(schema).parquet(out)
     latest = updates.groupBy(*[field(k) for k in keys]).agg(F.max_by(F.struct(*values), "batch").alias("v"))
     return latest.select(*[field(k) for k in keys], "v.*")
