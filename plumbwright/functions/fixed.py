@@ -11,11 +11,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same alphabet as the inside of a regex character class (Java and RE2 syntax).
-WHITESPACE_CLASS = (
-    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# The same alphabet as the inside of a Java character class, under flag (?U).
+WHITESPACE_CLASS = r"\s\x1c-\x1f"
 # Line terminators recognised when one text value holds a whole table.
 LINE_BREAK = r"\r\n|[\x0a-\x0d\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
@@ -31,14 +28,14 @@ FLOAT_CELL = (
 MISSING_LITERALS = ("", "NA", "N/A", "null", "NULL", "-", "?")
 
 # Access-log line.  Groups: 1 ip, 2 timestamp, 3 method, 4 path,
-# 5 status, 6 bytes, 7 milliseconds.  Anchored at the start only.
-_NOT_WS = f"[^{WHITESPACE_CLASS}]+"
+# 5 status, 6 bytes, 7 milliseconds.  Anchored at the start only; {ws} stands for
+# the whitespace class.
 LOG_LINE = (
     r"([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+) "
-    rf"{_NOT_WS} {_NOT_WS} "
+    r"[^{ws}]+ [^{ws}]+ "
     r"\[([^\]]+)\] "
-    rf'"([A-Z]+) ({_NOT_WS}) [^"]*" '
-    r"([0-9]{3}) "
+    r'"([A-Z]+) ([^{ws}]+) [^"]*" '
+    r"([0-9][0-9][0-9]) "
     r"([0-9]+|-) "
     r"([0-9]+)"
 )
@@ -61,9 +58,10 @@ SKY = {
 }
 
 # Sentence enders, paragraph break, share of a chunk after which a
-# sentence end may close it.
-SENTENCE_END = r"[.!?]"
-PARAGRAPH_BREAK = rf"\n[{WHITESPACE_CLASS}]*\n"
+# sentence end may close it; {ws} as above.
+SENTENCE_MARKS = (".", "!", "?")
+SENTENCE_END = "[.!?]"
+PARAGRAPH_BREAK = r"\n[{ws}]*\n"
 CHUNK_FLOOR = 0.67
 
 # Class names and divisors of the multi-branch number label.

@@ -39,12 +39,14 @@ def subset_mask(indices) -> int:
     return mask
 
 
-def parity_predict(bits: Column, indices, flip: Column | int = 0) -> Column:
-    """Parity of the chosen features, flipped when ``flip`` is 1.
+def masked_parity(bits: Column, mask: Column) -> Column:
+    """Parity of the masked bits: one population count instead of a loop."""
+    return F.bit_count(bits.bitwiseAND(mask)) % 2
+
 
-    One population count over a masked integer replaces a loop over features.
-    """
-    parity = F.bit_count(bits.bitwiseAND(F.lit(subset_mask(indices)).cast("bigint"))) % 2
+def parity_predict(bits: Column, indices, flip: Column | int = 0) -> Column:
+    """Parity of the chosen features, flipped when ``flip`` is 1."""
+    parity = masked_parity(bits, F.lit(subset_mask(indices)).cast("bigint"))
     return parity.bitwiseXOR(flip if isinstance(flip, Column) else F.lit(flip))
 
 

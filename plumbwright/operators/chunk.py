@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from plumbwright.functions import text as T
 from plumbwright.functions.cells import field
-from plumbwright.functions.fixed import CHUNK_FLOOR
+from plumbwright.functions.fixed import CHUNK_FLOOR, SENTENCE_MARKS
 
 
 def sentence_rows(df: DataFrame, id_columns: Sequence[str], text: str = "text") -> DataFrame:
@@ -42,57 +42,64 @@ def chunk_documents(
     chunk_size: int = 60,
     overlap: int = 10,
     prefer_boundary: bool = True,
-    tokenise: Callable[[Column], Column] = T.words,
+    tokenise: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Cut every document into chunks of at most ``chunk_size`` words.
 
-    ``tokenise`` maps a text column to an array of text; pass a pandas UDF to
-    measure in the tokens of a model instead of words.
+    ``tokenise`` replaces the word split: it maps a column of paragraph arrays
+    to arrays of token arrays, for example through a pandas UDF that calls the
+    tokenizer of a model.
     """
     if not 0 <= overlap < chunk_size:
         raise ValueError("overlap must be at least 0 and smaller than chunk_size")
     step = chunk_size - overlap
     floor = max(1, int(chunk_size * CHUNK_FLOOR))
+    ids = [field(c) for c in id_columns]
 
-    per_paragraph = F.transform(T.paragraphs(field(text)), tokenise)
-    staged = df.select(*[field(c) for c in id_columns], per_paragraph.alias("_p")).select(
-        *[field(c) for c in id_columns],
-        F.flatten("_p").alias("_w"),
-        F.flatten(F.transform("_p", _closes_sentence)).alias("_b"),
-    )
-    n = F.size("_w")
-    last = F.greatest(F.lit(0), F.ceil((n - chunk_size) / F.lit(step)).cast("int"))
+    if tokenise is None:
+        # A projection of its own, so that the trimmed text is computed once.
+        staged = df.select(*ids, T.plain_text(field(text)).alias("_t"))
+        staged = staged.select(*ids, T.marked_words(F.col("_t")).alias("_w"))
+    else:
+        staged = df.select(*ids, tokenise(T.paragraphs(field(text))).alias("_p"))
+        staged = staged.select(*ids, T.mark_paragraphs(F.col("_p")).alias("_w"))
 
-    def span(k: Column) -> Column:
+    def window(k: Column) -> Column:
         start = k * step
-        hard_end = F.least(start + chunk_size, n)
-        end = hard_end
+        hard_end = F.least(start + chunk_size, F.col("_n"))
+        back = F.lit(0)
         if prefer_boundary:
-            tail = F.slice("_b", start + floor + 1, F.greatest(hard_end - start - floor, F.lit(0)))
-            back = F.array_position(F.reverse(tail), True).cast("int")
-            end = F.when(back > 0, hard_end - back + 1).otherwise(hard_end)
-        return F.struct(k.alias("index"), start.alias("start_word"), end.alias("end_word"))
-
-    spans = F.when(n > 0, F.transform(F.sequence(F.lit(0), last), span))
+            # Distance of the last sentence end from the window's end, 0 for none.
+            tail = F.slice("_w", start + floor + 1, F.greatest(hard_end - start - floor, F.lit(0)))
+            flags = F.reverse(F.transform(tail, _closes_sentence))
+            # The end of the text is an end of its last sentence.
+            back = F.when(hard_end < F.col("_n"), F.array_position(flags, True).cast("int")).otherwise(0)
+        return F.struct(k.alias("k"), hard_end.alias("hard_end"), back.alias("back"))
 
     def chunk(s: Column) -> Column:
-        size = s["end_word"] - s["start_word"]
-        next_start = F.when(s["index"] < last, s["start_word"] + step).otherwise(n)
+        start = s["k"] * step
+        end = s["hard_end"] - F.greatest(s["back"] - 1, F.lit(0))
+        next_start = F.when(s["k"] < F.col("_last"), start + step).otherwise(F.col("_n"))
+        joined = F.array_join(F.slice("_w", start + 1, end - start), " ")
         return F.struct(
-            s["index"].alias("index"),
-            F.array_join(F.slice("_w", s["start_word"] + 1, size), " ").alias("text"),
-            size.alias("word_count"),
-            s["start_word"].alias("start_word"),
-            s["end_word"].alias("end_word"),
-            F.greatest(F.lit(0), next_start - s["end_word"]).alias("gap_words"),
+            s["k"].alias("index"),
+            F.replace(joined, F.lit(T.PARAGRAPH_MARK), F.lit("")).alias("text"),
+            (end - start).alias("word_count"),
+            start.alias("start_word"),
+            end.alias("end_word"),
+            F.greatest(F.lit(0), next_start - end).alias("gap_words"),
         )
 
-    staged = staged.withColumn("_s", spans)
-    return staged.select(*[field(c) for c in id_columns], F.inline(F.transform("_s", chunk)))
+    staged = staged.withColumn("_n", F.size("_w"))
+    last = F.greatest(F.lit(0), F.ceil((F.col("_n") - chunk_size) / F.lit(step)).cast("int"))
+    staged = staged.withColumn("_last", last)
+    windows = F.transform(F.sequence(F.lit(0), F.col("_last")), window)
+    chunks = F.when(F.col("_n") > 0, F.transform(windows, chunk))
+    return staged.select(*ids, F.inline(chunks))
 
 
-def _closes_sentence(words: Column) -> Column:
-    """Flags per word of a paragraph: ends a sentence or is the last word."""
-    return F.transform(
-        words, lambda w, i: F.right(w, F.lit(1)).isin(".", "!", "?") | (i == F.size(words) - 1)
-    )
+def _closes_sentence(word: Column) -> Column:
+    """True for a word that ends a sentence or its paragraph."""
+    ends = (*SENTENCE_MARKS, T.PARAGRAPH_MARK)
+    flags = [F.endswith(word, F.lit(e)) for e in ends]
+    return flags[0] | flags[1] | flags[2] | flags[3]

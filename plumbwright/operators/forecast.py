@@ -16,35 +16,52 @@ def sky_text(code: Column) -> Column:
     return F.try_element_at(legend, code)
 
 
-def parse_cell(token: Column) -> Column:
-    """Struct (hi, lo, sky), NULL for a malformed cell, unknown sky or lo > hi."""
+def _cell_parts(token: Column) -> Column:
+    """The three texts of a well-shaped cell, NULL for any other token."""
     t = F.lower(strip_ws(token))
-    parts = F.split(t, "/")
+    return F.when(t.rlike(rf"\A{FORECAST_CELL}\z"), F.split(t, "/"))
+
+
+def _forecast(parts: Column) -> Column:
+    """Struct (hi, lo, sky), NULL for an unknown sky code or lo > hi."""
     hi, lo, sky = parts[0].cast("int"), parts[1].cast("int"), parts[2]
-    shaped = F.when(
-        t.rlike(rf"\A{FORECAST_CELL}\z"), F.struct(hi.alias("hi"), lo.alias("lo"), sky.alias("sky"))
-    )
-    return F.when(shaped["sky"].isin(*SKY) & (shaped["lo"] <= shaped["hi"]), shaped)
+    valid = sky.isin(*SKY) & (lo <= hi)
+    return F.when(valid, F.struct(hi.alias("hi"), lo.alias("lo"), sky.alias("sky")))
+
+
+def parse_cell(df: DataFrame, token: str, out: str) -> DataFrame:
+    """Add the forecast struct of one cell token, NULL when it is malformed."""
+    staged = df.withColumn("_parts", _cell_parts(field(token)))
+    return staged.withColumn(out, _forecast(F.col("_parts"))).drop("_parts")
 
 
 def parse_table(df: DataFrame, line: str = "line") -> DataFrame:
-    """Add ``ok``, ``city``, ``today``, ``next_day`` and the trimmed ``raw`` line.
+    """Replace the line by ``ok``, ``raw``, ``city``, ``today`` and ``next_day``.
 
     The last two tokens are cells and the rest is the city; blank lines are
-    dropped and every other bad line stays with ``ok`` false.
+    dropped and every other bad line stays with ``ok`` false.  Each step is its
+    own projection and a generator emits the rows, so tokens are cut and cells
+    matched once per line whatever is filtered later.
     """
-    staged = df.withColumn("raw", strip_ws(field(line))).filter(F.col("raw") != "")
-    staged = staged.withColumn("_t", T.words(F.col("raw")))
+    kept = [field(c) for c in df.columns if c != line]
+    staged = df.select(*kept, strip_ws(field(line)).alias("raw")).withColumn("_t", T.words(F.col("raw")))
     enough = F.size("_t") >= 3
-    staged = staged.select(
-        *[field(c) for c in df.columns],
-        "raw",
-        F.when(enough, F.array_join(F.slice("_t", 1, F.greatest(F.size("_t") - 2, F.lit(0))), " ")).alias("city"),
-        F.when(enough, parse_cell(F.try_element_at("_t", F.lit(-2)))).alias("today"),
-        F.when(enough, parse_cell(F.try_element_at("_t", F.lit(-1)))).alias("next_day"),
+    staged = staged.withColumns(
+        {
+            "_city": F.when(enough, F.array_join(F.slice("_t", 1, F.size("_t") - 2), " ")),
+            "_a": F.when(enough, _cell_parts(F.try_element_at("_t", F.lit(-2)))),
+            "_b": F.when(enough, _cell_parts(F.try_element_at("_t", F.lit(-1)))),
+        }
+    ).withColumns({"_today": _forecast(F.col("_a")), "_next": _forecast(F.col("_b"))})
+    ok = F.col("_today").isNotNull() & F.col("_next").isNotNull()
+    row = F.struct(
+        ok.alias("ok"),
+        F.col("raw"),
+        F.col("_city").alias("city"),
+        F.col("_today").alias("today"),
+        F.col("_next").alias("next_day"),
     )
-    ok = F.col("today").isNotNull() & F.col("next_day").isNotNull()
-    return staged.withColumn("ok", ok)
+    return staged.select(*kept, F.inline(F.when(F.col("raw") != "", F.array(row))))
 
 
 def forecast_rows(parsed: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Access-log parsing and traffic roll-ups.
 
-A line costs two regex evaluations however many fields are read: one match test
-and one rewrite that lays the groups out in a separable order.
+A line costs one regex evaluation however many fields are read: a rewrite that
+lays the groups out in a separable order and marks the lines it matched.
 """
 
 from __future__ import annotations
@@ -10,29 +10,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbwright.functions.cells import field, ratio, strip_ws
-from plumbwright.functions.fixed import LOG_LINE, LOG_TIME_FORMAT
+from plumbwright.functions.fixed import LOG_LINE, LOG_TIME_FORMAT, WHITESPACE_CLASS
 
-_MATCH = rf"\A{LOG_LINE}"
-_REWRITE = rf"(?s)\A{LOG_LINE}.*\z"
-# All groups but the timestamp are free of blanks, so it goes last.
-_LAYOUT = "$1 $3 $4 $5 $6 $7 $2"
+_REWRITE = r"(?sU)\A" + LOG_LINE.replace("{ws}", WHITESPACE_CLASS) + r".*\z"
+# A leading line break marks a rewritten line: trimmed input never starts with
+# one.  All groups but the timestamp are free of blanks, so it goes last.
+_LAYOUT = "\n$1 $3 $4 $5 $6 $7 $2"
 
 
 def parse_lines(df: DataFrame, line: str = "line") -> DataFrame:
-    """Add ``ok`` and the parsed fields; blank lines are dropped, not counted.
+    """Replace the line by ``ok`` and its fields; blank lines are dropped, not counted.
 
-    Malformed lines stay in the frame with ``ok`` false and NULL fields.
+    Malformed lines stay in the frame with ``ok`` false, NULL fields and the
+    trimmed line in ``raw``.  A generator emits the rows, so that later filters
+    apply to its output: a filter over a plain projection would be pushed below
+    it and run the parse a second time.
     """
-    text = strip_ws(field(line))
-    staged = df.withColumn("_text", text).filter(F.col("_text") != "")
-    ok = F.col("_text").rlike(_MATCH)
-    staged = staged.withColumn(
-        "_f", F.when(ok, F.split(F.regexp_replace("_text", _REWRITE, _LAYOUT), " ", 7))
-    )
+    kept = [field(c) for c in df.columns if c != line]
+    staged = df.select(*kept, strip_ws(field(line)).alias("_text"))
+    staged = staged.withColumn("_r", F.regexp_replace("_text", _REWRITE, _LAYOUT))
+    ok = F.startswith("_r", F.lit("\n"))
+    staged = staged.withColumn("_f", F.when(ok, F.split(F.substring("_r", 2, 2**31 - 1), " ", 7)))
     part = [F.col("_f")[i] for i in range(7)]
     size = F.when(part[4] == "-", F.lit("0")).otherwise(part[4])
-    return staged.select(
-        *[field(c) for c in df.columns],
+    fields = F.struct(
         F.col("_f").isNotNull().alias("ok"),
         part[0].alias("ip"),
         part[6].alias("ts"),
@@ -41,7 +42,9 @@ def parse_lines(df: DataFrame, line: str = "line") -> DataFrame:
         part[3].cast("int").alias("status"),
         size.try_cast("bigint").alias("bytes"),
         part[5].try_cast("bigint").alias("ms"),
+        F.when(F.col("_f").isNull(), F.col("_text")).alias("raw"),
     )
+    return staged.select(*kept, F.inline(F.when(F.col("_text") != "", F.array(fields))))
 
 
 def event_time(ts: Column) -> Column:
@@ -50,11 +53,12 @@ def event_time(ts: Column) -> Column:
 
 
 def records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("ok").drop("ok")
+    return parsed.filter("ok").drop("ok", "raw")
 
 
 def malformed(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("not ok")
+    fields = ("ok", "ip", "ts", "method", "path", "status", "bytes", "ms")
+    return parsed.filter("not ok").drop(*fields)
 
 
 def _error() -> Column:

@@ -1,8 +1,8 @@
 """Choosing among parity-rule candidates on a validation split.
 
 Rows are first counted per (run, split, feature bits, label).  That table holds
-everything a candidate's score depends on, so the candidates are evaluated on
-the counts, as one wide aggregate, and never against the rows one by one.
+everything a candidate's score depends on, so candidates are evaluated on the
+counts and never against the rows one by one.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbwright.functions.cells import field, ratio
-from plumbwright.functions.vectors import parity_predict
+from plumbwright.functions.vectors import masked_parity, subset_mask
 from plumbwright.operators.split import assign_splits
 
 SPLITS = ("train", "valid", "test")
@@ -33,15 +33,11 @@ def candidate_scores(counts: DataFrame, candidates: Sequence[Sequence[int]]) ->
     A candidate predicts the parity of its features, flipped when the unflipped
     rule is right on less than half of the training rows.
     """
-    hits = [
-        F.sum(F.when(parity_predict(F.col("bits"), idx) == F.col("label"), F.col("n")).otherwise(0)).alias(f"h{i}")
-        for i, idx in enumerate(candidates)
-    ]
-    wide = counts.groupBy("run", "split").agg(F.sum("n").alias("n"), *hits)
-    long = wide.select(
-        "run", "split", "n",
-        F.posexplode(F.array(*[F.col(f"h{i}") for i in range(len(candidates))])).alias("cand_id", "hits"),
+    masks = F.lit([subset_mask(idx) for idx in candidates]).cast("array<bigint>")
+    right = F.transform(
+        masks, lambda m: F.when(masked_parity(F.col("bits"), m) == F.col("label"), F.col("n")).otherwise(0)
     )
+    long = counts.select("run", "split", "n", F.posexplode(right).alias("cand_id", "hits"))
 
     def part(split: str, value: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("split") == split, F.col(value))), F.lit(0)).alias(f"{split}_{value}")

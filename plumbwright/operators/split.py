@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbwright.functions.cells import field
-from plumbwright.operators.ordering import DIRECT_ROWS, order_statistics
+from plumbwright.operators.ordering import order_statistics
 
 # Hex digits per hash part: 52 bits, exact as a double and as a bigint.
 _DIGITS = 13
@@ -59,24 +59,28 @@ class Cut:
 
 def _cuts(df: DataFrame, key: Column, wanted: list[tuple[int, int]], n: int) -> list[Cut]:
     """The rows at the wanted (seed, position) pairs."""
-    heads = order_statistics(df, [(_hash_part(key, seed, 0), k) for seed, k in wanted], n)
-    around = df.agg(
-        *[F.count_if(_hash_part(key, s, 0) < h).alias(f"b{i}") for i, ((s, _), h) in enumerate(zip(wanted, heads))],
-        *[F.count_if(_hash_part(key, s, 0) == h).alias(f"e{i}") for i, ((s, _), h) in enumerate(zip(wanted, heads))],
-    ).first()
+    seeds = sorted({seed for seed, _ in wanted})
+    hashed = df.select(*[_hash_part(key, seed, 0).alias(f"h{seed}") for seed in seeds])
+    targets = [(F.col(f"h{seed}"), k) for seed, k in wanted]
+    heads = order_statistics(hashed, targets, n)
+    counted = []
+    for i, ((column, _), head) in enumerate(zip(targets, heads)):
+        counted += [F.count_if(column < head).alias(f"before{i}"), F.count_if(column == head).alias(f"same{i}")]
+    found = hashed.agg(*counted).first()
     cuts = []
     for i, ((seed, k), head) in enumerate(zip(wanted, heads)):
-        # One row has this head (the usual case): every tail compares as not before.
+        same = found[f"same{i}"]
+        # With one row at this head (the usual case) every tail compares as not before.
         tail = -1
-        if around[f"e{i}"] > 1:
-            tail = _tail(df.filter(_hash_part(key, seed, 0) == head), key, seed, k - around[f"b{i}"], around[f"e{i}"])
+        if same > 1:
+            tail = _tail(df.filter(_hash_part(key, seed, 0) == head), key, seed, k - found[f"before{i}"], same)
         cuts.append(Cut(head, tail))
     return cuts
 
 
 def _tail(same_head: DataFrame, key: Column, seed: int, k: int, n: int) -> int:
     part = _hash_part(key, seed, 1)
-    tail = order_statistics(same_head, [(part, k)], n, DIRECT_ROWS)[0]
+    tail = order_statistics(same_head, [(part, k)], n)[0]
     if same_head.filter(part == tail).limit(2).count() > 1:
         raise ValueError("the split key repeats at a cut; use a key that is unique per row")
     return tail

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbwright.functions.fixed import FLOAT_CELL, INT_CELL, WHITESPACE, WHITESPACE_CLASS
+from plumbwright.functions.fixed import FLOAT_CELL, INT_CELL, LOG_LINE, PARAGRAPH_BREAK, WHITESPACE
 from plumbwright.plans.views import VIEWS, base_tables
-from plumbwright.sources.tables import read_table
+from plumbwright.sources.tables import read_table, spread
 
 
 @dataclass(frozen=True)
@@ -25,9 +25,16 @@ class Tables:
         text = VIEWS[name]
         return self.spark.sql(text, **{t: self[t] for t in base_tables(text)})
 
+    def spread(self, name: str) -> DataFrame:
+        """The same for queries that parse or cut text: small scans use every core."""
+        if name not in VIEWS:
+            return spread(self[name])
+        text = VIEWS[name]
+        return self.spark.sql(text, **{t: spread(self[t]) for t in base_tables(text)})
+
     def stream(self, name: str) -> DataFrame:
         """A base table as a file stream."""
-        schema = self[name].schema
+        schema = read_table(self.spark, self.folder, name).schema
         reader = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
         return reader.parquet(self.folder)
 
@@ -67,7 +74,14 @@ def sql(select: str, views: tuple[str, ...] = (), **ctes: str) -> str:
 
 # SQL spellings of the cell rules, for the oracle texts.
 WS = "'" + WHITESPACE + "'"
-GAP = f"'[{WHITESPACE_CLASS}]+'"
+# The whitespace alphabet as an RE2 class, which knows no Unicode flag.
+WS_CLASS = (
+    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+GAP = f"'[{WS_CLASS}]+'"
+LOG_REGEX = "^" + LOG_LINE.replace("{ws}", WS_CLASS)
+PARAGRAPH_REGEX = PARAGRAPH_BREAK.replace("{ws}", WS_CLASS)
 
 
 def s_strip(c: str) -> str:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbwright.functions.fixed import LOG_LINE
 from plumbwright.operators import drift, smooth
-from plumbwright.plans.base import Tables, plan, s_float, s_norm, s_strip, sql
+from plumbwright.plans.base import LOG_REGEX, Tables, plan, s_float, s_norm, s_strip, sql
 from plumbwright.sources.scratch import write_table
 from plumbwright.streaming import drift as drift_stream
 from plumbwright.streaming import logs as log_stream
@@ -229,8 +228,8 @@ def sg_snr(t: Tables):
 
 _HOUR = "yyyy-MM-dd HH"
 _TIMED = {
-    "g": f"""SELECT regexp_extract({s_strip('line')}, '^{LOG_LINE}', ['ip', 'ts', 'method', 'path', 'status', 'bytes', 'ms']) AS g
-FROM v_log_lines WHERE regexp_matches({s_strip('line')}, '^{LOG_LINE}')""",
+    "g": f"""SELECT regexp_extract({s_strip('line')}, '{LOG_REGEX}', ['ip', 'ts', 'method', 'path', 'status', 'bytes', 'ms']) AS g
+FROM v_log_lines WHERE regexp_matches({s_strip('line')}, '{LOG_REGEX}')""",
     "r": """SELECT strftime(strptime(g.ts, '%d/%b/%Y:%H:%M:%S'), '%Y-%m-%d %H') AS hour,
 g.path AS path, g.status::int AS status, g.ms::bigint AS ms FROM g""",
 }

@@ -5,17 +5,29 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbwright.functions.cells import coerce_kind, field
-from plumbwright.functions.fixed import FORECAST_CELL, LOG_LINE, PARAGRAPH_BREAK, SKY, WHITESPACE_CLASS
+from plumbwright.functions.fixed import FORECAST_CELL, SKY
 from plumbwright.operators import bytecost, chunk, forecast, logs, wrangle
-from plumbwright.plans.base import GAP, Tables, plan, s_float, s_int, s_norm, s_strip, sql
+from plumbwright.plans.base import (
+    GAP,
+    LOG_REGEX,
+    PARAGRAPH_REGEX,
+    WS_CLASS,
+    Tables,
+    plan,
+    s_float,
+    s_int,
+    s_norm,
+    s_strip,
+    sql,
+)
 from plumbwright.sources.files import json_text
 
 # -- access logs ------------------------------------------------------------
 
 _LOG = ("v_log_lines",)
 _PARSED = {
-    "m": f"""SELECT pos, regexp_matches({s_strip('line')}, '^{LOG_LINE}') AS ok,
-regexp_extract({s_strip('line')}, '^{LOG_LINE}', ['ip', 'ts', 'method', 'path', 'status', 'bytes', 'ms']) AS g
+    "m": f"""SELECT pos, regexp_matches({s_strip('line')}, '{LOG_REGEX}') AS ok,
+regexp_extract({s_strip('line')}, '{LOG_REGEX}', ['ip', 'ts', 'method', 'path', 'status', 'bytes', 'ms']) AS g
 FROM v_log_lines WHERE {s_norm('line')} <> ''""",
     "r": """SELECT pos, g.ip AS ip, g.ts AS ts, g.method AS method, g.path AS path, g.status::int AS status,
 CASE WHEN g.bytes = '-' THEN 0 ELSE try_cast(g.bytes AS bigint) END AS bytes, g.ms::bigint AS ms FROM m WHERE ok""",
@@ -28,17 +40,17 @@ _TALKERS = "SELECT ip, count(*) AS n, min(pos) AS p FROM r GROUP BY ip ORDER BY
 
 
 def _parsed(t: Tables):
-    return logs.parse_lines(t["v_log_lines"])
+    return logs.parse_lines(t.spread("v_log_lines"))
 
 
 @plan("log_parse", sql("SELECT * FROM r", _LOG, **_PARSED))
 def log_parse(t: Tables):
-    return logs.records(_parsed(t)).drop("line")
+    return logs.records(_parsed(t))
 
 
-@plan("log_malformed", sql("SELECT pos FROM m WHERE NOT ok", _LOG, **_PARSED))
+@plan("log_malformed", sql(f"SELECT pos, {s_strip('line')} AS raw FROM v_log_lines JOIN m USING (pos) WHERE NOT ok", _LOG, **_PARSED))
 def log_malformed(t: Tables):
-    return logs.malformed(_parsed(t)).select("pos")
+    return logs.malformed(_parsed(t))
 
 
 @plan("log_summary", sql(_SUMMARY, _LOG, **_PARSED))
@@ -86,12 +98,12 @@ def log_report(t: Tables):
 
 
 def _sentence_list(text: str) -> str:
-    marked = f"regexp_replace({s_strip(text)}, '([.!?])[{WHITESPACE_CLASS}]+', '\\1' || chr(1), 'g')"
+    marked = f"regexp_replace({s_strip(text)}, '([.!?])[{WS_CLASS}]+', '\\1' || chr(1), 'g')"
     return f"list_filter(list_transform(string_split({marked}, chr(1)), lambda x: {s_strip('x')}), lambda x: x <> '')"
 
 
 _PARAGRAPHS = (
-    f"list_filter(list_transform(string_split_regex(text, '{PARAGRAPH_BREAK}'), lambda x: {s_strip('x')}), lambda x: x <> '')"
+    f"list_filter(list_transform(string_split_regex(text, '{PARAGRAPH_REGEX}'), lambda x: {s_strip('x')}), lambda x: x <> '')"
 )
 
 
@@ -103,7 +115,7 @@ _PARAGRAPHS = (
     ),
 )
 def chunk_sentences(t: Tables):
-    return chunk.sentence_rows(t["documents"], ["doc_id"])
+    return chunk.sentence_rows(t.spread("documents"), ["doc_id"])
 
 
 @plan(
@@ -116,7 +128,7 @@ FROM v_paragraphs""",
     ),
 )
 def chunk_units(t: Tables):
-    return chunk.unit_rows(t["v_paragraphs"], ["doc_id"])
+    return chunk.unit_rows(t.spread("v_paragraphs"), ["doc_id"])
 
 
 SIZE, OVERLAP, FLOOR = 60, 10, 40
@@ -148,12 +160,12 @@ GROUP BY b.doc_id, b.k, b.start_word, b.next_start, b.hard""",
 
 @plan("chunk_windows", _chunk_sql("documents"))
 def chunk_windows(t: Tables):
-    return chunk.chunk_documents(t["documents"], ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
+    return chunk.chunk_documents(t.spread("documents"), ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
 
 
 @plan("chunk_windows_paragraphs", _chunk_sql("v_paragraphs"))
 def chunk_windows_paragraphs(t: Tables):
-    return chunk.chunk_documents(t["v_paragraphs"], ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
+    return chunk.chunk_documents(t.spread("v_paragraphs"), ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
 
 
 # -- CSV wrangling ----------------------------------------------------------
