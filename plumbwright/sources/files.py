@@ -48,7 +48,9 @@ def read_csv_records(
     if columns is None:
         columns = _csv(spark, multi_line).csv(path).columns
     schema = StructType([StructField(c, StringType()) for c in (*columns, _CORRUPT)])
-    raw = _csv(spark, multi_line).schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
+    # Records can only be checked for their cell count when all cells are parsed.
+    reader = _csv(spark, multi_line).schema(schema).options(columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
+    raw = reader.csv(path)
     numbered = with_record_ordinal(raw, "lineno", FIRST_RECORD_LINE)
     # Only records whose cell count is off carry their text; quoted parts hold no separators.
     bare = F.regexp_replace(F.col(_CORRUPT), '"(?:[^"]|"")*"', "")
