@@ -53,21 +53,35 @@ class _Target:
     def settle(self, answer) -> None:
         self.answer, self.done = answer, True
 
+    def raise_lo(self, v) -> None:
+        self.lo = v if self.lo is None else max(self.lo, v)
+
+    def drop_hi(self, v) -> None:
+        self.hi = v if self.hi is None else min(self.hi, v)
+
     def narrow(self, a, b, below: int, at_a: int, between: int, at_b: int) -> None:
-        """Use exact counts around proposed values a <= b to shrink the interval."""
+        """Use exact counts around proposed values a <= b to shrink the interval.
+
+        The counts cover the present interval only; proposals outside of it
+        (sketches round large integers) leave it as it is.
+        """
         if self.k < below:
-            self.hi, self.inside = a, below
+            self.drop_hi(a)
+            self.inside = below
         elif self.k < below + at_a:
             self.settle(a)
         elif self.k < below + at_a + between:
             self.k -= below + at_a
-            self.lo, self.hi, self.inside = a, b, between
+            self.raise_lo(a)
+            self.drop_hi(b)
+            self.inside = between
         elif self.k < below + at_a + between + at_b:
             self.settle(b)
         else:
-            self.k -= below + at_a + between + at_b
-            self.inside -= below + at_a + between + at_b
-            self.lo = b
+            passed = below + at_a + between + at_b
+            self.k -= passed
+            self.inside -= passed
+            self.raise_lo(b)
 
 
 def order_statistics(
