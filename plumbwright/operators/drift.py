@@ -152,11 +152,24 @@ def score(batches: DataFrame, fired: str, truth: str) -> DataFrame:
     )
 
 
-def profile_differences(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Columns and statistics in which two single-batch profiles differ."""
-    stats = [F.struct(F.lit(s).alias("stat"), F.col(f"a.{s}").cast("double").alias("left_value"),
-                      F.col(f"b.{s}").cast("double").alias("right_value")) for s in STATS]
+def profile_differences(a: DataFrame, b: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """Columns and statistics in which two single-batch profiles differ.
+
+    Sums of doubles depend on the order of the rows, so means count as equal
+    within a relative tolerance.
+    """
+    stats = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("stat"),
+                F.col(f"a.{s}").cast("double").alias("left_value"),
+                F.col(f"b.{s}").cast("double").alias("right_value"),
+            )
+            for s in STATS
+        ]
+    )
     joined = a.alias("a").join(b.alias("b"), F.col("a.column") == F.col("b.column"), "full_outer")
-    name = F.coalesce("a.column", "b.column").alias("column")
-    long = joined.select(name, F.inline(F.array(*stats)))
-    return long.filter(~F.col("left_value").eqNullSafe(F.col("right_value")))
+    long = joined.select(F.coalesce("a.column", "b.column").alias("column"), F.inline(stats))
+    x, y = F.col("left_value"), F.col("right_value")
+    close = F.abs(x - y) <= tolerance * F.greatest(F.abs(x), F.abs(y))
+    return long.filter(~(x.eqNullSafe(y) | F.coalesce(close, F.lit(False))))
