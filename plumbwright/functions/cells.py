@@ -50,16 +50,20 @@ def full_match(c: Column, pattern: str) -> Column:
     return c.rlike(rf"(?U)\A(?:{pattern})\z")
 
 
-def to_float(c: Column) -> Column:
-    """Text to double, NULL when the text is not a number.
+def number(s: Column) -> Column:
+    """Trimmed text to double, NULL when the text is not a number.
 
     The guard runs before the cast because the cast alone would accept type
     suffixes and hex floats and refuse digit separators.  Only a signed NaN
     passes the guard and fails the cast, hence the NaN fallback.
     """
-    s = strip_ws(c)
-    number = F.coalesce(F.replace(s, F.lit("_"), F.lit("")).try_cast("double"), F.lit(float("nan")))
-    return F.when(s.rlike(rf"\A{FLOAT_CELL}\z"), number)
+    value = F.coalesce(F.replace(s, F.lit("_"), F.lit("")).try_cast("double"), F.lit(float("nan")))
+    return F.when(s.rlike(rf"\A{FLOAT_CELL}\z"), value)
+
+
+def to_float(c: Column) -> Column:
+    """Raw text to double, NULL when the text is not a number."""
+    return number(strip_ws(c))
 
 
 def to_int(c: Column) -> Column:
@@ -74,11 +78,11 @@ def is_finite(v: Column) -> Column:
 
 def coerce_kind(c: Column) -> Column:
     """Which type :func:`coerce` gives the cell: int, float, string or NULL."""
-    number = to_float(c)
+    v = to_float(c)
     return (
         F.when(is_blank(c), F.lit(None).cast("string"))
         .when(to_int(c).isNotNull(), "int")
-        .when(number.isNotNull() & is_finite(number), "float")
+        .when(v.isNotNull() & is_finite(v), "float")
         .otherwise("string")
     )
 
@@ -89,12 +93,12 @@ def coerce(c: Column) -> Column:
     Whole numbers beyond bigint become doubles.  NaN and infinities stay text,
     since they have no JSON form and would not survive a round trip.
     """
-    number = to_float(c)
+    v = to_float(c)
     return F.when(
         ~is_blank(c),
         F.coalesce(
             to_int(c).cast("variant"),
-            F.when(is_finite(number), number).cast("variant"),
+            F.when(is_finite(v), v).cast("variant"),
             strip_ws(c).cast("variant"),
         ),
     )

@@ -9,6 +9,10 @@ from pyspark.sql.types import ArrayType
 from plumbwright.functions.fixed import NUMBER_LABELS
 
 
+# Feature bits share one non-negative bigint.
+MAX_FEATURES = 63
+
+
 def bit_features(n: Column, width: int = 10) -> Column:
     """The lowest ``width`` bits of an integer, least significant first."""
     return F.array(*[F.shiftright(n, i).bitwiseAND(F.lit(1)).cast("int") for i in range(width)])
@@ -35,6 +39,8 @@ def subset_mask(indices) -> int:
     """Bit mask of the chosen features; an index listed twice cancels out."""
     mask = 0
     for i in indices:
+        if not 0 <= i < MAX_FEATURES:
+            raise ValueError(f"feature index must be between 0 and {MAX_FEATURES - 1}")
         mask ^= 1 << i
     return mask
 

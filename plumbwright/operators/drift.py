@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbwright.functions.cells import cell, field, normalise, ratio, to_float
+from plumbwright.functions.cells import cell, field, normalise, number, ratio
 from plumbwright.functions.fixed import DRIFT_MESSAGES
 
 STATS = ("n", "completeness", "integral", "mean", "min")
@@ -30,8 +30,7 @@ def profile(
     staged = df.select(
         *[field(c) for c in df.columns if c not in columns],
         *[normalise(cell(df, c)).alias(f"_t{i}") for i, c in enumerate(columns)],
-        *[to_float(cell(df, c)).alias(f"_v{i}") for i, c in enumerate(columns)],
-    )
+    ).withColumns({f"_v{i}": number(F.col(f"_t{i}")) for i in range(len(columns))})
     aggs = [F.count(F.lit(1)).alias("_n"), *keep]
     for i in range(len(columns)):
         text, v = F.col(f"_t{i}"), F.col(f"_v{i}")

@@ -134,9 +134,9 @@ def log_report(parsed: DataFrame, position: str, slow_ms: int = 500, k: int = 3)
         .when(gid == by_ip, F.array(entry("top_talkers", F.col("ip"), n)))
     )
     listed = grouped.filter((gid == overall) | F.col("ok")).select("_first", F.inline(rows))
-    order = Window.partitionBy("section").orderBy(F.desc("value"), "_first")
-    top = listed.filter(F.col("section").isin("slowest_endpoints", "top_talkers"))
-    top = top.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    rest = listed.filter(~F.col("section").isin("slowest_endpoints", "top_talkers"))
-    rest = rest.withColumn("rank", F.lit(None).cast("int"))
-    return rest.unionByName(top).select("section", "item", "rank", "value")
+    # Rows of unranked sections are partitions of their own and always rank first,
+    # so one condition keeps them and cuts the ranked sections.
+    ranked = F.col("section").isin("slowest_endpoints", "top_talkers")
+    order = Window.partitionBy("section", F.when(~ranked, F.col("item"))).orderBy(F.desc("value"), "_first")
+    top = listed.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return top.select("section", "item", F.when(ranked, F.col("rank")).alias("rank"), "value")

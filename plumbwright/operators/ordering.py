@@ -90,7 +90,8 @@ def order_statistics(
     """Values at 0-based positions of sorted numeric columns.
 
     ``targets`` pairs a numeric expression with a position; ``rows`` is the
-    number of non-NULL values.  Returns one value per target, exactly.
+    number of non-NULL values.  Returns one value per target, exactly.  The
+    frame is scanned a few times: store it first when it is not a plain scan.
     """
     state = []
     for value, k in targets:

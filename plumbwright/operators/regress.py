@@ -25,15 +25,18 @@ def moments(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """
     complete = df.select(*[field(c).cast("double").alias(c) for c in (*features, target)]).dropna()
     x, y = [field(c) for c in features], field(target)
-    return complete.agg(
+    d = range(len(features))
+    row = complete.agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.avg(a) for a in x]).alias("mean_x"),
         F.array(*[F.stddev_samp(a) for a in x]).alias("std_x"),
-        F.array(*[F.array(*[F.covar_pop(a, b) for b in x]) for a in x]).alias("cov_xx"),
+        *[F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in d for j in d if i <= j],
         F.array(*[F.covar_pop(a, y) for a in x]).alias("cov_xy"),
         F.avg(y).alias("mean_y"),
         F.var_pop(y).alias("var_y"),
     )
+    matrix = F.array(*[F.array(*[F.col(f"c{min(i, j)}_{max(i, j)}") for j in d]) for i in d])
+    return row.select("n", "mean_x", "std_x", matrix.alias("cov_xx"), "cov_xy", "mean_y", "var_y")
 
 
 def moment_rows(m: DataFrame, features: Sequence[str], target: str) -> DataFrame:

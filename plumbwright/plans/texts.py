@@ -53,7 +53,11 @@ def log_malformed(t: Tables):
     return logs.malformed(_parsed(t))
 
 
-@plan("log_summary", sql(_SUMMARY, _LOG, **_PARSED))
+def summary_sql() -> str:
+    return sql(_SUMMARY, _LOG, **_PARSED)
+
+
+@plan("log_summary", summary_sql())
 def log_summary(t: Tables):
     return logs.traffic_summary(_parsed(t))
 
@@ -193,6 +197,12 @@ def _text(c: str) -> str:
 _CLEAN_COLUMNS = ", ".join(f"{_kind(c)} AS {c}_kind, {_text(c)} AS {c}" for c in CELLS)
 
 
+def clean_sql(key: str) -> str:
+    """Clean rows as text under a key expression."""
+    cells = ", ".join(f"{_text(c)} AS {c}" for c in CELLS)
+    return f"SELECT {key}, {cells} FROM v_csv_cells WHERE {_GOOD}"
+
+
 @plan("wr_clean", sql(f"SELECT lineno, {_CLEAN_COLUMNS} FROM v_csv_cells WHERE {_GOOD}", _CSV))
 def wr_clean(t: Tables):
     clean, _ = wrangle.wrangle(t["v_csv_cells"], REQUIRED)

@@ -15,8 +15,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from plumbwright.functions import text as T
 from plumbwright.functions.cells import field
+from plumbwright.sources.scratch import write_table
 
 _CORRUPT = "_corrupt_record"
+# Split tables up to this many rows (some 100 bytes each) are broadcast.
+BROADCAST_SPLITS = 200_000
 FIRST_RECORD_LINE = 2  # the header is line 1
 
 
@@ -66,8 +69,9 @@ def with_record_ordinal(df: DataFrame, name: str, first: int = 0) -> DataFrame:
 
     ``df`` must be a plain file scan.  A file's splits are each read in order by
     one task, so a record's ordinal is its index inside its split plus the sizes
-    of the earlier splits.  Only split sizes are grouped and joined back; the
-    join is broadcast by adaptive execution while they are few.
+    of the earlier splits.  The parsed records are stored first: the text is
+    parsed once, and split sizes and records describe the same cut of the files
+    even when the cluster grows in between.
     """
     placed = df.select(
         *[field(c) for c in df.columns],
@@ -75,13 +79,19 @@ def with_record_ordinal(df: DataFrame, name: str, first: int = 0) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
     )
-    splits = placed.groupBy("_file", "_block").agg(F.min("_at").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    frozen = write_table(placed, "records")
+    splits = frozen.groupBy("_file", "_block").agg(F.min("_at").alias("_start"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_file", "_block", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    offsets = write_table(
+        splits.select(
+            "_file", "_block", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+        ),
+        "splits",
     )
+    if offsets.count() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     ordinal = F.col("_before") + F.col("_at") - F.col("_start") + first
-    joined = placed.join(offsets, ["_file", "_block"])
+    joined = frozen.join(offsets, ["_file", "_block"])
     return joined.select(*[field(c) for c in df.columns], ordinal.alias(name))
 
 

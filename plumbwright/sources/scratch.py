@@ -13,18 +13,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by the session; a temporary one only in local mode."""
-    folder = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
+    context = spark.sparkContext
+    folder = spark.conf.get(_KEY, None) or context.getConf().get(_KEY) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="plumbwright-")
-    spark.conf.set(_KEY, folder)
-    return folder
+    app = context.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="plumbwright-")
+    return _local_folders[app]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
