@@ -9,11 +9,22 @@ from plumbwright.functions.cells import ratio
 from plumbwright.operators.logs import event_time, parse_lines, records
 
 
-def timed_records(lines: DataFrame, watermark: str = "1 hour", line: str = "line") -> DataFrame:
-    """Parsed records with an event time and a watermark; unreadable times drop out."""
-    parsed = records(parse_lines(lines, line))
-    timed = parsed.withColumn("event_ts", event_time(F.col("ts"))).filter(F.col("event_ts").isNotNull())
-    return timed.withWatermark("event_ts", watermark)
+def timed_records(
+    lines: DataFrame, watermark: str = "1 hour", line: str = "line", observe: str | None = None
+) -> DataFrame:
+    """Parsed records with an event time and a watermark; unreadable times drop out.
+
+    Malformed lines have no event time and reach no window.  With ``observe``
+    their number and that of good lines appear under this name in the progress
+    of the query, per micro-batch.
+    """
+    parsed = parse_lines(lines, line)
+    if observe:
+        parsed = parsed.observe(
+            observe, F.count_if("ok").alias("records"), F.count_if(~F.col("ok")).alias("malformed")
+        )
+    timed = records(parsed).withColumn("event_ts", event_time(F.col("ts")))
+    return timed.filter(F.col("event_ts").isNotNull()).withWatermark("event_ts", watermark)
 
 
 def traffic_windows(timed: DataFrame, window: str = "1 hour", slow_ms: int = 500) -> DataFrame:

@@ -190,6 +190,20 @@ def test_late_lines_are_dropped(spark, tmp_path):
     assert {r.window.start.hour: r.total_requests for r in table.collect()} == {5: 1, 9: 2}
 
 
+def test_progress_counts_malformed_and_late_lines(spark, tmp_path):
+    parts = [[line(2, 9, "/a", 200, 1), "junk", ""], [line(2, 9, "/a", 200, 1), "more junk"], [line(2, 5, "/late", 200, 1), "x"]]
+    timed = log_stream.timed_records(feed(spark, tmp_path, parts), observe="log_lines")
+    query = (
+        log_stream.status_windows(timed).writeStream.outputMode("update").format("noop")
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    seen = [p["observedMetrics"]["log_lines"].asDict() for p in query.recentProgress if p["observedMetrics"]]
+    assert sum(m["records"] for m in seen) == 3 and sum(m["malformed"] for m in seen) == 3
+    dropped = [s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert sum(dropped) == 1
+
+
 def test_drain_of_nothing_and_resume(spark, tmp_path):
     stream = feed(spark, tmp_path, [["junk"]])
     folder = str(tmp_path / "state")
