@@ -35,8 +35,8 @@ class Tables:
     def stream(self, name: str) -> DataFrame:
         """A base table as a file stream."""
         schema = read_table(self.spark, self.folder, name).schema
-        reader = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-        return reader.parquet(self.folder)
+        # Written as a pattern because a stream takes no plain path to a single file.
+        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}.[p]arquet")
 
     def stream_view(self, name: str) -> DataFrame:
         text = VIEWS[name]
