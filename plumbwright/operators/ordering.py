@@ -85,13 +85,20 @@ class _Target:
 
 
 def order_statistics(
-    df: DataFrame, targets: Sequence[tuple[Column, int]], rows: int, direct_rows: int = DIRECT_ROWS
+    df: DataFrame,
+    targets: Sequence[tuple[Column, int]],
+    rows: int,
+    direct_rows: int = DIRECT_ROWS,
+    proposals: Sequence[tuple] | None = None,
 ) -> list:
     """Values at 0-based positions of sorted numeric columns.
 
     ``targets`` pairs a numeric expression with a position; ``rows`` is the
     number of non-NULL values.  Returns one value per target, exactly.  The
     frame is scanned a few times: store it first when it is not a plain scan.
+
+    ``proposals`` are first brackets (low, high), one per target, for values of
+    a known distribution; they save the first sketch and need not be right.
     """
     state = []
     for value, k in targets:
@@ -99,6 +106,8 @@ def order_statistics(
             raise ValueError(f"position {k} outside 0..{rows - 1}")
         state.append(_Target(value, k, rows))
 
+    if proposals and rows > direct_rows:
+        _count_around(df, state, list(proposals))
     while open_targets := [t for t in state if not t.done and t.inside > direct_rows]:
         _narrow_all(df, open_targets)
     if rest := [t for t in state if not t.done]:

@@ -28,7 +28,10 @@ def last_row_per_key(
     """One row per key: ``n`` rows seen and ``cells`` of the row with the greatest position."""
     staged = df.select(
         *[normalise(cell(df, c)).alias(c) for c in key_columns],
-        F.struct(*[normalise(cell(df, c)).alias(f"c{i}") for i, c in enumerate(compare_columns)]).alias("cells"),
+        F.struct(
+            F.lit(True).alias("seen"),
+            *[normalise(cell(df, c)).alias(f"c{i}") for i, c in enumerate(compare_columns)],
+        ).alias("cells"),
         F.struct(*[field(c).alias(f"p{i}") for i, c in enumerate(position)]).alias("at"),
     )
     return staged.groupBy(*[field(c) for c in key_columns]).agg(
@@ -62,7 +65,8 @@ class Reconciliation:
                 for i, c in enumerate(self.compare_columns)
             ]
         )
-        return F.filter(candidates, lambda d: d["source_value"] != d["target_value"])
+        typed = candidates.cast("array<struct<column:string,source_value:string,target_value:string>>")
+        return F.filter(typed, lambda d: d["source_value"] != d["target_value"])
 
     def _differs(self):
         """True when any compared cell differs."""

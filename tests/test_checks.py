@@ -118,3 +118,25 @@ def test_high_spend_compares_the_unrounded_sum(spark, rows):
 def test_column_names_with_dots(spark, rows):
     df = spark.createDataFrame([("x", "")], "`a.b` string, c string").withColumn("c", F.lit(" "))
     assert rows(quality.null_counts(df, ["a.b", "c"])) == [("nulls", "a.b", 0), ("nulls", "c", 1)]
+
+
+def test_reconcile_without_compared_columns(spark, rows):
+    s = spark.createDataFrame([("a", 0), ("b", 1)], "k string, pos long")
+    rec = reconcile(s, s.filter("k = 'a'"), ["k"], [], ["pos"])
+    assert rows(rec.mismatches()) == [] and rec.summary().first().match_rate == 50.0
+    assert [r[1] for r in rows(rec.findings())] == ["missing_in_target"]
+
+
+def test_a_key_that_holds_a_third_of_all_rows(spark, rows):
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "  ").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("string").alias("v"),
+        F.col("id").alias("pos"),
+    )
+    rec = reconcile(df, df.filter("pos < 29997"), ["k"], ["v"], ["pos"])
+    # The blank key keeps its last row on each side: 29997 and 29994.
+    assert rows(rec.mismatches()) == [("", "v", "29997", "29994")]
+    s = rec.summary().first()
+    assert (s.source_rows, s.source_keys, s.missing_in_target, s.duplicate_keys_source) == (n, 20001, 2, 1)
+    assert rows(quality.duplicate_rows(df, ["k"])) == [("duplicate_rows", "k", 10000)]

@@ -146,6 +146,14 @@ def test_order_statistics_of_large_integers(spark):
         ordering.order_statistics(df, [(F.col("v"), 150)], 150)
 
 
+@pytest.mark.parametrize("ends", [(0.2, 0.3), (0.0, 0.01), (0.9, 1.0), (0.5, 0.5), (-1.0, 2.0)])
+def test_wrong_proposals_do_not_matter(spark, ends):
+    rng = random.Random(5)
+    data = [rng.random() for _ in range(2000)]
+    got = ordering.order_statistics(values(spark, data), [(F.col("v"), 500)], 2000, direct_rows=20, proposals=[ends])
+    assert got == [sorted(data)[500]]
+
+
 def test_global_rank(spark):
     rng = random.Random(1)
     data = [(rng.randrange(4), i, str(i)) for i in range(5000)]
@@ -173,9 +181,19 @@ def test_split_sizes_are_exact_and_repeatable(spark, n):
     assert {r.id: r.split for r in got} == want
 
 
+def test_split_of_many_rows_narrows_by_hash_range(spark, monkeypatch):
+    monkeypatch.setattr(ordering.order_statistics, "__defaults__", (50, None))
+    got = split.split_three_ways(spark.range(20_000), "id", seed=9)
+    assert dict((r.split, r["count"]) for r in got.groupBy("split").count().collect()) == {
+        "train": 10_000, "valid": 2_000, "test": 8_000,
+    }
+
+
 def test_split_refuses_empty_parts_and_repeated_keys(spark):
     with pytest.raises(ValueError, match="3/0/1"):
         split.split_three_ways(spark.range(4), "id")
+    with pytest.raises(ValueError, match="no id"):
+        split.split_three_ways(spark.createDataFrame([(1,)] * 20 + [(None,)], "id int"), "id")
     with pytest.raises(ValueError, match="unique"):
         split.split_three_ways(spark.range(100).select(F.lit(1).alias("id")), "id")
 
