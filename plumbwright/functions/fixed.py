@@ -35,7 +35,7 @@ LOG_LINE = (
     r"[^{ws}]+ [^{ws}]+ "
     r"\[([^\]]+)\] "
     r'"([A-Z]+) ([^{ws}]+) [^"]*" '
-    r"([0-9][0-9][0-9]) "
+    r"([0-9]{3}) "
     r"([0-9]+|-) "
     r"([0-9]+)"
 )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbwright.functions import vectors
 from plumbwright.functions.cells import field
-from plumbwright.operators import encode, evaluate, impute, regress, scale, selection, split
+from plumbwright.operators import encode, evaluate, impute, ordering, regress, scale, selection, split
 from plumbwright.plans.base import Tables, plan, sql
 from plumbwright.sources.scratch import write_table
 
@@ -194,6 +194,23 @@ def fx_robust(t: Tables):
     return scaled.select("l_orderkey", "l_linenumber", F.round("scaled", 9).alias("scaled"))
 
 
+_QUARTILES = """SELECT max(v) FILTER (WHERE i = n // 4) AS q1, max(v) FILTER (WHERE i = n // 2) AS median,
+max(v) FILTER (WHERE i = (3 * n) // 4) AS q3
+FROM (SELECT l_extendedprice AS v, row_number() OVER (ORDER BY l_extendedprice) - 1 AS i, count(*) OVER () AS n FROM lineitem)"""
+
+
+@plan("fx_quartiles", _QUARTILES)
+def fx_quartiles(t: Tables):
+    stats = scale.fit_robust(t["lineitem"], "l_extendedprice")
+    return t.spark.createDataFrame([(stats.q1, stats.median, stats.q3)], "q1 double, median double, q3 double")
+
+
+@plan("fx_rank", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS rank FROM orders")
+def fx_rank(t: Tables):
+    ranked = ordering.global_rank(t["orders"].select("o_totalprice", "o_orderkey"), ["o_totalprice", "o_orderkey"])
+    return ranked.select("o_orderkey", "rank")
+
+
 @plan("fx_robust_part", _robust("p_partkey", "p_retailprice", "part"))
 def fx_robust_part(t: Tables):
     scaled = scale.robust_scale(t["part"].select("p_partkey", "p_retailprice"), "p_retailprice")

@@ -206,6 +206,24 @@ def sg_denoise(t: Tables):
     return rows.select("series", "i", F.round("smoothed", 9).alias("smoothed"), F.round("despiked", 9).alias("despiked"))
 
 
+_LONG = "OVER (ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"
+
+
+@plan(
+    "sg_long_series",
+    sql(
+        f"SELECT i, round(smoothed, 9) AS smoothed, round(median(smoothed) {_LONG}, 9) AS despiked FROM a",
+        _SIG,
+        a=f"SELECT i, avg(noisy) {_LONG} AS smoothed FROM v_signal",
+    ),
+)
+def sg_long_series(t: Tables):
+    """All events as one series, laid out in blocks whatever its length."""
+    whole = t["v_signal"].select(F.lit(0).alias("series"), "i", "noisy")
+    rows = smooth.denoise(whole, "series", "i", "noisy", max_series_rows=0, block_rows=4096)
+    return rows.select("i", F.round("smoothed", 9).alias("smoothed"), F.round("despiked", 9).alias("despiked"))
+
+
 def _db(estimate: str) -> str:
     return f"10 * log10(sum(clean * clean) / sum((clean - {estimate}) * (clean - {estimate})))"
 
