@@ -123,14 +123,22 @@ def _any(conditions: Sequence[Column]) -> Column:
 
 
 def _narrow_all(df: DataFrame, targets: list[_Target]) -> None:
-    sketches, lows, highs = [], [], []
+    # Targets in the same interval of the same expression share one sketch.
+    shared: dict[tuple, list[int]] = {}
     for i, t in enumerate(targets):
-        p = (t.k + 0.5) / t.inside
-        probs = [max(0.0, p - MARGIN), min(1.0, p + MARGIN)]
-        inside = F.when(t.bracket(), t.value)
-        sketches.append(F.percentile_approx(inside, probs, ACCURACY).alias(f"s{i}"))
-        lows.append(F.min(F.col(f"s{i}")[0]).alias(f"a{i}"))
-        highs.append(F.max(F.col(f"s{i}")[1]).alias(f"b{i}"))
+        shared.setdefault((id(t.value), t.lo, t.hi), []).append(i)
+    sketches, ends_of = [], {}
+    for s, members in enumerate(shared.values()):
+        probs = []
+        for i in members:
+            p = (targets[i].k + 0.5) / targets[i].inside
+            ends_of[i] = (F.col(f"s{s}")[len(probs)], F.col(f"s{s}")[len(probs) + 1])
+            probs += [max(0.0, p - MARGIN), min(1.0, p + MARGIN)]
+        first = targets[members[0]]
+        inside = F.when(first.bracket(), first.value)
+        sketches.append(F.percentile_approx(inside, probs, ACCURACY).alias(f"s{s}"))
+    lows = [F.min(ends_of[i][0]).alias(f"a{i}") for i in range(len(targets))]
+    highs = [F.max(ends_of[i][1]).alias(f"b{i}") for i in range(len(targets))]
     candidates = df.filter(_any([t.bracket() for t in targets]))
     striped = candidates.withColumn("_stripe", F.spark_partition_id() % STRIPES)
     proposed = striped.groupBy("_stripe").agg(*sketches).agg(*lows, *highs).first()

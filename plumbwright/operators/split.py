@@ -62,7 +62,8 @@ def _cuts(df: DataFrame, key: Column, wanted: list[tuple[int, int]], n: int) ->
     """The rows at the wanted (seed, position) pairs."""
     seeds = sorted({seed for seed, _ in wanted})
     hashed = df.select(*[_hash_part(key, seed, 0).alias(f"h{seed}") for seed in seeds])
-    targets = [(F.col(f"h{seed}"), k) for seed, k in wanted]
+    heads_of = {seed: F.col(f"h{seed}") for seed in seeds}
+    targets = [(heads_of[seed], k) for seed, k in wanted]
     heads = order_statistics(hashed, targets, n, proposals=[_likely_range(k, n) for _, k in wanted])
     counted = []
     for i, ((column, _), head) in enumerate(zip(targets, heads)):

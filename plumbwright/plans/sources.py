@@ -97,4 +97,4 @@ def src_text_lines(t: Tables):
     ),
 )
 def src_table_lines(t: Tables):
-    return files.table_lines(t["documents"], "text", keep=["doc_id"])
+    return files.table_lines(t.spread("documents"), "text", keep=["doc_id"])
