@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbwright.llm import exact_dedup, packing
+from plumbwright.llm import exact_dedup, packing, records, token_counts
 from plumbwright.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,14 @@ def op5_exact_dedup(spark, folder):
 @query("op9_pack_powers")
 def op9_pack_powers(spark, folder):
     return packing.pack(read_table(spark, folder, "documents"), with_ids=False)
+
+
+@query("op7_prefix_token_counts")
+def op7_prefix_token_counts(spark, folder):
+    return token_counts.token_counts(read_table(spark, folder, "documents"), with_prefixes=False)
+
+
+@query("op10_token_records")
+def op10_token_records(spark, folder):
+    written = records.write_records(read_table(spark, folder, "documents"))
+    return records.read_records(written).drop("ids")
