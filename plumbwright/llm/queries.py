@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbwright.llm import exact_dedup, packing, records, token_counts
+from plumbwright.llm import exact_dedup, host_rules, mixing, packing, quality_model, records, simhash_index, token_counts
 from plumbwright.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,67 @@ def op7_prefix_token_counts(spark, folder):
 def op10_token_records(spark, folder):
     written = records.write_records(read_table(spark, folder, "documents"))
     return records.read_records(written).drop("ids")
+
+
+@query("op2_mix_sources")
+def op2_mix_sources(spark, folder):
+    return mixing.mix(read_table(spark, folder, "documents"))
+
+
+@query("op3_quality_grades")
+def op3_quality_grades(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    return quality_model.score(docs, quality_model.fit(docs, read_table(spark, folder, "labels")))
+
+
+# The windows of three words are compared as texts here, not by hashes.
+_HOST_RULES = r"""
+    WITH t AS (
+        SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS body,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    win AS (
+        SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t3
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+    rep AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, t3) AS c FROM win),
+    cov AS (
+        SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep WHERE c > 1)
+        GROUP BY doc_id),
+    line AS (
+        SELECT doc_id, count(*) - count(DISTINCT l) AS n
+        FROM (SELECT doc_id, unnest(string_split(body, chr(10))) AS l FROM t)
+        WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+    m AS (
+        SELECT doc_id, host, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint AS word_chars,
+               length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               coalesce(line.n, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
+        FROM t LEFT JOIN cov USING (doc_id) LEFT JOIN line USING (doc_id)),
+    f AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 10 * n_symbols > n_words AS symbols,
+               20 * n_dup_lines > n_words AS lines,
+               n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 12 * n_words) AS word_length
+        FROM m),
+    h AS (
+        SELECT host, rule, count(*) AS n, sum(bad::int) AS x
+        FROM (SELECT host, unnest(['b', 's', 'l', 'w']) AS rule, unnest([base_failed, symbols, lines, word_length]) AS bad FROM f)
+        GROUP BY host, rule),
+    a AS (
+        SELECT rule, sum(x) / sum(n) AS p, sum(x * x / n) / sum(n) AS square, count(*) / sum(n) AS per FROM h GROUP BY rule),
+    b AS (SELECT rule, p, p * (1 - p) AS within, square - p * p - p * (1 - p) * per AS between FROM a),
+    pr AS (
+        SELECT rule, p, least(greatest(CASE WHEN between > 0 THEN within / between - 1 ELSE 1e6 END, 2), 1e6) AS weight FROM b),
+    v AS (SELECT host, max((x + weight * p) / (n + weight)) > 0.5 AS host_failed FROM h JOIN pr USING (rule) GROUP BY host)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_failed,
+           NOT base_failed AND NOT host_failed AS kept
+    FROM f JOIN v USING (host)
+    """
+
+
+@query("op6_host_rules", _HOST_RULES)
+def op6_host_rules(spark, folder):
+    return host_rules.judge(read_table(spark, folder, "documents"))
+
+
+@query("op4_simhash_groups")
+def op4_simhash_groups(spark, folder):
+    return simhash_index.near_groups(read_table(spark, folder, "documents"))
