@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbwright.llm import exact_dedup, host_rules, mixing, packing, quality_model, records, simhash_index, token_counts
+from plumbwright.llm import exact_dedup, host_rules, mixing, packing, quality_model, records, simhash_index, suffix_dedup, token_counts
 from plumbwright.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ def op6_host_rules(spark, folder):
 @query("op4_simhash_groups")
 def op4_simhash_groups(spark, folder):
     return simhash_index.near_groups(read_table(spark, folder, "documents"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, folder):
+    return suffix_dedup.remove_repeats(read_table(spark, folder, "documents")).drop("spans", "kept")
