@@ -75,3 +75,64 @@ def per_row(
         yield from rows.take(last=True)
 
     return run
+
+
+def _assign(edges: list[int]):
+    """Groups of documents by ranges of doc_id, texts of a batch and group in one compressed cell."""
+    import numpy as np
+    import zstandard
+
+    bounds = np.array(edges, np.int64)
+    schema = arrow_schema(
+        {"sender": pa.int64(), "doc_ids": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "packed": pa.binary()}
+    )
+
+    def run(batches):
+        rows, packer = Rows(schema), zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            ids = batch.column("doc_id")
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            sender = np.searchsorted(bounds, ids.fill_null(0).to_numpy(), side="left")
+            sender = np.where(known, sender, len(bounds))
+            cells, keys = list(raw_texts(batch)), ids.to_pylist()
+            order = np.argsort(sender, kind="stable")
+            for group in np.split(order, np.flatnonzero(np.diff(sender[order])) + 1):
+                some = group.tolist()
+                if some:
+                    whole = packer.compress(b"".join(cells[i] for i in some))
+                    sizes = [len(cells[i]) for i in some]
+                    rows.add(int(sender[some[0]]), [keys[i] for i in some], sizes, whole, size=len(whole))
+                    yield from rows.take()
+        yield from rows.take(last=True)
+
+    return run
+
+
+def deal(docs: DataFrame, group_bytes: int) -> tuple[DataFrame, int]:
+    """Whole documents in groups by ranges of doc_id, about ``group_bytes`` of text each, and all bytes of text.
+
+    Groups keep the order of doc_id: a smaller group has smaller ids, NULL comes
+    last, and equal ids share a group.  Read a group's rows with ``dealt_rows``.
+    """
+    named = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
+    size = named.agg(F.sum(F.octet_length("text")), F.max("doc_id")).first()
+    total, groups = size[0] or 0, max(1, -(-(size[0] or 0) // group_bytes))
+    edges: list[int] = []
+    if groups > 1 and size[1] is not None:
+        cuts = [i / groups for i in range(1, groups)]
+        edges = sorted(set(named.agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * groups))).first()[0]))
+    kind = "sender long, doc_ids array<long>, sizes array<long>, packed binary"
+    return named.mapInArrow(_assign(edges), kind), total
+
+
+def dealt_rows(table: pa.Table) -> list[tuple[int | None, bytes]]:
+    """doc_id and text of a group, in the order of doc_id (NULL last), then of the text."""
+    import zstandard
+
+    unpacker, out = zstandard.ZstdDecompressor(), []
+    for ids, sizes, packed in zip(*(table.column(c).to_pylist() for c in ("doc_ids", "sizes", "packed"))):
+        whole, at = unpacker.decompress(packed, max_output_size=max(1, sum(sizes))), 0
+        for doc_id, size in zip(ids, sizes):
+            out.append((doc_id, whole[at : at + size]))
+            at += size
+    return sorted(out, key=lambda r: (r[0] is None, r[0] or 0, r[1]))

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbwright.llm import exact_dedup, host_rules, mixing, packing, quality_model, records, simhash_index, suffix_dedup, token_counts
+from plumbwright.llm import (
+    exact_dedup,
+    host_rules,
+    mixing,
+    ngram_trie,
+    packing,
+    quality_model,
+    records,
+    simhash_index,
+    suffix_dedup,
+    token_counts,
+)
 from plumbwright.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +135,8 @@ def op4_simhash_groups(spark, folder):
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark, folder):
     return suffix_dedup.remove_repeats(read_table(spark, folder, "documents")).drop("spans", "kept")
+
+
+@query("op8_ngram_trie")
+def op8_ngram_trie(spark, folder):
+    return ngram_trie.score(read_table(spark, folder, "documents"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbwright.llm.common import Rows, arrow_schema, raw_texts, texts
+from plumbwright.llm.common import Rows, arrow_schema, deal, dealt_rows
 from plumbwright.llm.exact_dedup import rice_decode, rice_encode
 from plumbwright.sources.scratch import write_table
 
@@ -256,7 +256,7 @@ def _positions(raw: bytes) -> np.ndarray:
 
 def _send_anchors(bits: int):
     def run(key, table):
-        found = [Anchored(t).anchors for _, t in _rows(table)]
+        found = [Anchored(t).anchors for _, t in dealt_rows(table)]
         return _messages(key[0].as_py(), np.concatenate(found), bits)
 
     return run
@@ -272,7 +272,7 @@ def _open(bits: int):
     """Documents with anchors that occur twice go on with these; of others the result is known."""
 
     def run(key, table, replies):
-        docs = _rows(table)
+        docs = dealt_rows(table)
         found = [Anchored(t) for _, t in docs]
         keys, rows = _Keys([a.anchors for a in found], replies, 1, bits), Rows(_OPEN)
         for i, ((doc_id, raw), a) in enumerate(zip(docs, found)):
@@ -376,21 +376,6 @@ def _cut(bits: int, bits_before: int):
     return run
 
 
-def _assign(bounds: list[int]):
-    edges = np.array(bounds, np.int64)
-
-    def run(batches):
-        for batch in batches:
-            ids = batch.column("doc_id")
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
-            sender = np.searchsorted(edges, ids.fill_null(0).to_numpy(), side="left")
-            sender = np.where(known, sender, len(edges)).astype(np.int64)
-            cells = pa.array(list(raw_texts(batch)), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(sender), ids, cells], names=["sender", "doc_id", "text"])
-
-    return run
-
-
 def _exchange(messages: DataFrame, number: int) -> DataFrame:
     return messages.groupBy("owner").applyInArrow(_owner(number), _REPLY_KIND)
 
@@ -409,17 +394,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     their texts, so of repeated rows one is kept whole; an empty table gives no
     rows; other columns are ignored.  Strings are compared by 64-bit names.
     """
-    named = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
-    size = named.agg(F.sum(F.octet_length("text")), F.max("doc_id")).first()
-    total = size[0] or 0
-    senders = max(1, -(-total // SENDER_BYTES))
-    bounds = []
-    if senders > 1 and size[1] is not None:
-        cuts = [i / senders for i in range(1, senders)]
-        bounds = sorted(set(named.agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * senders))).first()[0]))
+    dealt, total = deal(docs, SENDER_BYTES)
     # About one anchor in 25 bytes; owners for the other rounds get fewer keys.
     bits = max(4, (total // 25 // OWNED).bit_length())
-    dealt = named.mapInArrow(_assign(bounds), "sender long, doc_id long, text binary")
     by = dealt.groupBy("sender")
     replies = _exchange(by.applyInArrow(_send_anchors(bits), _MESSAGE_KIND), 1)
     opened = write_table(by.cogroup(replies.groupBy("sender")).applyInArrow(_open(bits), _OPEN_KIND), "open")
