@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbwright.llm.common import Rows, arrow_schema, raw_texts, texts
 from plumbwright.sources.scratch import write_table
@@ -226,3 +227,22 @@ def exact_groups(docs: DataFrame, suspect_bits: int = SUSPECT_BITS) -> DataFrame
         (F.col("n").isNull() | (F.col("first.d") == F.col("row"))).alias("kept"),
         "text_sha256",
     )
+
+
+def unique_documents(docs: DataFrame, suspect_bits: int = SUSPECT_BITS) -> DataFrame:
+    """The row that stays of every group of equal texts, with the columns of ``docs``.
+
+    Texts that can't have a copy pass through; only suspects are shuffled, each
+    text once per task.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_suspect_table(suspect_prints(docs), suspect_bits))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select(row.alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    kind = StructType([named.schema["row"]])
+    for name, of in (("print", "long"), ("points", "long"), ("text_sha256", "string"), ("norm", "binary")):
+        kind = kind.add(name, of)
+    read = named.mapInArrow(_digests(bits, suspect_bits), kind)
+    doc_id = F.col("row.doc_id")
+    order = F.struct((-F.col("points")).alias("a"), doc_id.isNull().alias("b"), doc_id.alias("c"))
+    suspects = read.filter("norm is not null").groupBy("norm").agg(F.min_by("row", order).alias("row"))
+    return read.filter("norm is null").select("row.*").union(suspects.select("row.*"))

@@ -261,3 +261,15 @@ def near_groups(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> D
     heads = write_table(rooted.join(heads, "root").select("print", "component_id"), "heads")
     text = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return prints.join(heads, "print").select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+    """The documents whose doc_id is the smallest of their component, with the columns of ``docs``.
+
+    Rows without a doc_id can't be the smallest unless their whole component has
+    none, which keeps them; rows with the same doc_id stay or go together.
+    """
+    groups = near_groups(docs, radius, size)
+    others = groups.filter("component_id is not null and not (doc_id <=> component_id)").select("doc_id").distinct()
+    others = write_table(others, "near-copies").withColumnRenamed("doc_id", "_other")
+    return docs.join(others, F.col("doc_id").eqNullSafe(F.col("_other")), "left_anti")
