@@ -23,18 +23,20 @@ WEIGHTS = (1.0, 2.0, 3.0)
 REPEATS = 3
 SEED = 7
 WORD = r"[^\x20\x09-\x0D]+"
-# Words that the knapsack table spans at most; larger rests are first filled with whole documents.
+# Words that the knapsack table spans, or the longest document if that is longer; larger rests are
+# first filled with whole documents.
 TABLE_WORDS = 1 << 16
 # Documents of one length whose seeded order one task may sort.
 SORTED_TOGETHER = 1 << 15
 
 
-def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """How many documents of each length to take so that their words come nearest to ``budget``, from below.
 
-    Takes an even share of every length, fills what is left with whole documents
-    from the longest on while it exceeds the table, and solves the last part
-    exactly by dynamic programming over (word count, number of documents).
+    Takes an even share of every length but for a reserve, fills what is left
+    with whole documents in a seeded order of lengths while it exceeds the table,
+    and solves the last part exactly by dynamic programming: the largest sum of
+    the documents left that doesn't exceed the words left.
     """
     taken = np.zeros(len(lengths), np.int64)
     real = lengths > 0
@@ -43,37 +45,35 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         return taken
     if budget >= total:
         return np.where(real, counts, 0)
-    # Integer arithmetic: the products exceed what a double holds exactly.
-    taken[real] = [int(c) * budget // total for c in counts[real]]
+    # The table spans any one document.
+    span = max(TABLE_WORDS, int(lengths.max()))
+    # Python integers: the products may exceed 64 bits.
+    even = max(0, budget - span // 2)
+    taken[real] = [int(c) * even // total for c in counts[real]]
     rest = budget - int((lengths * taken).sum())
-    order = np.argsort(-lengths)
+    order = np.random.default_rng([seed, total]).permutation(np.flatnonzero(real))
     for i in order:
-        if rest <= TABLE_WORDS:
+        if rest <= span:
             break
-        size = int(lengths[i])
-        if not size:
-            continue
-        over = rest - TABLE_WORDS
-        n = min(int(counts[i] - taken[i]), -(-over // size) if size <= TABLE_WORDS else over // size)
+        n = min(int(counts[i] - taken[i]), -(-(rest - span) // int(lengths[i])))
         taken[i] += n
-        rest -= n * size
-    rest_span = min(rest, TABLE_WORDS)
+        rest -= n * int(lengths[i])
     # reach[w]: the length class whose documents completed a sum of w words first.
-    reach = np.full(rest_span + 1, -1, np.int64)
+    reach = np.full(rest + 1, -1, np.int64)
     reach[0] = len(lengths)
     for i in order:
         size, left = int(lengths[i]), int(counts[i] - taken[i])
-        if not 0 < size <= rest_span or not left:
+        if size > rest or not left:
             continue
         # Sums known before this class; each start can be extended by 1..left documents.
         frontier, n = np.flatnonzero(reach >= 0), 0
         while len(frontier) and n < left:
             frontier = frontier + size
-            frontier = frontier[frontier <= rest_span]
+            frontier = frontier[frontier <= rest]
             frontier = frontier[reach[frontier] < 0]
             reach[frontier] = i
             n += 1
-        if reach[rest_span] >= 0:
+        if reach[rest] >= 0:
             break
     best = int(np.flatnonzero(reach >= 0)[-1])
     while best:
@@ -117,13 +117,20 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int
     return weighed.withColumn("target", F.least(cap.cast("double"), F.lit(level) * F.col("weight")))
 
 
-def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
+def _plan(seed: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _source_plan(pdf, seed)
+
+    return run
+
+
+def _source_plan(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
     """Whole copies and additional documents by length, for one source."""
     size, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
     pdf = pdf.sort_values("size")
     lengths, counts = pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
     copies = int(target // size) if size else 1
-    more = fit_counts(lengths, counts, round(target) - copies * size)
+    more = fit_counts(lengths, counts, round(target) - copies * size, seed)
     return pdf.assign(copies=copies, more=more)[["source_key", "size", "source_size", "target", "n", "copies", "more"]]
 
 
@@ -169,7 +176,7 @@ def mixing_plan(
     sources = histogram.groupBy("source_key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     both = histogram.join(targets(sources, weights, repeats).drop("weight"), "source_key")
     kind = "source_key string, size long, source_size long, target double, n long, copies long, more long"
-    plan = write_table(both.groupBy("source_key").applyInPandas(_plan, kind), "plan")
+    plan = write_table(both.groupBy("source_key").applyInPandas(_plan(seed), kind), "plan")
     cuts = _last_lots(sized, plan.filter("0 < more and more < n"))
     # Lots compare as unsigned numbers: all ones, the largest, takes every document.
     last = F.coalesce("last_lot", F.when(F.col("more") == F.col("n"), F.lit(-1).cast("long")))

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbwright.llm.common import Rows, arrow_schema, raw_texts, texts
 
@@ -241,9 +242,8 @@ def _keeper(shared, least: float):
         model = shared.value
         weights = model.weights.tolist()
         for batch in batches:
-            cells = batch.column("text").cast(pa.large_binary())
-            keep = [_marks(c.as_py() or b"", weights, model)[1] >= least for c in cells]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            keep = [_marks(raw, weights, model)[1] >= least for raw in raw_texts(batch)]
+            yield batch.select(["row"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -251,4 +251,5 @@ def _keeper(shared, least: float):
 def select(docs: DataFrame, model: OrdinalModel, least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``score`` keeps."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_keeper(shared, least), docs.schema)
+    whole = texts(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return whole.mapInArrow(_keeper(shared, least), StructType([whole.schema["row"]])).select("row.*")
