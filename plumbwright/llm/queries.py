@@ -65,7 +65,7 @@ def op7_prefix_token_counts(spark, folder):
 @query("op10_token_records")
 def op10_token_records(spark, folder):
     written = records.write_records(read_table(spark, folder, "documents"))
-    return records.read_records(written).drop("ids")
+    return records.read_records(written, with_ids=False)
 
 
 @query("op2_mix_sources")

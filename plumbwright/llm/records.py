@@ -48,6 +48,9 @@ def _byte_table() -> np.ndarray:
 
 
 _TABLE = _byte_table()
+# Two bytes at once.
+_PAIRS = _TABLE[np.arange(1 << 16) & 255]
+_PAIRS = _TABLE[(_PAIRS ^ (np.arange(1 << 16, dtype=np.uint32) >> 8)) & 255] ^ (_PAIRS >> 8)
 
 
 def _apply(operator: np.ndarray, crc: np.ndarray) -> np.ndarray:
@@ -88,8 +91,8 @@ def crc32c_many(parts: list[bytes]) -> np.ndarray:
         at = pad + i
         data[at % _LANE, first + at // _LANE] ^= 255
     crc = np.zeros(data.shape[1], np.uint32)
-    for row in data:
-        crc = _TABLE[(crc ^ row) & 255] ^ (crc >> 8)
+    for low, high in zip(data[::2], data[1::2]):
+        crc = _PAIRS[(crc ^ low ^ high.astype(np.uint32) * 256) & 0xFFFF] ^ (crc >> 16)
     behind = np.repeat(first + lanes - 1, lanes) - np.arange(data.shape[1])
     for bit in range(int(behind.max()).bit_length()):
         move = behind >> bit & 1 == 1
@@ -142,6 +145,15 @@ def _read_frames(stream, whole: int, where: str, together: int = TOGETHER):
         yield from payloads
 
 
+def _opened(frame: bytes, size: int, where: str) -> bytes:
+    """The payload of a single frame."""
+    head, payload, tail = frame[: _HEAD.size], frame[_HEAD.size : -_TAIL.size], frame[-_TAIL.size :]
+    if len(frame) != size or _HEAD.unpack(head)[0] != len(payload):
+        raise DamagedRecord(where)
+    _checked([head], [payload], [tail], where)
+    return payload
+
+
 def _payload(key: int | None, ids: bytes, width: int) -> bytes:
     return _PAYLOAD.pack(key is not None, key or 0, len(ids) // width, width) + ids
 
@@ -252,21 +264,24 @@ def write_records(
     return Written(folder, write_table(placed.mapInArrow(_write(folder, width), _INDEX_KIND), "record-index"))
 
 
-_READ = arrow_schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64(), "ids_crc32": pa.int64(), "ids": pa.binary()})
-_READ_KIND = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
+_READ = arrow_schema({"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64(), "ids_crc32": pa.int64()})
+_READ_KIND = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def _read_files(folder: str):
+def _read_files(folder: str, with_ids: bool):
+    schema = _READ.append(pa.field("ids", pa.binary())) if with_ids else _READ
+
     def run(batches):
         where, base = fs.FileSystem.from_uri(folder)
-        rows = Rows(_READ)
+        rows = Rows(schema)
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
                 whole = where.get_file_info(f"{base}/{path}").size
                 with where.open_input_stream(f"{base}/{path}", buffer_size=1 << 20) as stream:
                     for payload in _read_frames(stream, whole, path):
                         key, ids = _unpack(payload)
-                        rows.add(key, start, len(ids) // 4, zlib.crc32(ids), ids, size=len(ids))
+                        more = [ids] if with_ids else []
+                        rows.add(key, start, len(ids) // 4, zlib.crc32(ids), *more, size=len(ids) * with_ids)
                         start += len(ids) // 4
                         yield from rows.take()
         yield from rows.take(last=True)
@@ -274,18 +289,20 @@ def _read_files(folder: str):
     return run
 
 
-def read_records(written: Written) -> DataFrame:
+def read_records(written: Written, with_ids: bool = True) -> DataFrame:
     """All records, read from the files from front to back with every checksum verified.
 
     Returns doc_id, start (ids of all documents before it), n_tokens, ids_crc32
-    and ids (little-endian unsigned 32-bit).
+    and, unless ``with_ids`` is false, ids (little-endian unsigned 32-bit).
     """
     sizes = written.index.groupBy("file_no", "path").agg(F.sum("n_tokens").alias("n"))
     # One row per file.
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
     files = sizes.select("path", "file_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     count = max(1, (written.index.agg(F.max("file_no")).first()[0] or 0) + 1)
-    return files.repartitionById(count, "file_no").mapInArrow(_read_files(written.folder), _READ_KIND)
+    return files.repartitionById(count, "file_no").mapInArrow(
+        _read_files(written.folder, with_ids), _READ_KIND + (", ids binary" if with_ids else "")
+    )
 
 
 def _read_places(folder: str):
@@ -300,12 +317,7 @@ def _read_places(folder: str):
                 if path != name:
                     name, file = path, where.open_input_file(f"{base}/{path}")
                 file.seek(offset)
-                frame = file.read(size)
-                head, tail = frame[: _HEAD.size], frame[-_TAIL.size :]
-                payload = frame[_HEAD.size : -_TAIL.size]
-                if len(frame) != size or _HEAD.unpack(head)[0] != len(payload):
-                    raise DamagedRecord(path)
-                _checked([head], [payload], [tail], path)
+                payload = _opened(file.read(size), size, path)
                 rows.add(*_unpack(payload), size=size)
                 yield from rows.take()
         yield from rows.take(last=True)
