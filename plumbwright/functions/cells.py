@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbwright.functions.fixed import FLOAT_CELL, INT_CELL, MISSING_LITERALS, WHITESPACE
+from plumbwright.functions.fixed import FLOAT_CELL, INT_CELL, MISSING_LITERALS, STRAY_UNDERSCORE, WHITESPACE
 
 
 def field(name: str) -> Column:
@@ -50,6 +50,10 @@ def full_match(c: Column, pattern: str) -> Column:
     return c.rlike(rf"(?U)\A(?:{pattern})\z")
 
 
+def _spelled(s: Column, pattern: str) -> Column:
+    return s.rlike(rf"\A{pattern}\z") & ~s.rlike(STRAY_UNDERSCORE)
+
+
 def number(s: Column) -> Column:
     """Trimmed text to double, NULL when the text is not a number.
 
@@ -58,7 +62,7 @@ def number(s: Column) -> Column:
     passes the guard and fails the cast, hence the NaN fallback.
     """
     value = F.coalesce(F.replace(s, F.lit("_"), F.lit("")).try_cast("double"), F.lit(float("nan")))
-    return F.when(s.rlike(rf"\A{FLOAT_CELL}\z"), value)
+    return F.when(_spelled(s, FLOAT_CELL), value)
 
 
 def to_float(c: Column) -> Column:
@@ -69,7 +73,17 @@ def to_float(c: Column) -> Column:
 def to_int(c: Column) -> Column:
     """Text to bigint, NULL when it is not a whole number or does not fit."""
     s = strip_ws(c)
-    return F.when(s.rlike(rf"\A{INT_CELL}\z"), F.replace(s, F.lit("_"), F.lit("")).try_cast("bigint"))
+    return F.when(_spelled(s, INT_CELL), F.replace(s, F.lit("_"), F.lit("")).try_cast("bigint"))
+
+
+def to_long_int(c: Column) -> Column:
+    """Text to decimal(38,0), NULL when it is not a whole number or has more digits."""
+    s = strip_ws(c)
+    return F.when(_spelled(s, INT_CELL), F.replace(s, F.lit("_"), F.lit("")).try_cast("decimal(38,0)"))
+
+
+def _is_whole(c: Column) -> Column:
+    return _spelled(strip_ws(c), INT_CELL)
 
 
 def is_finite(v: Column) -> Column:
@@ -81,7 +95,8 @@ def coerce_kind(c: Column) -> Column:
     v = to_float(c)
     return (
         F.when(is_blank(c), F.lit(None).cast("string"))
-        .when(to_int(c).isNotNull(), "int")
+        .when(to_long_int(c).isNotNull(), "int")
+        .when(_is_whole(c), "string")
         .when(v.isNotNull() & is_finite(v), "float")
         .otherwise("string")
     )
@@ -90,15 +105,17 @@ def coerce_kind(c: Column) -> Column:
 def coerce(c: Column) -> Column:
     """Best-effort typing of one cell as VARIANT: integer, double, text or NULL.
 
-    Whole numbers beyond bigint become doubles.  NaN and infinities stay text,
-    since they have no JSON form and would not survive a round trip.
+    Whole numbers keep all their digits: beyond bigint they become decimals, and
+    with more than 38 digits they stay text.  NaN and infinities stay text, since
+    they have no JSON form and would not survive a round trip.
     """
     v = to_float(c)
     return F.when(
         ~is_blank(c),
         F.coalesce(
             to_int(c).cast("variant"),
-            F.when(is_finite(v), v).cast("variant"),
+            to_long_int(c).cast("variant"),
+            F.when(is_finite(v) & ~_is_whole(c), v).cast("variant"),
             strip_ws(c).cast("variant"),
         ),
     )

@@ -16,11 +16,14 @@ WHITESPACE_CLASS = r"\s\x1c-\x1f"
 # Line terminators recognised when one text value holds a whole table.
 LINE_BREAK = r"\r\n|[\x0a-\x0d\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
-# Number spellings accepted as cells.
-DIGITS = r"[0-9](?:_?[0-9])*"
+# Number spellings accepted as cells.  Digit runs are plain classes,
+# because a matcher recurses once per repeated group; an underscore that is not
+# between two digits is looked for separately.
+DIGITS = r"[0-9][0-9_]*"
+STRAY_UNDERSCORE = r"(?:\A|[^0-9])_|_(?:[^0-9]|\z)"
 INT_CELL = rf"[+-]?{DIGITS}"
 FLOAT_CELL = (
-    rf"[+-]?(?:(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?"
+    rf"[+-]?(?:(?:{DIGITS}(?:\.[0-9_]*)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?"
     r"|(?i:inf|infinity|nan))"
 )
 

@@ -12,7 +12,8 @@ _GAP = rf"(?U)[{WHITESPACE_CLASS}]+"
 _BREAK = "(?U)" + PARAGRAPH_BREAK.replace("{ws}", WHITESPACE_CLASS)
 # A separator character, so it never occurs inside a word of the text.
 PARAGRAPH_MARK = "\x1e"
-_BREAK_RUN = rf"(?U)[{WHITESPACE_CLASS}]*\n[{WHITESPACE_CLASS}]*\n"
+# Starts only at the first blank of a run: a run without a break is looked at once.
+_BREAK_RUN = rf"(?U)(?<![{WHITESPACE_CLASS}])[{WHITESPACE_CLASS}]*\n[{WHITESPACE_CLASS}]*\n"
 _UNMARKED_GAP = r"(?U)[\s\x1c\x1d\x1f]+"
 _AFTER_END = rf"(?U)(?<={SENTENCE_END})[{WHITESPACE_CLASS}]+"
 

@@ -9,8 +9,8 @@ from pyspark.sql.types import ArrayType
 from plumbwright.functions.fixed import NUMBER_LABELS
 
 
-# Feature bits share one non-negative bigint.
-MAX_FEATURES = 63
+# Feature bits that share one non-negative bigint.
+WORD_BITS = 63
 
 
 def bit_features(n: Column, width: int = 10) -> Column:
@@ -30,29 +30,39 @@ def decode_class(n: Column, cls: Column) -> Column:
 
 
 def pack_parities(features: Column) -> Column:
-    """Fold an integer array into one bigint holding each element's parity bit."""
-    bits = F.transform(features, lambda x, i: F.call_function("shiftleft", F.abs(x).cast("bigint") % 2, i))
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
+    """Fold an integer array into words that hold each element's parity bit, any number of them."""
+    zero = F.lit(0).cast("bigint")
 
+    def word(w: Column) -> Column:
+        part = F.slice(features, w * WORD_BITS + 1, WORD_BITS)
+        bits = F.transform(part, lambda x, i: F.call_function("shiftleft", F.abs(x).cast("bigint") % 2, i))
+        return F.aggregate(bits, zero, lambda acc, b: acc.bitwiseOR(b))
 
-def subset_mask(indices) -> int:
-    """Bit mask of the chosen features; an index listed twice cancels out."""
-    mask = 0
+    last = F.floor((F.greatest(F.size(features), F.lit(1)) - 1) / F.lit(WORD_BITS)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), word)
+
+
+def subset_mask(indices) -> list[int]:
+    """Bit masks by word of the chosen features; an index listed twice cancels out."""
+    mask: list[int] = []
     for i in indices:
-        if not 0 <= i < MAX_FEATURES:
-            raise ValueError(f"feature index must be between 0 and {MAX_FEATURES - 1}")
-        mask ^= 1 << i
+        if i < 0:
+            raise ValueError("a feature index must not be negative")
+        word, bit = divmod(i, WORD_BITS)
+        mask += [0] * (word + 1 - len(mask))
+        mask[word] ^= 1 << bit
     return mask
 
 
 def masked_parity(bits: Column, mask: Column) -> Column:
-    """Parity of the masked bits: one population count instead of a loop."""
-    return F.bit_count(bits.bitwiseAND(mask)) % 2
+    """Parity of the masked bits: a population count per word instead of a loop over features."""
+    both = F.zip_with(bits, mask, lambda b, m: F.bit_count(F.coalesce(b.bitwiseAND(m), F.lit(0).cast("bigint"))))
+    return F.aggregate(both, F.lit(0), lambda acc, n: acc + n) % 2
 
 
 def parity_predict(bits: Column, indices, flip: Column | int = 0) -> Column:
     """Parity of the chosen features, flipped when ``flip`` is 1."""
-    parity = masked_parity(bits, F.lit(subset_mask(indices)).cast("bigint"))
+    parity = masked_parity(bits, F.lit(subset_mask(indices)).cast("array<bigint>"))
     return parity.bitwiseXOR(flip if isinstance(flip, Column) else F.lit(flip))
 
 

@@ -106,14 +106,55 @@ def _negative() -> Column:
     return _rule(2, "non_negative", broken, F.lit(DRIFT_MESSAGES["non_negative"]))
 
 
+def absent(profiles: DataFrame, expected: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Profiles of expected batches that have no rows: nothing is filled, so completeness is 0.
+
+    ``expected`` lists the batches under the names ``by``.  Union the result with
+    a finished profile table, so that a feed that has stopped is judged as well;
+    other batch columns of the profile are NULL.
+    """
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("column_no"), F.lit(c).alias("column"), F.lit(0).cast("bigint").alias("n"),
+                F.lit(0.0).alias("completeness"), F.lit(0.0).alias("integral"),
+                F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("min"),
+            )
+            for i, c in enumerate(columns)
+        ]
+    )
+    missing = expected.select(*by).distinct().join(profiles.select(*by).distinct(), list(by), "left_anti")
+    filled = missing.select(*by, F.inline(rows))
+    others = {c: F.lit(None).cast(t) for c, t in profiles.dtypes if c not in filled.columns}
+    return filled.withColumns(others).select(*profiles.columns) if others else filled.select(*profiles.columns)
+
+
+def _vanished(current: DataFrame, baseline: DataFrame, batch: list[str]) -> DataFrame:
+    """Columns of the baseline that a batch's profile does not have, with nothing filled."""
+    # One row per profiled column, a list fixed by the caller.
+    known = baseline.agg(F.collect_list(F.struct("column_no", "column"))).scalar()
+    seen = current.groupBy(*batch).agg(F.collect_set("column").alias("_seen")).withColumn("_known", known)
+    gone = F.filter("_known", lambda k: ~F.array_contains(F.col("_seen"), k["column"]))
+    empty = {"n": F.lit(0).cast("bigint"), "completeness": F.lit(0.0), "integral": F.lit(0.0)}
+    empty |= {s: F.lit(None).cast("double") for s in ("mean", "min")}
+    return seen.select(*batch, F.inline(gone)).withColumns(empty).select(*current.columns)
+
+
 def violations(current: DataFrame, baseline: DataFrame, rules: list[Column]) -> DataFrame:
-    """One row per broken rule: the profile's batch columns, column, rule and message."""
+    """One row per broken rule: the profile's batch columns, column, rule and message.
+
+    The baseline must have one row per column.  In a finished table, columns of
+    the baseline that a batch lacks are judged as empty; a stream's profile has
+    the columns it was given, so profile the baseline's there.
+    """
     batch = [c for c in current.columns if c not in ("column_no", "column", *STATS)]
-    base = baseline.select(
-        "column",
-        F.col("integral").alias("base_integral"),
-        F.col("mean").alias("base_mean"),
-        F.col("min").alias("base_min"),
+    if batch and not current.isStreaming:
+        current = current.unionByName(_vanished(current, baseline, batch))
+    once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("the baseline has several rows for a column")).cast("double"))
+    base = baseline.groupBy("column").agg(
+        F.coalesce(once, F.first("integral")).alias("base_integral"),
+        F.first("mean").alias("base_mean"),
+        F.first("min").alias("base_min"),
     )
     # The baseline has one row per profiled column, a list fixed by the caller.
     joined = current.join(F.broadcast(base), "column")

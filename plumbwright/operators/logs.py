@@ -13,6 +13,8 @@ from plumbwright.functions.cells import field, ratio, strip_ws
 from plumbwright.functions.fixed import LOG_LINE, LOG_TIME_FORMAT, WHITESPACE_CLASS
 
 _REWRITE = r"(?sU)\A" + LOG_LINE.replace("{ws}", WHITESPACE_CLASS) + r".*\z"
+# Slices of the items of a ranking, each cut to its own top k before the last ranking.
+SLICES = 64
 # A leading line break marks a rewritten line: trimmed input never starts with
 # one.  All groups but the timestamp are free of blanks, so it goes last.
 _LAYOUT = "\n$1 $3 $4 $5 $6 $7 $2"
@@ -40,16 +42,25 @@ def parse_lines(df: DataFrame, line: str = "line") -> DataFrame:
         part[1].alias("method"),
         part[2].alias("path"),
         part[3].cast("int").alias("status"),
-        size.try_cast("bigint").alias("bytes"),
-        part[5].try_cast("bigint").alias("ms"),
+        _capped(size).alias("bytes"),
+        _capped(part[5]).alias("ms"),
         F.when(F.col("_f").isNull(), F.col("_text")).alias("raw"),
     )
     return staged.select(*kept, F.inline(F.when(F.col("_text") != "", F.array(fields))))
 
 
+def _capped(digits: Column) -> Column:
+    """A run of digits as bigint; more than fit count as the largest."""
+    return F.coalesce(digits.try_cast("bigint"), F.when(digits.isNotNull(), F.lit((1 << 63) - 1)))
+
+
 def event_time(ts: Column) -> Column:
-    """The textual log time as a timestamp, NULL when it does not parse."""
-    return F.try_to_timestamp(ts, F.lit(LOG_TIME_FORMAT))
+    """The textual log time as a timestamp, NULL when it does not parse.
+
+    A zone offset after the time is optional; without one the session's zone holds.
+    """
+    plain, zoned = (F.try_to_timestamp(ts, F.lit(LOG_TIME_FORMAT + z)) for z in ("", " Z"))
+    return F.coalesce(plain, zoned)
 
 
 def records(parsed: DataFrame) -> DataFrame:
@@ -135,8 +146,12 @@ def log_report(parsed: DataFrame, position: str, slow_ms: int = 500, k: int = 3)
     )
     listed = grouped.filter((gid == overall) | F.col("ok")).select("_first", F.inline(rows))
     # Rows of unranked sections are partitions of their own and always rank first,
-    # so one condition keeps them and cuts the ranked sections.
+    # so one condition keeps them and cuts the ranked sections.  A first round within
+    # slices of the items leaves at most k rows a slice for the last one, for any k.
     ranked = F.col("section").isin("slowest_endpoints", "top_talkers")
+    slices = F.pmod(F.xxhash64("item"), F.lit(SLICES))
+    within = Window.partitionBy("section", F.when(~ranked, F.col("item")), slices).orderBy(F.desc("value"), "_first")
+    listed = listed.withColumn("_at", F.row_number().over(within)).filter(F.col("_at") <= k)
     order = Window.partitionBy("section", F.when(~ranked, F.col("item"))).orderBy(F.desc("value"), "_first")
     top = listed.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return top.select("section", "item", F.when(ranked, F.col("rank")).alias("rank"), "value")

@@ -186,14 +186,19 @@ def _read_off(df: DataFrame, targets: list[_Target]) -> None:
         t.settle(row[f"r{i}"])
 
 
-def global_rank(df: DataFrame, order: Sequence[str], rank: str = "rank") -> DataFrame:
+def global_rank(
+    df: DataFrame, order: Sequence[str], rank: str = "rank", partitions: int | None = None
+) -> DataFrame:
     """Add the exact 0-based rank of every row in the order of ``order``.
 
     The order columns together must be unique: ties would have to share a
     partition.  The sorted partitions are stored before their sizes are read,
-    so sizes and rows always describe the same partitioning.
+    so sizes and rows always describe the same partitioning.  Give ``partitions``
+    for large inputs (about their size over 128 MB): adaptive execution does not
+    split a range partition that is too large.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    keys = [F.col(c) for c in order]
+    ranged = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)).sortWithinPartitions(*order)
     frozen = write_table(ranged.withColumn("_at", F.monotonically_increasing_id()), "rank")
     # The id is partition number * 2^33 + index within the partition.
     part, index = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbwright.functions.cells import cell, full_match, is_blank, melt, normalise, to_float
+from plumbwright.functions.cells import cell, field, full_match, is_blank, melt, normalise, to_float
 
 REPORT_COLUMNS = ("metric", "item", "value")
 
@@ -62,15 +62,27 @@ def format_violations(df: DataFrame, formats: Mapping[str, str]) -> DataFrame:
     return _one_row(df, _format_checks(df, formats))
 
 
+def repeated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Value combinations that occur more than once and their row count ``n``.
+
+    A column that is called ``n`` itself makes the count ``n_``, and so on.
+    """
+    name = "n"
+    while name in columns:
+        name += "_"
+    counts = df.groupBy(*[field(c) for c in columns]).agg(F.count(F.lit(1)).alias(name))
+    return counts.filter(F.col(name) > 1)
+
+
 def key_counts(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
-    """Rows per normalised key that occurs more than once."""
-    keys = [normalise(cell(df, c)).alias(c) for c in key_columns]
-    return df.select(*keys).groupBy(*key_columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Rows per normalised key that occurs more than once, counted as in :func:`repeated`."""
+    return repeated(df.select(*[normalise(cell(df, c)).alias(c) for c in key_columns]), key_columns)
 
 
 def duplicate_rows(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
     """How many rows share their key with another row (all of them, not the surplus)."""
-    total = key_counts(df, key_columns).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v"))
+    counts = key_counts(df, key_columns)
+    total = counts.agg(F.coalesce(F.sum(F.col(counts.columns[-1])), F.lit(0)).alias("v"))
     return melt(total, REPORT_COLUMNS, [("duplicate_rows", ",".join(key_columns), F.col("v"))])
 
 

@@ -22,19 +22,26 @@ from plumbwright.operators.quality import key_counts
 from plumbwright.sources.scratch import write_table
 
 
+def _key_names(key_columns: Sequence[str]) -> list[str]:
+    return [f"_key{i}" for i in range(len(key_columns))]
+
+
 def last_row_per_key(
     df: DataFrame, key_columns: Sequence[str], compare_columns: Sequence[str], position: Sequence[str]
 ) -> DataFrame:
-    """One row per key: ``n`` rows seen and ``cells`` of the row with the greatest position."""
+    """One row per key: ``n`` rows seen and ``cells`` of the row with the greatest position.
+
+    Key cells are ``_key0``, ``_key1``, ..., so that keys may have any name.
+    """
     staged = df.select(
-        *[normalise(cell(df, c)).alias(c) for c in key_columns],
+        *[normalise(cell(df, c)).alias(f"_key{i}") for i, c in enumerate(key_columns)],
         F.struct(
             F.lit(True).alias("seen"),
             *[normalise(cell(df, c)).alias(f"c{i}") for i, c in enumerate(compare_columns)],
         ).alias("cells"),
         F.struct(*[field(c).alias(f"p{i}") for i, c in enumerate(position)]).alias("at"),
     )
-    return staged.groupBy(*[field(c) for c in key_columns]).agg(
+    return staged.groupBy(*_key_names(key_columns)).agg(
         F.count(F.lit(1)).alias("n"), F.max_by("cells", "at").alias("cells")
     )
 
@@ -52,7 +59,7 @@ class Reconciliation:
         return Reconciliation(write_table(self.pairs, "reconcile"), self.key_columns, self.compare_columns)
 
     def _keys(self):
-        return [field(c) for c in self.key_columns]
+        return [F.col(k).alias(c) for k, c in zip(_key_names(self.key_columns), self.key_columns)]
 
     def _differences(self):
         candidates = F.array(
@@ -151,5 +158,5 @@ def reconcile(
         reduced = last_row_per_key(df, key_columns, compare_columns, position)
         return reduced.withColumnsRenamed({"n": f"n_{tag}", "cells": f"{tag}_cells"})
 
-    pairs = side(source, "source").join(side(target, "target"), list(key_columns), "full_outer")
+    pairs = side(source, "source").join(side(target, "target"), _key_names(key_columns), "full_outer")
     return Reconciliation(pairs, tuple(key_columns), tuple(compare_columns))

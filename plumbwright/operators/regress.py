@@ -57,17 +57,23 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _share(v: Column, spread: Column) -> Column:
+    return F.coalesce(F.try_divide(v, spread), F.lit(0.0))
+
+
 def descend(m: DataFrame, lr: float = 0.01, epochs: int = 400) -> DataFrame:
     """Gradient descent from zero on standardised features.
 
+    A feature with a single value has no spread to standardise by; its weight is 0.
+
     One row: ``weights`` and ``bias`` in original units and ``history``, the
     loss before the step at epoch 1 and every 50th epoch.
     """
     std, mean_y = F.col("std_x"), F.col("mean_y")
     scaled = m.select(
         "*",
-        F.transform("cov_xx", lambda row, i: F.transform(row, lambda v, j: v / (std[i] * std[j]))).alias("_c"),
-        F.transform("cov_xy", lambda v, i: v / std[i]).alias("_g"),
+        F.transform("cov_xx", lambda row, i: F.transform(row, lambda v, j: _share(v, std[i] * std[j]))).alias("_c"),
+        F.transform("cov_xy", lambda v, i: _share(v, std[i])).alias("_g"),
     )
     c, g = F.col("_c"), F.col("_g")
 
@@ -86,7 +92,7 @@ def descend(m: DataFrame, lr: float = 0.01, epochs: int = 400) -> DataFrame:
     run = scaled.select(
         "mean_x", "std_x", F.aggregate(F.sequence(F.lit(1), F.lit(epochs)), start, step).alias("s")
     )
-    weights = F.transform("s.w", lambda w, i: w / F.col("std_x")[i])
+    weights = F.transform("s.w", lambda w, i: _share(w, F.col("std_x")[i]))
     return run.select(
         weights.alias("weights"),
         (F.col("s.b") - _dot(weights, F.col("mean_x"))).alias("bias"),
@@ -119,9 +125,9 @@ def history_rows(fit: DataFrame) -> DataFrame:
 
 
 def least_squares(df: DataFrame, features: Sequence[str], target: str) -> tuple[list[float], float]:
-    """The exact solution, from the same moments (d x d numbers reach the driver)."""
+    """The exact solution (of several, the shortest), from the same moments (d x d numbers reach the driver)."""
     import numpy as np
 
     m = moments(df, features, target).first()
-    weights = np.linalg.solve(np.array(m["cov_xx"]), np.array(m["cov_xy"]))
+    weights = np.linalg.lstsq(np.array(m["cov_xx"]), np.array(m["cov_xy"]), rcond=None)[0]
     return weights.tolist(), float(m["mean_y"] - weights @ np.array(m["mean_x"]))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbwright.functions.cells import field, melt
+from plumbwright.operators.quality import repeated
 
 
 def spend_per_patient(patients: DataFrame, claims: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def orphan_claims(patients: DataFrame, claims: DataFrame) -> DataFrame:
 
 def duplicate_rows_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Value combinations that occur more than once; NULLs compare equal."""
-    return df.groupBy(*[field(c) for c in columns]).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return repeated(df, columns)
 
 
 def duplicate_claims(claims: DataFrame) -> DataFrame:
@@ -72,8 +73,8 @@ def constraint_violations(df: DataFrame, not_null: Sequence[str], primary_key: s
     """NOT NULL and primary-key breaches as rows (constraint, column, n)."""
     nulls = df.agg(*[F.count_if(field(c).isNull()).alias(f"v{i}") for i, c in enumerate(not_null)])
     null_rows = [("not_null", c, F.col(f"v{i}")) for i, c in enumerate(not_null)]
-    repeated = duplicate_rows_by(df.filter(field(primary_key).isNotNull()), [primary_key])
-    surplus = repeated.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("v"))
+    again = duplicate_rows_by(df.filter(field(primary_key).isNotNull()), [primary_key])
+    surplus = again.agg(F.coalesce(F.sum(F.col(again.columns[-1]) - 1), F.lit(0)).alias("v"))
     names = ("constraint", "column", "n")
     return melt(nulls, names, null_rows).unionByName(
         melt(surplus, names, [("primary_key", primary_key, F.col("v"))])

@@ -35,7 +35,7 @@ def candidate_scores(counts: DataFrame, candidates: Sequence[Sequence[int]]) ->
     A candidate predicts the parity of its features, flipped when the unflipped
     rule is right on less than half of the training rows.
     """
-    masks = F.lit([subset_mask(idx) for idx in candidates]).cast("array<bigint>")
+    masks = F.lit([subset_mask(idx) for idx in candidates]).cast("array<array<bigint>>")
     right = F.transform(
         masks, lambda m: F.when(masked_parity(F.col("bits"), m) == F.col("label"), F.col("n")).otherwise(0)
     )
@@ -64,9 +64,18 @@ def winners(scores: DataFrame) -> DataFrame:
     return picked.select("run", "w.*", "mean_candidate_valid")
 
 
-def selection_gap(best: DataFrame) -> DataFrame:
-    """How much the winners' validation accuracy flatters them, over all runs."""
-    return best.agg(
+def split_sizes(counts: DataFrame) -> DataFrame:
+    """Rows of every split per run, from :func:`label_counts`."""
+    sizes = [F.coalesce(F.sum(F.when(F.col("split") == s, F.col("n"))), F.lit(0)).alias(f"{s}_n") for s in SPLITS]
+    return counts.groupBy("run").agg(*sizes)
+
+
+def selection_gap(best: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How much the winners' validation accuracy flatters them, over all runs or per group of runs.
+
+    ``by`` names columns of ``best``, such as whether a run's labels carry a signal.
+    """
+    return (best.groupBy(*by) if by else best.groupBy()).agg(
         F.avg("valid").alias("mean_valid"),
         F.avg("test").alias("mean_test"),
         F.count_if(F.col("valid") > F.col("test")).alias("optimistic"),

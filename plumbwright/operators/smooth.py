@@ -1,10 +1,10 @@
 """Centred window filters over ordered series and their signal-to-noise ratio.
 
-Short series share tasks and need one shuffle by series.  When any series is
-longer than ``max_series_rows`` the rows are laid out in fixed-size blocks of
-the global (series, position) order instead, each block carrying copies of the
-few rows its frames reach across the border, so that no series, however long,
-ends up in one task.
+With the layout ``series``, series share tasks and need one shuffle by series.
+With ``blocks``, for series too long for one task, the rows are laid out in
+fixed-size blocks of the global (series, position) order instead, each block
+carrying copies of the rows its frames reach across the border.  Both give the
+same rows.
 """
 
 from __future__ import annotations
@@ -17,27 +17,67 @@ from pyspark.sql import functions as F
 from plumbwright.functions.cells import field
 from plumbwright.operators.ordering import global_rank
 
-MAX_SERIES_ROWS = 1_000_000
-MAX_WINDOW = 1_001
+BLOCK_ROWS = 1_000_000
+# The median sorts its window for every row, so its length is bounded.
+MEDIAN_WINDOW = 1_001
+# Windows up to this length are summed anew for every row, which rounds least.
+SUMMED_WINDOW = 101
+
+# Adds a filtered column: (frame, source column, new column, window) to frame.
+Filter = Callable[[DataFrame, str, str, WindowSpec], DataFrame]
 
 
 def _half(window: int) -> int:
-    if not 1 <= window <= MAX_WINDOW:
-        raise ValueError(f"window must be between 1 and {MAX_WINDOW}")
+    if window < 1:
+        raise ValueError("window must be at least 1")
     return window // 2
 
 
-def mean_of(window: int) -> tuple[int, Callable[[Column, WindowSpec], Column]]:
-    """Centred mean, shrinking at the edges; an even window acts like the next odd one."""
+def mean_of(window: int) -> tuple[int, Filter]:
+    """Centred mean, shrinking at the edges; an even window acts like the next odd one.
+
+    Long windows are differences of running sums, so their cost does not depend
+    on the window's length.
+    """
     half = _half(window)
-    return half, lambda v, w: F.avg(v).over(w.rowsBetween(-half, half))
 
+    def direct(df: DataFrame, value: str, name: str, w: WindowSpec) -> DataFrame:
+        return df.withColumn(name, F.avg(field(value)).over(w.rowsBetween(-half, half)))
+
+    def running(df: DataFrame, value: str, name: str, w: WindowSpec) -> DataFrame:
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        v = field(value)
+        staged = df.withColumns(
+            {
+                "_sum": F.coalesce(F.sum(v).over(upto), F.lit(0.0)), "_n": F.count(v).over(upto),
+                "_all": F.coalesce(F.sum(v).over(whole), F.lit(0.0)), "_rows": F.count(v).over(whole),
+            }
+        )
+
+        def inside(part: str, end: str) -> Column:
+            last = F.coalesce(F.lead(part, half).over(w), F.col(end))
+            return last - F.coalesce(F.lag(part, half + 1).over(w), F.lit(0))
+
+        mean = F.try_divide(inside("_sum", "_all"), inside("_n", "_rows"))
+        return staged.withColumn(name, mean).drop("_sum", "_n", "_all", "_rows")
+
+    return half, direct if window <= SUMMED_WINDOW else running
 
-def median_of(window: int) -> tuple[int, Callable[[Column, WindowSpec], Column]]:
-    """Centred median, shrinking at the edges; an even count averages the middle two."""
+
+def median_of(window: int, longest: int = MEDIAN_WINDOW) -> tuple[int, Filter]:
+    """Centred median, shrinking at the edges; an even count averages the middle two.
+
+    A window over ``longest`` is refused: every row sorts its whole window.
+    """
     half = _half(window)
+    if window > longest:
+        raise ValueError(f"a median window must be at most {longest}")
 
-    def build(v: Column, w: WindowSpec) -> Column:
+    def build(df: DataFrame, value: str, name: str, w: WindowSpec) -> DataFrame:
+        return df.withColumn(name, middle(field(value), w))
+
+    def middle(v: Column, w: WindowSpec) -> Column:
         frame = F.array_sort(F.collect_list(v).over(w.rowsBetween(-half, half)))
         n = F.size(frame)
         upper = F.element_at(frame, F.floor(n / F.lit(2)).cast("int") + 1)
@@ -47,32 +87,32 @@ def median_of(window: int) -> tuple[int, Callable[[Column, WindowSpec], Column]]
     return half, build
 
 
-def _longest(df: DataFrame, series: str) -> int:
-    return df.groupBy(field(series)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-
-
 def filter_series(
     df: DataFrame,
     series: str,
     order: str,
     value: str,
-    steps: Sequence[tuple[str, tuple[int, Callable]]],
-    max_series_rows: int = MAX_SERIES_ROWS,
-    block_rows: int = MAX_SERIES_ROWS,
+    steps: Sequence[tuple[str, tuple[int, Filter]]],
+    layout: str = "series",
+    block_rows: int = BLOCK_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Apply filters in sequence, each to the output of the one before.
 
     ``steps`` lists (output column, filter) with filters from :func:`mean_of`
-    and :func:`median_of`.  (series, order) must be unique.
+    and :func:`median_of`.  (series, order) must be unique.  ``layout`` is
+    ``series`` or ``blocks`` (see above), ``partitions`` that of the global order.
     """
-    if _longest(df, series) <= max_series_rows:
+    if layout not in ("series", "blocks"):
+        raise ValueError("layout must be 'series' or 'blocks'")
+    if layout == "series":
         spec = Window.partitionBy(field(series)).orderBy(field(order))
         return _apply(df, value, steps, spec)
 
     halo = sum(half for _, (half, _) in steps)
     if block_rows < halo:
         raise ValueError("block_rows must cover the frames of all steps")
-    ranked = global_rank(df, [series, order], "_rank")
+    ranked = global_rank(df, [series, order], "_rank", partitions)
     block = F.floor(F.col("_rank") / block_rows)
     offset = F.col("_rank") % block_rows
     homes = F.array_compact(
@@ -91,7 +131,7 @@ def filter_series(
 def _apply(df: DataFrame, value: str, steps, spec: WindowSpec) -> DataFrame:
     source = value
     for name, (_, build) in steps:
-        df = df.withColumn(name, build(field(source), spec))
+        df = build(df, source, name, spec)
         source = name
     return df
 

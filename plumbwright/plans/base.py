@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbwright.functions.fixed import FLOAT_CELL, INT_CELL, LOG_LINE, PARAGRAPH_BREAK, WHITESPACE
+from plumbwright.functions.fixed import LOG_LINE, PARAGRAPH_BREAK, WHITESPACE
 from plumbwright.plans.views import VIEWS, base_tables
-from plumbwright.sources.tables import read_table, spread
+from plumbwright.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -25,13 +25,6 @@ class Tables:
         text = VIEWS[name]
         return self.spark.sql(text, **{t: self[t] for t in base_tables(text)})
 
-    def spread(self, name: str) -> DataFrame:
-        """The same for queries that parse or cut text: small scans use every core."""
-        if name not in VIEWS:
-            return spread(self[name])
-        text = VIEWS[name]
-        return self.spark.sql(text, **{t: spread(self[t]) for t in base_tables(text)})
-
     def stream(self, name: str) -> DataFrame:
         """A base table as a file stream."""
         schema = read_table(self.spark, self.folder, name).schema
@@ -84,6 +77,12 @@ LOG_REGEX = "^" + LOG_LINE.replace("{ws}", WS_CLASS)
 PARAGRAPH_REGEX = PARAGRAPH_BREAK.replace("{ws}", WS_CLASS)
 
 
+# Number cells, spelled independently of the expressions under test.
+_RUN = "[0-9](?:_?[0-9])*"
+INT_CELL = f"[+-]?{_RUN}"
+FLOAT_CELL = rf"[+-]?(?:(?:{_RUN}(?:\.(?:{_RUN})?)?|\.{_RUN})(?:[eE][+-]?{_RUN})?|(?i:inf|infinity|nan))"
+
+
 def s_strip(c: str) -> str:
     return f"trim({c}, {WS})"
 
@@ -100,3 +99,13 @@ def s_float(c: str) -> str:
 def s_int(c: str) -> str:
     s = s_strip(c)
     return f"CASE WHEN regexp_full_match({s}, '{INT_CELL}') THEN try_cast(replace({s}, '_', '') AS bigint) END"
+
+
+def s_long_int(c: str) -> str:
+    """Whole numbers of up to 38 digits."""
+    s = s_strip(c)
+    return f"CASE WHEN regexp_full_match({s}, '{INT_CELL}') THEN try_cast(replace({s}, '_', '') AS decimal(38,0)) END"
+
+
+def s_is_whole(c: str) -> str:
+    return f"coalesce(regexp_full_match({s_strip(c)}, '{INT_CELL}'), false)"

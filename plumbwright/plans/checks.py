@@ -8,7 +8,8 @@ from plumbwright.plans.base import Tables, plan, s_float, s_norm, sql
 
 NOT_NULL = ("id", "email", "age")
 AGE_RANGE = {"age": (0, 120)}
-EMAIL = r"[^@\s]+@[^@\s]+\.[^@\s]+"
+# One mailbox and a host with a dot.
+EMAIL = r"[A-Za-z0-9_.+#-]+@[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+"
 
 # -- column quality ---------------------------------------------------------
 

@@ -32,6 +32,18 @@ def _matrix(t: Tables):
     return evaluate.confusion_matrix(t["v_pred"])
 
 
+@plan(
+    "ev_pairs",
+    """SELECT a.doc_id, a.quality AS y_true, b.quality AS y_pred FROM labels a
+JOIN (SELECT doc_id, (n_chars > 1000)::int AS quality FROM documents) b USING (doc_id)""",
+)
+def ev_pairs(t: Tables):
+    """Labels matched by key with a rule's predictions; documents without a label drop out."""
+    truth = t["labels"].select("doc_id", F.col("quality").alias("y_true"))
+    predicted = t["documents"].select("doc_id", (F.col("n_chars") > 1000).cast("int").alias("y_pred"))
+    return evaluate.pair_labels(truth, predicted, ["doc_id"])
+
+
 @plan("ev_confusion", sql("SELECT * FROM m", _PRED, **_EV))
 def ev_confusion(t: Tables):
     return _matrix(t)

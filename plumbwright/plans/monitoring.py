@@ -9,7 +9,7 @@ from plumbwright.plans.base import LOG_REGEX, Tables, plan, s_float, s_norm, s_s
 from plumbwright.sources.scratch import write_table
 from plumbwright.streaming import drift as drift_stream
 from plumbwright.streaming import logs as log_stream
-from plumbwright.streaming.sinks import drain_updates
+from plumbwright.streaming.sinks import drain_appends, drain_updates
 
 # -- drift ------------------------------------------------------------------
 
@@ -127,6 +127,25 @@ def dr_batches(t: Tables):
     return _batches(t)
 
 
+@plan(
+    "dr_empty_batch",
+    sql(
+        f"""SELECT batch, strict, tuned, first_strict FROM batches
+UNION ALL SELECT max(batch) + 1, true, true, '{COLUMNS[0]}: completeness 0.000% < 100%' FROM v_drift""",
+        _DRIFT,
+        **_RULES,
+    ),
+)
+def dr_empty_batch(t: Tables):
+    """A listed batch without rows fires both rule sets."""
+    current, baseline = _split_profile(t)
+    expected = current.select("batch").union(t["v_drift"].agg((F.max("batch") + 1).alias("batch"))).distinct()
+    judged = current.unionByName(drift.absent(current, expected, ["batch"], COLUMNS))
+    strict = drift.violations(judged, baseline, drift.strict_rules())
+    tuned = drift.violations(judged, baseline, drift.tuned_rules())
+    return drift.batch_table(expected, ["batch"], strict, tuned)
+
+
 def _score_sql(name: str, fired: str) -> str:
     return f"""SELECT '{name}' AS detector, count(*) FILTER (WHERE {fired}) AS alarms,
 round(coalesce(count(*) FILTER (WHERE {fired} AND is_incident) / nullif(count(*) FILTER (WHERE {fired}), 0)::double, 0.0), 9) AS "precision",
@@ -220,7 +239,7 @@ _LONG = "OVER (ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)"
 def sg_long_series(t: Tables):
     """All events as one series, laid out in blocks whatever its length."""
     whole = t["v_signal"].select(F.lit(0).alias("series"), "i", "noisy")
-    rows = smooth.denoise(whole, "series", "i", "noisy", max_series_rows=0, block_rows=4096)
+    rows = smooth.denoise(whole, "series", "i", "noisy", layout="blocks", block_rows=4096)
     return rows.select("i", F.round("smoothed", 9).alias("smoothed"), F.round("despiked", 9).alias("despiked"))
 
 
@@ -331,3 +350,20 @@ def st_drift_monitor(t: Tables):
     latest = drain_updates(profiles, ["window", "column_no", "column"], "drift-profile")
     alarms = drift_stream.drift_monitor(latest, baseline, drift.tuned_rules())
     return alarms.select(_hour(), "column_no", "column", "rule_no", "rule")
+
+
+# A window is judged when it closes: its end is a watermark's delay behind the last event.
+_CLOSED = "(SELECT max(strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d %H')) FROM v_drift)"
+
+
+@plan(
+    "st_drift_live",
+    sql(f'SELECT hour, column_no, "column", rule_no, rule FROM tuned WHERE hour <= {_CLOSED}', _DRIFT, **_WINDOWED),
+)
+def st_drift_live(t: Tables):
+    """The stream itself joined with the stored baseline, in append mode."""
+    profiled = drift.profile(t["v_drift"].drop("ts", "is_incident"), COLUMNS, by=["batch"])
+    baseline = write_table(profiled.filter(F.col("batch") == BASELINE), "baseline")
+    profiles = drift_stream.windowed_profile(t.stream_view("v_drift").select("ts", *COLUMNS), COLUMNS, "ts")
+    alarms = drift_stream.drift_monitor(profiles, baseline, drift.tuned_rules())
+    return drain_appends(alarms, "drift-live").select(_hour(), "column_no", "column", "rule_no", "rule")

@@ -40,19 +40,56 @@ def src_csv_cells(t: Tables):
     return raw.select(*[normalise(field(c)).alias(c) for c in COLUMNS])
 
 
-@plan("src_csv_records", sql("SELECT count(*) AS records, 0::bigint AS irregular, 2::bigint AS first_line, true AS dense FROM v_csv_cells", _CSV))
+# Files of the queries that read ordinals back: a row's file is its key modulo this.
+PARTS = 16
+
+
+def _part_files(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Rows of (part, id, ...) placed so that a part is one file in the order of id, and a folder for them."""
+    placed = rows.repartition(PARTS, "part").sortWithinPartitions("part", "id")
+    return placed, new_folder(rows.sparkSession, name)
+
+
+@plan(
+    "src_csv_records",
+    sql(
+        f"""SELECT lineno::varchar AS id, row_number() OVER (PARTITION BY lineno % {PARTS} ORDER BY lineno) + 1 AS lineno,
+false AS irregular FROM v_csv_cells""",
+        _CSV,
+    ),
+)
 def src_csv_records(t: Tables):
-    """Ordinals start after the header and leave no holes: every ordinal has at least as many files as the next."""
-    records = files.read_csv_records(t.spark, _csv_folder(t), COLUMNS)
-    per_line = records.groupBy("lineno").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("irregular").alias("irregular")
-    )
-    return per_line.agg(
-        F.sum("n").alias("records"),
-        F.sum("irregular").alias("irregular"),
-        F.min("lineno").alias("first_line"),
-        (F.max("lineno") - F.min("lineno") + 1 == F.count(F.lit(1))).alias("dense"),
-    )
+    """Which record has which ordinal: counted per file, after the header."""
+    rows = t["v_csv_cells"].withColumnRenamed("lineno", "id").select((F.col("id") % PARTS).alias("part"), *COLUMNS)
+    placed, folder = _part_files(rows, "csv")
+    placed.write.partitionBy("part").options(header=True, quote='"', escape='"', emptyValue="").csv(folder)
+    return files.read_csv_records(t.spark, folder, COLUMNS).select("id", "lineno", "irregular")
+
+
+# Wide, short and long-quoted records by the key's remainder.
+_RAGGED = """CASE CAST(c_custkey % 4 AS int)
+  WHEN 0 THEN concat(c_custkey, ',', c_name, ',note,', '"more, ', repeat('x', 2000), '",1')
+  WHEN 1 THEN concat(c_custkey, ',', c_name)
+  WHEN 2 THEN concat(c_custkey, ',"', c_name, ', ""q"" ', repeat('y', 2000), '",note')
+  ELSE concat(c_custkey, ',', c_name, ',note') END"""
+
+
+@plan(
+    "src_csv_ragged",
+    sql(
+        f"""SELECT c_custkey::varchar AS id, row_number() OVER (PARTITION BY c_custkey % {PARTS} ORDER BY c_custkey) + 1 AS lineno,
+c_custkey % 4 = 0 AS irregular, CASE WHEN c_custkey % 4 = 2 THEN c_name || ', "q" ' || repeat('y', 2000) ELSE c_name END AS name,
+CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'note' END AS note FROM customer"""
+    ),
+)
+def src_csv_ragged(t: Tables):
+    """Records with more and fewer cells than the header, and long quoted cells."""
+    rows = t["customer"].selectExpr(f"c_custkey % {PARTS} AS part", "c_custkey AS id", f"{_RAGGED} AS line")
+    header = t.spark.range(PARTS).selectExpr("id AS part", "-1L AS id", "'id,name,note' AS line")
+    placed, folder = _part_files(rows.union(header), "ragged")
+    placed.drop("id").write.partitionBy("part").text(folder)
+    records = files.read_csv_records(t.spark, folder, ["id", "name", "note"])
+    return records.withColumns({"name": normalise(F.col("name")), "note": normalise(F.col("note"))})
 
 
 @plan("src_csv_wrangle", sql(clean_sql("lineno::varchar AS id"), _CSV))
@@ -74,12 +111,19 @@ def src_json_lines(t: Tables):
     )
 
 
-@plan("src_json_round_trip", sql("SELECT 0::bigint AS differences FROM v_csv_cells HAVING count(*) >= 0", _CSV))
+@plan("src_json_round_trip", sql(f"SELECT *, 0::bigint AS differences FROM ({clean_sql('lineno AS id')})", _CSV))
 def src_json_round_trip(t: Tables):
+    """The reloaded values, and how many rows differ from what was written."""
     clean, _ = wrangle.wrangle(t["v_csv_cells"], REQUIRED)
     folder = new_folder(t.spark, "json")
     files.write_json_lines(clean, folder)
-    return files.round_trip_differences(clean, folder).agg(F.count(F.lit(1)).alias("differences"))
+    differ = files.round_trip_differences(clean, folder).agg(F.count(F.lit(1))).scalar()
+    row = F.parse_json("value")
+    return t.spark.read.text(folder).select(
+        F.variant_get(row, "$.lineno", "bigint").alias("id"),
+        *[F.variant_get(row, f"$.{c}", "variant").cast("string").alias(c) for c in CELLS],
+        differ.alias("differences"),
+    )
 
 
 @plan("src_text_lines", summary_sql())
@@ -97,4 +141,4 @@ def src_text_lines(t: Tables):
     ),
 )
 def src_table_lines(t: Tables):
-    return files.table_lines(t.spread("documents"), "text", keep=["doc_id"])
+    return files.table_lines(t["documents"], "text", keep=["doc_id"])

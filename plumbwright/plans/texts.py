@@ -15,7 +15,8 @@ from plumbwright.plans.base import (
     Tables,
     plan,
     s_float,
-    s_int,
+    s_is_whole,
+    s_long_int,
     s_norm,
     s_strip,
     sql,
@@ -40,7 +41,7 @@ _TALKERS = "SELECT ip, count(*) AS n, min(pos) AS p FROM r GROUP BY ip ORDER BY
 
 
 def _parsed(t: Tables):
-    return logs.parse_lines(t.spread("v_log_lines"))
+    return logs.parse_lines(t["v_log_lines"])
 
 
 @plan("log_parse", sql("SELECT * FROM r", _LOG, **_PARSED))
@@ -119,7 +120,7 @@ _PARAGRAPHS = (
     ),
 )
 def chunk_sentences(t: Tables):
-    return chunk.sentence_rows(t.spread("documents"), ["doc_id"])
+    return chunk.sentence_rows(t["documents"], ["doc_id"])
 
 
 @plan(
@@ -132,7 +133,7 @@ FROM v_paragraphs""",
     ),
 )
 def chunk_units(t: Tables):
-    return chunk.unit_rows(t.spread("v_paragraphs"), ["doc_id"])
+    return chunk.unit_rows(t["v_paragraphs"], ["doc_id"])
 
 
 SIZE, OVERLAP, FLOOR = 60, 10, 40
@@ -164,12 +165,12 @@ GROUP BY b.doc_id, b.k, b.start_word, b.next_start, b.hard""",
 
 @plan("chunk_windows", _chunk_sql("documents"))
 def chunk_windows(t: Tables):
-    return chunk.chunk_documents(t.spread("documents"), ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
+    return chunk.chunk_documents(t["documents"], ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
 
 
 @plan("chunk_windows_paragraphs", _chunk_sql("v_paragraphs"))
 def chunk_windows_paragraphs(t: Tables):
-    return chunk.chunk_documents(t.spread("v_paragraphs"), ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
+    return chunk.chunk_documents(t["v_paragraphs"], ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
 
 
 # -- CSV wrangling ----------------------------------------------------------
@@ -182,15 +183,15 @@ _GOOD = " AND ".join(f"{s_norm(c)} <> ''" for c in REQUIRED)
 
 def _kind(c: str) -> str:
     return (
-        f"CASE WHEN {s_norm(c)} = '' THEN NULL WHEN ({s_int(c)}) IS NOT NULL THEN 'int' "
-        f"WHEN isfinite({s_float(c)}) THEN 'float' ELSE 'string' END"
+        f"CASE WHEN {s_norm(c)} = '' THEN NULL WHEN ({s_long_int(c)}) IS NOT NULL THEN 'int' "
+        f"WHEN NOT {s_is_whole(c)} AND isfinite({s_float(c)}) THEN 'float' ELSE 'string' END"
     )
 
 
 def _text(c: str) -> str:
     return (
-        f"CASE WHEN {s_norm(c)} = '' THEN NULL WHEN ({s_int(c)}) IS NOT NULL THEN ({s_int(c)})::varchar "
-        f"WHEN isfinite({s_float(c)}) THEN ({s_float(c)})::varchar ELSE {s_strip(c)} END"
+        f"CASE WHEN {s_norm(c)} = '' THEN NULL WHEN ({s_long_int(c)}) IS NOT NULL THEN ({s_long_int(c)})::varchar "
+        f"WHEN NOT {s_is_whole(c)} AND isfinite({s_float(c)}) THEN ({s_float(c)})::varchar ELSE {s_strip(c)} END"
     )
 
 

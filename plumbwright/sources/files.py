@@ -24,7 +24,11 @@ FIRST_RECORD_LINE = 2  # the header is line 1
 
 
 def _csv(spark: SparkSession, multi_line: bool):
-    return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, encoding="UTF-8")
+    # With enforceSchema off, a file whose header differs from the expected columns fails
+    # the read instead of putting its cells under other names.
+    return spark.read.options(
+        header=True, quote='"', escape='"', multiLine=multi_line, encoding="UTF-8", enforceSchema=False
+    )
 
 
 def read_csv_cells(
@@ -32,12 +36,13 @@ def read_csv_cells(
 ) -> DataFrame:
     """All cells as text under the header's names; short rows end in NULLs.
 
-    Passing ``columns`` saves the small job that reads the header line.
+    Every file must have the same header, in the same order: another one is an
+    error when the file is read.  Passing ``columns`` saves the small job that
+    reads one header line, and checks that line too.
     """
-    reader = _csv(spark, multi_line)
-    if columns is not None:
-        reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
-    return reader.csv(path)
+    if columns is None:
+        columns = _csv(spark, multi_line).csv(path).columns
+    return _csv(spark, multi_line).schema(StructType([StructField(c, StringType()) for c in columns])).csv(path)
 
 
 def read_csv_records(
@@ -46,7 +51,9 @@ def read_csv_records(
     """Text cells plus ``lineno`` (record ordinal, header = 1) and ``irregular``.
 
     ``irregular`` marks records with more cells than the header.  The ordinal
-    counts records per file, so a quoted line break does not advance it.
+    counts records per file, so a quoted line break does not advance it.  Files
+    with another header are an error, as in :func:`read_csv_cells`, which also is
+    the reader for callers that need no ordinals.
     """
     if columns is None:
         columns = _csv(spark, multi_line).csv(path).columns
@@ -56,7 +63,7 @@ def read_csv_records(
     raw = reader.csv(path)
     numbered = with_record_ordinal(raw, "lineno", FIRST_RECORD_LINE)
     # Only records whose cell count is off carry their text; quoted parts hold no separators.
-    bare = F.regexp_replace(F.col(_CORRUPT), '"(?:[^"]|"")*"', "")
+    bare = F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', "")
     cells = F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     wide = F.coalesce(cells > len(columns), F.lit(False))
     return numbered.select(

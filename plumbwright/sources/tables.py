@@ -15,20 +15,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-# A scan of at most this many splits is small enough to redistribute.
-FEW_SPLITS = 32
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small scan one partition per core, for CPU-heavy work right above it.
-
-    A scan with many splits, or at least one per core, is returned as it is, so
-    large tables are never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
-
-
 def build_claims_tables(spark: SparkSession, patients, claims) -> tuple[DataFrame, DataFrame]:
     """Typed patients and claims from rows, registered as temporary views."""
     p = spark.createDataFrame(patients, PATIENTS_SCHEMA)

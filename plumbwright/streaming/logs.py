@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbwright.functions.cells import ratio
-from plumbwright.operators.logs import event_time, parse_lines, records
+from plumbwright.operators.logs import SLICES, event_time, parse_lines, records
 
 
 def timed_records(
@@ -14,16 +14,20 @@ def timed_records(
 ) -> DataFrame:
     """Parsed records with an event time and a watermark; unreadable times drop out.
 
-    Malformed lines have no event time and reach no window.  With ``observe``
-    their number and that of good lines appear under this name in the progress
-    of the query, per micro-batch.
+    Malformed lines and records with an unreadable time reach no window.  With
+    ``observe`` their numbers and that of the records that do appear under this
+    name in the progress of the query, per micro-batch.
     """
-    parsed = parse_lines(lines, line)
+    parsed = parse_lines(lines, line).withColumn("event_ts", event_time(F.col("ts")))
     if observe:
+        timed = F.col("event_ts").isNotNull()
         parsed = parsed.observe(
-            observe, F.count_if("ok").alias("records"), F.count_if(~F.col("ok")).alias("malformed")
+            observe,
+            F.count_if(F.col("ok") & timed).alias("records"),
+            F.count_if(F.col("ok") & ~timed).alias("unreadable_times"),
+            F.count_if(~F.col("ok")).alias("malformed"),
         )
-    timed = records(parsed).withColumn("event_ts", event_time(F.col("ts")))
+    timed = records(parsed)
     return timed.filter(F.col("event_ts").isNotNull()).withWatermark("event_ts", watermark)
 
 
@@ -53,5 +57,8 @@ def path_windows(timed: DataFrame, window: str = "1 hour") -> DataFrame:
 
 def top_paths(batch: DataFrame, k: int = 3) -> DataFrame:
     """The k slowest paths of each window in a finished (batch) table."""
+    slices = F.pmod(F.xxhash64("path"), F.lit(SLICES))
+    within = Window.partitionBy("window", slices).orderBy(F.desc("avg_ms"), "path")
     order = Window.partitionBy("window").orderBy(F.desc("avg_ms"), "path")
-    return batch.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    few = batch.withColumn("_at", F.row_number().over(within)).filter(F.col("_at") <= k).drop("_at")
+    return few.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

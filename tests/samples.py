@@ -5,7 +5,8 @@ these inputs.
 """
 
 QUALITY_ROWS = [("1", "a@x.com", "34"), ("2", "bad-email", "212"), ("2", "c@x.com", "")]
-EMAIL_PATTERN = r"[^@\s]+@[^@\s]+\.[^@\s]+"
+# One mailbox and a host with a dot, no further at sign.
+EMAIL_PATTERN = r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+"
 
 SOURCE_ROWS = [
     ("C1", "M10", "250.00", "PAID"),
@@ -19,25 +20,17 @@ TARGET_ROWS = [
     ("C4", "M13", "45.00", "PAID"),
 ]
 
-# client, second, request, status, bytes, milliseconds; None is an unreadable line
-LOG_FACTS = [
-    ("1.1.1.1", 36, "GET /api/users", 200, "342", 18),
-    ("1.1.1.1", 37, "GET /api/orders", 200, "1204", 640),
-    ("2.2.2.2", 38, "POST /api/login", 401, "-", 25),
-    ("3.3.3.3", 39, "GET /api/orders", 500, "0", 880),
-    ("1.1.1.1", 40, "GET /health", 200, "2", 3),
-    None,
-    ("2.2.2.2", 41, "GET /api/users", 404, "-", 12),
+# Log lines, one of them unreadable.
+LOG_LINES = [
+    '1.1.1.1 - - [10/Jul/2026:13:55:36] "GET /api/users HTTP/1.1" 200 342 18',
+    '1.1.1.1 - - [10/Jul/2026:13:55:37] "GET /api/orders HTTP/1.1" 200 1204 640',
+    '2.2.2.2 - - [10/Jul/2026:13:55:38] "POST /api/login HTTP/1.1" 401 - 25',
+    '3.3.3.3 - - [10/Jul/2026:13:55:39] "GET /api/orders HTTP/1.1" 500 0 880',
+    '1.1.1.1 - - [10/Jul/2026:13:55:40] "GET /health HTTP/1.1" 200 2 3',
+    'not a log line',
+    '2.2.2.2 - - [10/Jul/2026:13:55:41] "GET /api/users HTTP/1.1" 404 - 12',
 ]
 
-
-def log_line(fact):
-    if fact is None:
-        return "not a log line"
-    ip, second, request, status, size, ms = fact
-    return f'{ip} - - [10/Jul/2026:13:55:{second}] "{request} HTTP/1.1" {status} {size} {ms}'
-
-
 PATIENTS = [(1, "Asha Rao", "GA"), (2, "Ben Ortiz", "TX"), (3, "Chen Wei", "GA"), (4, "Dana Smith", "NY")]
 CLAIMS = [
     (101, 1, "Lab Panel", 250.00, "2026-07-01"),
@@ -81,13 +74,33 @@ FORECAST_LINES = [
 
 CITIES = ["Hyderabad", "", "Chennai", "?", "Hyderabad", "NA", "Chennai", "Hyderabad", None]
 
-MARKETS = ["English", "Chinese", "Japanese", "Hindi", "Telugu", "Russian"]
-NAMES = {
-    "Tesla": ["Tesla", "特斯拉", "テスラ", "टेस्ला", "టెస్లా", "Тесла"],
-    "SpaceX": ["SpaceX", "太空探索技术公司", "スペースX", "स्पेसएक्स", "స్పేస్‌ఎక్స్", "СпейсИкс"],
-    "Neuralink": ["Neuralink", "神经链接", "ニューラリンク", "न्यूरालिंक", "న్యూరాలింక్", "Нейралинк"],
-    "xAI": ["xAI"] * 6,
-}
+# Entity, language and name.
+NAMES = [
+    ('Tesla', 'English', 'Tesla'),
+    ('Tesla', 'Chinese', '特斯拉'),
+    ('Tesla', 'Japanese', 'テスラ'),
+    ('Tesla', 'Hindi', 'टेस्ला'),
+    ('Tesla', 'Telugu', 'టెస్లా'),
+    ('Tesla', 'Russian', 'Тесла'),
+    ('SpaceX', 'English', 'SpaceX'),
+    ('SpaceX', 'Chinese', '太空探索技术公司'),
+    ('SpaceX', 'Japanese', 'スペースX'),
+    ('SpaceX', 'Hindi', 'स्पेसएक्स'),
+    ('SpaceX', 'Telugu', 'స్పేస్\u200cఎక్స్'),
+    ('SpaceX', 'Russian', 'СпейсИкс'),
+    ('Neuralink', 'English', 'Neuralink'),
+    ('Neuralink', 'Chinese', '神经链接'),
+    ('Neuralink', 'Japanese', 'ニューラリンク'),
+    ('Neuralink', 'Hindi', 'न्यूरालिंक'),
+    ('Neuralink', 'Telugu', 'న్యూరాలింక్'),
+    ('Neuralink', 'Russian', 'Нейралинк'),
+    ('xAI', 'English', 'xAI'),
+    ('xAI', 'Chinese', 'xAI'),
+    ('xAI', 'Japanese', 'xAI'),
+    ('xAI', 'Hindi', 'xAI'),
+    ('xAI', 'Telugu', 'xAI'),
+    ('xAI', 'Russian', 'xAI'),
+]
 
 # 94 words in two paragraphs; sentences end after these words.
 SENTENCE_ENDS = (9, 16, 29, 43, 53, 64, 78, 93)

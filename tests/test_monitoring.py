@@ -105,7 +105,7 @@ def signal(spark, lengths):
     return data, spark.createDataFrame(data, "s string, i int, v double").repartition(5)
 
 
-@pytest.mark.parametrize("layout", [{}, {"max_series_rows": 10, "block_rows": 17}, {"max_series_rows": 0, "block_rows": 4}])
+@pytest.mark.parametrize("layout", [{}, {"layout": "blocks", "block_rows": 17}, {"layout": "blocks", "block_rows": 4}])
 @pytest.mark.parametrize("window", [5, 4])
 def test_filters_agree_in_both_layouts(spark, layout, window):
     data, df = signal(spark, {"a": 60, "b": 1, "c": 33, "d": 2})
@@ -124,11 +124,12 @@ def test_median_alone_and_window_limits(spark):
     got = {r.i: r.filtered for r in smooth.median_filter(df, "s", "i", "v", 3).collect()}
     want = centred([v for _, _, v in data], 3, statistics.median)
     assert [got[i] for _, i, _ in data] == pytest.approx(want)
-    for window in (0, 2000):
-        with pytest.raises(ValueError):
-            smooth.moving_average(df, "s", "i", "v", window)
     with pytest.raises(ValueError):
-        smooth.denoise(df, "s", "i", "v", 5, max_series_rows=0, block_rows=3)
+        smooth.moving_average(df, "s", "i", "v", 0)
+    with pytest.raises(ValueError):
+        smooth.median_filter(df, "s", "i", "v", 2000)
+    with pytest.raises(ValueError):
+        smooth.denoise(df, "s", "i", "v", 5, layout="blocks", block_rows=3)
 
 
 def test_snr(spark):

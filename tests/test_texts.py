@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from samples import (
     FIRST_PARAGRAPH_END,
     FORECAST_LINES,
-    LOG_FACTS,
-    MARKETS,
+    LOG_LINES,
     MESSY_HEADER,
     MESSY_RECORDS,
     NAMES,
-    log_line,
     prose,
 )
 
@@ -28,7 +26,7 @@ def parsed(spark, lines):
 
 
 def test_traffic_report(spark, rows):
-    p = parsed(spark, [log_line(f) for f in LOG_FACTS] + ["", "   "])
+    p = parsed(spark, LOG_LINES + ["", "   "])
     assert p.select("ok").count() == 7
     assert logs.traffic_summary(p).first().asDict() == {
         "total_requests": 6, "malformed_lines": 1, "error_rate_pct": 50.0, "slow_requests": 2,
@@ -40,7 +38,7 @@ def test_traffic_report(spark, rows):
 
 
 def test_log_report_agrees_with_its_parts(spark, rows):
-    p = parsed(spark, [log_line(f) for f in LOG_FACTS])
+    p = parsed(spark, LOG_LINES)
     got = sorted(rows(logs.log_report(p, "pos")), key=repr)
     want = [
         ("total_requests", "", None, 6.0), ("malformed_lines", "", None, 1.0),
@@ -53,14 +51,13 @@ def test_log_report_agrees_with_its_parts(spark, rows):
 
 
 def test_log_ties_keep_first_appearance(spark, rows):
-    facts = [(f"9.9.9.{i}", 10, f"GET /p{i}", 200, "1", 7) for i in (4, 2, 3, 1)]
-    p = parsed(spark, [log_line(f) for f in facts])
+    p = parsed(spark, [f'9.9.9.{i} - - [01/Feb/2026:00:00:10] "GET /p{i} HTTP/1.1" 200 1 7' for i in (4, 2, 3, 1)])
     assert rows(logs.top_talkers(p, "pos", 2)) == [("9.9.9.4", 1), ("9.9.9.2", 1)]
     assert rows(logs.slowest_endpoints(p, "pos", 2)) == [("/p4", 7.0), ("/p2", 7.0)]
 
 
 def test_log_line_edges(spark):
-    good = log_line(LOG_FACTS[0])
+    good = LOG_LINES[0]
     lines = [
         f"\t{good}\xa0", good + "ms trailing", "x " + good, good.replace("1.1.1.1", "999.1.1.1"),
         good.replace("/api/users", "/api/\xa0users"), good.replace(" 342 ", " 99999999999 "), "\ngarbage",
@@ -291,11 +288,11 @@ def test_forecast_ties_keep_the_first_city(spark, rows):
 
 
 def test_byte_costs(spark, rows):
-    data = [(e, m, n, i * 10 + j) for i, (e, names) in enumerate(NAMES.items()) for j, (m, n) in enumerate(zip(MARKETS, names))]
+    data = [(*row, i) for i, row in enumerate(NAMES)]
     df = spark.createDataFrame(data, "entity string, market string, text string, pos int")
     costs = bytecost.market_costs(df, "entity", "market", "English", position="pos")
     tesla = {r.market: r.bytes for r in costs.filter("entity = 'Tesla'").collect()}
-    assert [tesla[m] for m in MARKETS] == [5, 9, 9, 18, 18, 10]
+    assert [tesla[m] for _, m, _ in NAMES[:6]] == [5, 9, 9, 18, 18, 10]
     worst = {r.entity: r for r in bytecost.worst_markets(costs).collect()}
     assert worst["Tesla"].market == "Hindi" and worst["Tesla"].ratio == 3.6
     assert {e: round(w.extra_usd) for e, w in worst.items()} == {"Tesla": 39, "SpaceX": 90, "Neuralink": 72, "xAI": 0}
