@@ -35,11 +35,15 @@ def candidate_scores(counts: DataFrame, candidates: Sequence[Sequence[int]]) ->
     A candidate predicts the parity of its features, flipped when the unflipped
     rule is right on less than half of the training rows.
     """
-    masks = F.lit([subset_mask(idx) for idx in candidates]).cast("array<array<bigint>>")
-    right = F.transform(
-        masks, lambda m: F.when(masked_parity(F.col("bits"), m) == F.col("label"), F.col("n")).otherwise(0)
-    )
-    long = counts.select("run", "split", "n", F.posexplode(right).alias("cand_id", "hits"))
+    # Hits are summed per (run, split) side by side, so rows are not multiplied by candidates.
+    masks = [F.lit(subset_mask(idx)).cast("array<bigint>") for idx in candidates]
+    hits = [
+        F.sum(F.when(masked_parity(F.col("bits"), m) == F.col("label"), F.col("n")).otherwise(0)).alias(f"h{i}")
+        for i, m in enumerate(masks)
+    ]
+    summed = counts.groupBy("run", "split").agg(F.sum("n").alias("n"), *hits)
+    listed = F.array(*[F.col(f"h{i}") for i in range(len(masks))])
+    long = summed.select("run", "split", "n", F.posexplode(listed).alias("cand_id", "hits"))
 
     def part(split: str, value: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("split") == split, F.col(value))), F.lit(0)).alias(f"{split}_{value}")

@@ -337,6 +337,53 @@ def sel_gap(t: Tables):
     return _rounded(selection.selection_gap(selection.winners(_scores(t))), "mean_valid", "mean_test")
 
 
+@plan(
+    "sel_sizes",
+    sql(
+        """SELECT run, cand_id, count(*) FILTER (WHERE split = 'train') AS train_n, count(*) FILTER (WHERE split = 'valid') AS valid_n,
+count(*) FILTER (WHERE split = 'test') AS test_n FROM parts JOIN (SELECT run, cand_id FROM best WHERE rn = 1) USING (run) GROUP BY run, cand_id""",
+        _BITS,
+        **_SEL,
+    ),
+)
+def sel_sizes(t: Tables):
+    """The winner of every run with the sizes of its splits."""
+    labelled, _ = split.assign_splits(_features(t), "id", SEEDS, 0.1, 0.4)
+    counts = write_table(selection.label_counts(labelled, "bits", "label"), "counts")
+    best = selection.winners(selection.candidate_scores(counts, CANDIDATES)).select("run", "cand_id")
+    return best.join(selection.split_sizes(counts), "run")
+
+
+# Runs whose labels have nothing to do with the features.
+NOISE_SEEDS = tuple(100 + s for s in SEEDS)
+_NOISE = "(id * 7919) % 104729 % 2"
+_BOTH = {
+    **_SEL,
+    "seeds": "SELECT run::int AS run FROM (VALUES {}) x(run)".format(", ".join(f"({s})" for s in SEEDS + NOISE_SEEDS)),
+    "b": _SEL["b"].replace("label,", f"CASE WHEN run > 100 THEN {_NOISE} ELSE label END AS label,"),
+}
+
+
+@plan(
+    "sel_gap_signal",
+    sql(
+        """SELECT run < 100 AS signal, round(avg(valid), 9) AS mean_valid, round(avg(test), 9) AS mean_test,
+count(*) FILTER (WHERE valid > test) AS optimistic, count(*) AS n_runs FROM best WHERE rn = 1 GROUP BY run < 100""",
+        _BITS,
+        **_BOTH,
+    ),
+)
+def sel_gap_signal(t: Tables):
+    """The gap of runs with and without a signal in the labels."""
+    rows = _features(t)
+    noise = rows.withColumn("label", F.expr(_NOISE).cast("int"))
+    scores = selection.bakeoff(rows, "id", "bits", "label", CANDIDATES, SEEDS).union(
+        selection.bakeoff(noise, "id", "bits", "label", CANDIDATES, NOISE_SEEDS)
+    )
+    best = selection.winners(scores).withColumn("signal", F.col("run") < 100)
+    return _rounded(selection.selection_gap(best, ["signal"]), "mean_valid", "mean_test")
+
+
 # -- regression -------------------------------------------------------------
 
 FEATURES, TARGET = ("l_quantity", "l_discount"), "l_extendedprice"
