@@ -12,6 +12,10 @@ from plumbwright.plans.views import VIEWS, base_tables
 from plumbwright.sources.tables import read_table
 
 
+# Files that one micro-batch of a table stream reads.
+FILES_PER_BATCH = 256
+
+
 @dataclass(frozen=True)
 class Tables:
     """The tables of one folder, and the dirty views defined over them."""
@@ -29,7 +33,9 @@ class Tables:
         """A base table as a file stream."""
         schema = read_table(self.spark, self.folder, name).schema
         # Written as a pattern because a stream takes no plain path to a single file.
-        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}.[p]arquet")
+        # A long backlog becomes several micro-batches instead of one.
+        reader = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+        return reader.parquet(f"{self.folder}/{name}.[p]arquet")
 
     def stream_view(self, name: str) -> DataFrame:
         text = VIEWS[name]
