@@ -181,17 +181,21 @@ class _Sender:
                 counts[part] = unpack_counts(r["counts"], r["n"])
         self.ids, self.totals = np.empty_like(ids), np.empty_like(counts)
         self.ids[self.order], self.totals[self.order] = ids, counts
+        # Words in the order of their ids, so that sorted pairs of places are sorted pairs of ids.
+        self.by_id = np.argsort(self.ids)
+        self.place = np.empty(len(self.ids), np.int64)
+        self.place[self.by_id] = np.arange(len(self.ids))
 
     def pairs(self, owners: int):
         """Distinct pairs in the order of owner, context and successor, and each token's pair."""
-        contexts = self.contexts()
-        flat = contexts * len(self.ids) + self.codes
+        flat = self.place[self.contexts()] * len(self.ids) + self.place[self.codes]
         distinct, inverse = np.unique(flat, return_inverse=True)
-        v, w = distinct // len(self.ids), distinct % len(self.ids)
+        v, w = self.by_id[distinct // len(self.ids)], self.by_id[distinct % len(self.ids)]
         counts = np.bincount(inverse[self.training], minlength=len(distinct))
         spread = np.where(self.totals[v] > SPREAD, self.ids[w], np.uint64(0))
-        owner = ((self.ids[v] + spread) % np.uint64(owners)).astype(np.int64)
-        order = np.lexsort((self.ids[w], self.ids[v], owner))
+        # A stable sort of small numbers keeps the order of ids within an owner.
+        owner = ((self.ids[v] + spread) % np.uint64(owners)).astype(np.int16 if owners < 1 << 15 else np.int64)
+        order = np.argsort(owner, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         return owner[order], self.ids[v][order], self.ids[w][order], counts[order], place[inverse]
