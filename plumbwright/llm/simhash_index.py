@@ -256,9 +256,10 @@ def near_groups(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> D
     distinct = write_table(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
     roots = components(close_links(distinct, radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "print"), "print", "left")
-    rooted = rooted.select("print", "first", F.coalesce("root", "print").alias("root"))
-    heads = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    heads = write_table(rooted.join(heads, "root").select("print", "component_id"), "heads")
+    rooted = write_table(rooted.select("print", "first", F.coalesce("root", "print").alias("root")), "roots")
+    # Stored before the join, which can then split the rows of a large component.
+    heads = write_table(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "heads")
+    heads = write_table(rooted.join(heads, "root").select("print", "component_id"), "component-ids")
     text = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return prints.join(heads, "print").select("doc_id", text.alias("fingerprint"), "component_id")
 
