@@ -26,15 +26,14 @@ from plumbwright.sources.scratch import write_table
 SHINGLE = 4
 HASH_SEED = 42
 RADIUS = 4
-BLOCKS = RADIUS + 2
 # Children of an index node.
 FAN = 8
 # Pairs of nodes that are compared at once; bounds a task's memory.
 FRONTIER = 1 << 18
 # Distinct fingerprints of a bucket beyond which it is dealt again by other blocks.
 BUCKET_LIMIT = 4096
-# Odd strides over the bits, one layout of blocks for each round of dealing.
-STRIDES = (1, 5, 23)
+# Rounds of dealing: an odd stride over the bits, and the blocks that a bucket agrees in.
+ROUNDS = ((1, 2), (5, 4), (23, 6))
 _HASHED_TOGETHER = 1 << 15
 
 
@@ -213,30 +212,45 @@ def _dealt(rows: DataFrame, stride: int, blocks: int, agree: int) -> DataFrame:
     return rows.select("print", F.explode(F.array(*keys)).alias("bucket"))
 
 
+def _squares(rows: DataFrame) -> DataFrame:
+    """Buckets cut into parts of half the limit, and each two parts of a bucket in a bucket of their own."""
+    parts = F.ceil(F.col("n") * 2 / BUCKET_LIMIT)
+    own = F.pmod(F.xxhash64("print", F.lit(1)), parts)
+    rows = rows.select("bucket", "print", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
+    return rows.select("print", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"))
+
+
 def close_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links a, b that connect all distinct values of ``print`` with at most ``radius`` differing bits.
 
-    Buckets over the limit are dealt again by other blocks, so a crowd of similar
-    fingerprints is spread without losing a pair; what is still large after the
-    last round is compared in bounded parts.
+    Of ``radius + k`` blocks such a pair agrees in at least ``k``.  Distinct prints
+    of buckets over the limit are dealt again by other blocks and more agreeing
+    bits, so a crowd of similar fingerprints is spread without losing a pair.  A
+    bucket that is still over the limit after the last round is compared part by
+    part, each two parts in one bucket: its pairs are many, but no task holds it.
     """
-    blocks, agree = radius + 2, 2
-    rows = _dealt(prints.select("print", F.lit(0).cast("long").alias("bucket")), STRIDES[0], blocks, agree)
     found = []
-    for i, stride in enumerate([*STRIDES[1:], None]):
+    for i, (stride, agree) in enumerate(ROUNDS):
+        rows = prints.select("print", F.lit(i).cast("long").alias("bucket")).distinct()
+        rows = _dealt(rows, stride, radius + agree, agree)
+        if i:
+            rows = write_table(rows, f"dealt-{i}")
         counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         counts = write_table(counts, "buckets")
-        crowded = F.col("n") > BUCKET_LIMIT if stride else F.lit(False)
-        small = rows.join(counts.filter(~crowded).select("bucket"), "bucket")
-        small = small.repartition("bucket").sortWithinPartitions("bucket")
-        found.append(small.mapInArrow(_search(radius), "a long, b long"))
-        if not stride or counts.filter(crowded).isEmpty():
+        crowded = F.col("n") > BUCKET_LIMIT
+        found.append(rows.join(counts.filter(~crowded).select("bucket"), "bucket").select("print", "bucket"))
+        if counts.filter(crowded).isEmpty():
             break
-        rows = _dealt(rows.join(counts.filter(crowded).select("bucket"), "bucket"), stride, blocks, agree)
-        rows = write_table(rows, f"dealt-{i}")
-    links = found[0]
-    for more in found[1:]:
-        links = links.union(more)
+        rows = rows.join(counts.filter(crowded), "bucket")
+        if i + 1 < len(ROUNDS):
+            prints = write_table(rows.select("print").distinct(), f"crowded-{i}")
+        else:
+            found.append(_squares(rows))
+    links = None
+    for rows in found:
+        rows = rows.repartition("bucket").sortWithinPartitions("bucket")
+        more = rows.mapInArrow(_search(radius), "a long, b long")
+        links = links.union(more) if links is not None else more
     return links
 
 

@@ -1,9 +1,11 @@
 """Exact, near and substring duplicates against brute force."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -135,6 +137,37 @@ def test_dealing_crowded_buckets_again_loses_no_link(spark, monkeypatch, limit):
     assert {v: roots.get(v, v) for v in values} == want
 
 
+def test_no_bucket_exceeds_the_limit_in_any_round(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(simhash_index, "BUCKET_LIMIT", 16)
+    seen = str(tmp_path)
+    inner = simhash_index._bucket_links
+
+    def spy(buckets, prints, radius):
+        pairs = set(zip(buckets.tolist(), prints.tolist()))
+        assert len(pairs) == len(prints), "copies of a print in a bucket"
+        sizes = np.unique(buckets, return_counts=True)[1]
+        with open(f"{seen}/{random.getrandbits(64)}", "w") as f:
+            f.write(str(max(sizes, default=0)))
+        return inner(buckets, prints, radius)
+
+    def search(radius):
+        def run(batches):
+            for batch in batches:
+                table = [batch.column(c).to_numpy() for c in ("bucket", "print")]
+                a, b = spy(table[0], table[1].view(np.uint64), radius)
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+
+        return run
+
+    monkeypatch.setattr(simhash_index, "_search", search)
+    # One tight family: no layout of blocks thins its buckets below the limit.
+    values = sorted({sum(1 << b for b in pair) for pair in itertools.combinations(range(0, 64, 2), 2)})
+    links = simhash_index.close_links(spark.createDataFrame([(v - (v >> 63 << 64),) for v in values], "print long"))
+    roots = {r["root"] for r in components.components(links).collect()}
+    assert len(roots) == 1
+    assert max(int(p.read_text()) for p in tmp_path.iterdir()) <= 40
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r[0]: r[1] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
