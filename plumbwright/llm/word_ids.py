@@ -9,6 +9,7 @@ assembled from the words' ids.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import public_tokenizers
@@ -21,6 +22,19 @@ REMEMBERED_WORDS = 400_000
 LONGEST_REMEMBERED = 64
 # A control character that stands as a word of its own between words of one call.
 _MARK = "\x01"
+# The vocabulary composes (NFC) before it lower-cases, and some marks compose with a
+# small letter only.  A mark can only join the letter right before it.
+_OPEN_CAPITAL = re.compile(rb"[A-Z][\x80-\xff]")
+
+
+def _spelt(raw: bytes) -> list[bytes]:
+    """The words of a text, lower-cased where that can't change their ids, so that spellings share an entry."""
+    if b"<|" in raw:
+        # Special strings are case-sensitive.
+        return raw.split()
+    if raw.isascii() or not _OPEN_CAPITAL.search(raw):
+        return raw.lower().split()
+    return [w.lower() if w.isascii() else w for w in raw.split()]
 
 
 class WordIds:
@@ -63,8 +77,7 @@ class WordIds:
 
     def many(self, raws: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text, as many bytes an id as ``dtype`` has."""
-        # Lower case first, so that spellings share an entry; special strings are case-sensitive.
-        split = [(r if b"<|" in r else r.lower()).split() for r in raws]
+        split = [_spelt(r) for r in raws]
         fresh = {w for words in split for w in words if w not in self.known}
         if len(self.known) + len(fresh) > self.remembered:
             self.known.clear()

@@ -176,3 +176,11 @@ def test_records_of_odd_rows(odd, empty):
     assert [r["doc_id"] for r in got][:5] == [None, 1, 2, 3, 4] and len(got) == 11
     assert got[1]["n_tokens"] == 1
     assert records.read_records(records.write_records(empty)).collect() == []
+
+
+@pytest.mark.parametrize("letters", ["aH\u0331b", "T\u0308", "W\u030a x", "Y\u030a", "J\u030c", "H\u05b0\u0331 And THE <b>"])
+def test_capitals_before_marks_that_join_small_letters_only(word_library, letters):
+    encoder = word_ids.WordIds()
+    for text in (letters, "Plain WORDS " + letters, letters.lower()):
+        got = np.frombuffer(encoder.many([text.encode()])[0], encoder.dtype).tolist()
+        assert got == ids_of(word_library, text)
