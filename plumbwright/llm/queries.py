@@ -12,6 +12,7 @@ from plumbwright.llm import (
     mixing,
     ngram_trie,
     packing,
+    periodic,
     quality_model,
     records,
     simhash_index,
@@ -140,3 +141,41 @@ def op1_suffix_dedup(spark, folder):
 @query("op8_ngram_trie")
 def op8_ngram_trie(spark, folder):
     return ngram_trie.score(read_table(spark, folder, "documents"))
+
+
+# CRC-32 of ASCII text, bit by bit: DuckDB has no such function.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({text}, ''), lambda k: ascii(k)::bigint)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::bigint[], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+# Equal words of a document, paired at every lag; neighbouring pairs of one lag form a stretch.
+_PERIODIC = rf"""
+    WITH t AS (
+        SELECT doc_id, {_CRC32.format(text="doc_id::varchar")} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    p AS (SELECT *, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t),
+    q AS (SELECT *, 1 + (len(w) - a) // (3 + g % 8) AS p FROM p),
+    word AS (
+        SELECT doc_id, i, w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS x
+        FROM (SELECT doc_id, w, a, p, unnest(range(len(w))) AS i FROM q)),
+    pair AS (SELECT l.doc_id, r.i - l.i AS q, l.i AS i FROM word l JOIN word r ON l.doc_id = r.doc_id AND l.x = r.x AND l.i < r.i),
+    stretch AS (
+        SELECT doc_id, q, min(i) AS start, count(*) AS m
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pair)
+        GROUP BY doc_id, q, part HAVING count(*) >= greatest(12 - q, q)),
+    run AS (SELECT doc_id, start, m + q AS length, min(q) AS period FROM stretch GROUP BY doc_id, start, m + q),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+    kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS body FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+    best AS (
+        SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+        FROM run GROUP BY doc_id),
+    top AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1)
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+    FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """
+
+
+@query("op11_periodic_runs", _PERIODIC)
+def op11_periodic_runs(spark, folder):
+    planted = periodic.plant_runs(read_table(spark, folder, "documents"))
+    return periodic.digest(periodic.periodic_runs(planted))
