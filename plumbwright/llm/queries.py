@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbwright.llm import (
     exact_dedup,
     host_rules,
+    licenses,
     mixing,
     ngram_trie,
     packing,
@@ -179,3 +180,56 @@ _PERIODIC = rf"""
 def op11_periodic_runs(spark, folder):
     planted = periodic.plant_runs(read_table(spark, folder, "documents"))
     return periodic.digest(periodic.periodic_runs(planted))
+
+
+# The same rules on the same spaced words; places are running sums over the pieces between matches.
+_LICENSES = rf"""
+    WITH rules(number, keyword, licence, pattern, priority, label, score, base) AS (VALUES {licenses.rule_values()}),
+    t AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    kw AS (SELECT doc_id, keyword FROM (SELECT DISTINCT doc_id, unnest(w) AS keyword FROM t) SEMI JOIN rules USING (keyword)),
+    body AS (
+        SELECT doc_id, ' ' || array_to_string(w, '  ') || ' ' AS b, list_contains(w, 'license') OR list_contains(w, 'licence') AS said
+        FROM t WHERE doc_id IN (SELECT doc_id FROM kw)),
+    met AS (
+        SELECT doc_id, b, r.* FROM body JOIN kw USING (doc_id) JOIN rules r USING (keyword)
+        WHERE (said OR NOT r.licence) AND regexp_matches(b, r.pattern)),
+    piece AS (
+        SELECT doc_id, number, unnest(range(len(hits))) AS k, unnest(pieces[1:len(hits)]) AS before, unnest(hits) AS hit
+        FROM (SELECT *, string_split_regex(b, pattern) AS pieces, regexp_extract_all(b, pattern) AS hits FROM met)),
+    sized AS (
+        SELECT doc_id, number, k, (length(before) - length(replace(before, ' ', ''))) // 2 AS x,
+               (length(hit) - length(replace(hit, ' ', ''))) // 2 AS y
+        FROM piece),
+    place AS (
+        SELECT doc_id, e - y AS s, e, priority, number, label, score::double AS score, base
+        FROM (SELECT *, sum(x + y) OVER (PARTITION BY doc_id, number ORDER BY k)::bigint AS e FROM sized) JOIN rules USING (number)),
+    outermost AS (
+        SELECT * FROM (
+            SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s, e DESC, priority, number
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+            FROM place WHERE NOT base)
+        WHERE reach IS NULL OR reach < e),
+    line AS (
+        SELECT *, lag(e) OVER o > s AND lag(priority) OVER o < priority AS lost_before,
+               lead(s) OVER o < e AND lead(priority) OVER o < priority AS lost_after
+        FROM outermost WINDOW o AS (PARTITION BY doc_id ORDER BY s)),
+    good AS (SELECT * FROM line WHERE label IS NOT NULL AND NOT coalesce(lost_before, false) AND NOT coalesce(lost_after, false)),
+    basic AS (
+        SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
+               string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+        FROM place WHERE base GROUP BY doc_id),
+    total AS (
+        SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+        FROM (SELECT doc_id, label, score FROM good UNION ALL SELECT doc_id, label, score FROM place WHERE base) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+           coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+    FROM t LEFT JOIN basic USING (doc_id) LEFT JOIN total USING (doc_id)
+    """
+
+
+@query("op13_license_scan", _LICENSES)
+def op13_license_scan(spark, folder):
+    return licenses.scan(read_table(spark, folder, "documents"))
