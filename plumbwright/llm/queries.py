@@ -10,6 +10,7 @@ from plumbwright.llm import (
     exact_dedup,
     host_rules,
     licenses,
+    merkle,
     mixing,
     ngram_trie,
     packing,
@@ -233,3 +234,61 @@ _LICENSES = rf"""
 @query("op13_license_scan", _LICENSES)
 def op13_license_scan(spark, folder):
     return licenses.scan(read_table(spark, folder, "documents"))
+
+
+def _framed(column: str) -> str:
+    return f"coalesce(strlen({column}::varchar)::varchar || ':' || {column}::varchar, '-')"
+
+
+_MERKLE_LEAF = " || ".join(map(_framed, ("doc_id", "source", "lang", "{n_chars}", "text")))
+# All levels are built one by one; level 0 of the upper tree continues from the groups' last levels.
+_MERKLE = rf"""
+    WITH RECURSIVE
+    t AS (SELECT *, {_CRC32.format(text="doc_id::varchar")} % 7 = 0 AS changed FROM documents),
+    leaf AS (
+        SELECT doc_id, lang, sha256({_MERKLE_LEAF.format(n_chars="n_chars")}) AS leaf,
+               sha256({_MERKLE_LEAF.format(n_chars="(n_chars + changed::int)")}) AS given
+        FROM t),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaf),
+    lower AS (
+        SELECT lang, 0 AS level, idx, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n FROM placed
+        UNION ALL
+        SELECT lang, any_value(level) + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 1) // 2
+        FROM lower WHERE n > 1 GROUP BY lang, idx // 2),
+    sub AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS ord FROM lower WHERE n = 1),
+    upper AS (
+        SELECT 0 AS level, ord AS idx, subroot AS digest, (SELECT count(*) FROM sub) AS n FROM sub
+        UNION ALL
+        SELECT any_value(level) + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 1) // 2
+        FROM upper WHERE n > 1 GROUP BY idx // 2),
+    low AS (
+        SELECT doc_id, lang, leaf, 0 AS level, idx, given AS folded, '' AS proof FROM placed
+        UNION ALL
+        SELECT c.doc_id, c.lang, c.leaf, c.level + 1, c.idx // 2,
+               sha256(CASE WHEN s.digest IS NULL THEN folded WHEN c.idx % 2 = 1 THEN s.digest || folded ELSE folded || s.digest END),
+               proof || coalesce(s.digest, '')
+        FROM low c JOIN (SELECT lang, level, any_value(n) AS n FROM lower GROUP BY lang, level) z
+               ON z.lang IS NOT DISTINCT FROM c.lang AND z.level = c.level AND z.n > 1
+        LEFT JOIN lower s ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.idx = xor(c.idx, 1)),
+    met AS (
+        SELECT l.doc_id, l.leaf, sub.subroot, 0 AS level, sub.ord AS idx, l.folded, l.proof
+        FROM low l JOIN sub ON sub.lang IS NOT DISTINCT FROM l.lang
+        WHERE l.level = (SELECT max(level) FROM lower x WHERE x.lang IS NOT DISTINCT FROM l.lang)),
+    high AS (
+        SELECT * FROM met
+        UNION ALL
+        SELECT c.doc_id, c.leaf, c.subroot, c.level + 1, c.idx // 2,
+               sha256(CASE WHEN s.digest IS NULL THEN folded WHEN c.idx % 2 = 1 THEN s.digest || folded ELSE folded || s.digest END),
+               proof || coalesce(s.digest, '')
+        FROM high c JOIN (SELECT level, any_value(n) AS n FROM upper GROUP BY level) z ON z.level = c.level AND z.n > 1
+        LEFT JOIN upper s ON s.level = c.level AND s.idx = xor(c.idx, 1)),
+    root AS (SELECT digest AS root FROM upper WHERE n = 1)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM high, root WHERE level = (SELECT max(level) FROM upper)
+    """
+
+
+@query("op12_merkle_manifest", _MERKLE)
+def op12_merkle_manifest(spark, folder):
+    return merkle.prove(merkle.build(read_table(spark, folder, "documents"), shown=merkle.tampered()))
