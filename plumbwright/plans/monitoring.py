@@ -243,6 +243,30 @@ def sg_long_series(t: Tables):
     return rows.select("i", F.round("smoothed", 9).alias("smoothed"), F.round("despiked", 9).alias("despiked"))
 
 
+_WIDE = "OVER (PARTITION BY series ORDER BY i ROWS BETWEEN 500 PRECEDING AND 500 FOLLOWING)"
+
+
+@plan("sg_wide", sql(f"SELECT series, i, round(avg(v) {_WIDE}, 9) AS smoothed FROM v_spikes", ("v_spikes",)))
+def sg_wide(t: Tables):
+    """Means of a long window over values that are missing, infinite or not numbers."""
+    rows = smooth.moving_average(t["v_spikes"], "series", "i", "v", 1_001)
+    return rows.select("series", "i", F.round("smoothed", 9).alias("smoothed"))
+
+
+@plan("sg_wide_blocks", sql(f"SELECT series, i, round(avg(v) {_WIDE}, 9) AS smoothed FROM v_spikes", ("v_spikes",)))
+def sg_wide_blocks(t: Tables):
+    """The same in blocks of the order of all series."""
+    rows = smooth.moving_average(t["v_spikes"], "series", "i", "v", 1_001, layout="blocks", block_rows=2_048)
+    return rows.select("series", "i", F.round("smoothed", 9).alias("smoothed"))
+
+
+@plan("sg_wide_median", sql(f"SELECT series, i, median(v) {_WIDE} AS filtered FROM v_spikes", ("v_spikes",)))
+def sg_wide_median(t: Tables):
+    """Medians of a long window in pieces that are shorter than a series."""
+    steps = [("filtered", smooth.median_of(1_001, rows=2_048))]
+    return smooth.filter_series(t["v_spikes"], "series", "i", "v", steps).select("series", "i", "filtered")
+
+
 def _db(estimate: str) -> str:
     return f"10 * log10(sum(clean * clean) / sum((clean - {estimate}) * (clean - {estimate})))"
 

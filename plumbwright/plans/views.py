@@ -115,6 +115,12 @@ SELECT user_id AS series, event_id AS i, cast(10 + event_id % 12 AS double) AS c
   cast(10 + event_id % 12 AS double) + cast((event_id * 7919) % 13 - 6 AS double) / 10 + CASE WHEN event_id % 17 = 0 THEN 6.0E0 ELSE 0.0E0 END AS noisy FROM {events}
 """
 
+# series bigint, i bigint, v double (values missing, infinite and not a number now and then)
+VIEWS["v_spikes"] = r"""
+SELECT event_id % 2 AS series, event_id AS i, CASE WHEN event_id % 4999 = 7 THEN cast('Infinity' AS double) WHEN event_id % 7919 = 5 THEN cast('NaN' AS double)
+  WHEN event_id % 13 = 4 THEN NULL ELSE cast((event_id * 7919) % 1009 - 504 AS double) / 8 END AS v FROM {events}
+"""
+
 # id bigint, label int, f0..f7 bigint
 VIEWS["v_bits"] = r"""
 SELECT doc_id AS id, quality AS label, h % 2 AS f0, cast(floor(h / 2) AS bigint) % 2 AS f1, cast(floor(h / 4) AS bigint) % 2 AS f2, cast(floor(h / 8) AS bigint) % 2 AS f3,

@@ -1,5 +1,6 @@
 """Inputs that are long, skewed, empty or oddly named."""
 
+import math
 import random
 import time
 
@@ -128,10 +129,78 @@ def test_mean_of_a_very_long_window(spark, layout):
     assert smooth.moving_average(alone, "s", "i", "v", 5_001).first()["smoothed"] is None
 
 
-def test_median_window_is_a_parameter(spark):
-    with pytest.raises(ValueError, match="at most 1001"):
-        smooth.median_of(1_003)
-    assert smooth.median_of(1_003, longest=2_000)[0] == 501
+INF, NAN = float("inf"), float("nan")
+
+
+def wild(n=800):
+    """Ones with values that a running sum never recovers from, and gaps."""
+    values = [1.0] * n
+    for i, v in {10: INF, 300: NAN, 450: -INF, 460: INF, 600: None, 601: None, 602: None, n - 1: 1e17}.items():
+        values[i] = v
+    return values
+
+
+def windows(values, window):
+    half = window // 2
+    for i in range(len(values)):
+        yield [v for v in values[max(0, i - half) : i + half + 1] if v is not None]
+
+
+def mean(values):
+    return sum(values) / len(values) if values else None
+
+
+def middle(values):
+    v = sorted(values, key=lambda x: (math.isnan(x), 0.0 if math.isnan(x) else x))
+    return None if not v else v[len(v) // 2] if len(v) % 2 else (v[len(v) // 2 - 1] + v[len(v) // 2]) / 2
+
+
+def agree(a, b):
+    if a is None or b is None:
+        return a is b
+    return (math.isnan(a) and math.isnan(b)) or a == b or abs(a - b) <= 1e-12 * abs(b)
+
+
+LAYOUTS = [{}, {"layout": "blocks", "block_rows": 2_600}, {"layout": "blocks", "block_rows": 80_000}]
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 17, 101, 103, 129, 5_001])
+def test_means_of_wild_values_in_both_layouts(spark, window):
+    values = wild()
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)] + [(2, 5, None)], "s int, i int, v double").repartition(3)
+    want = [mean(w) for w in windows(values, window)]
+    for layout in LAYOUTS:
+        got = {(r["s"], r["i"]): r["smoothed"] for r in smooth.moving_average(df, "s", "i", "v", window, **layout).collect()}
+        assert got[2, 5] is None
+        assert all(agree(got[1, i], w) for i, w in enumerate(want)), layout
+
+
+@pytest.mark.parametrize("window", [3, 6, 101, 501])
+def test_medians_of_wild_values_by_either_way(spark, window):
+    """Sorting each window and moving it over small pieces give the same values."""
+    values = wild()
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)] + [(2, 5, None)], "s int, i int, v double").repartition(3)
+    want = [middle(w) for w in windows(values, window)]
+    for layout in LAYOUTS:
+        for kind in ({"sorted_window": 10_000}, {"sorted_window": 0}, {"sorted_window": 0, "rows": 50}):
+            steps = [("m", smooth.median_of(window, **kind))]
+            found = smooth.filter_series(df, "s", "i", "v", steps, **layout)
+            assert found.columns == ["s", "i", "v", "m"]
+            got = {(r["s"], r["i"]): r["m"] for r in found.collect()}
+            assert len(got) == 801 and got[2, 5] is None
+            assert all(agree(got[1, i], w) for i, w in enumerate(want)), (layout, kind)
+
+
+def test_median_of_a_window_longer_than_a_task_may_sort(spark):
+    n, window = 120_000, 50_001
+    df = spark.range(n).selectExpr("1 AS s", "id AS i", "CAST(id AS double) AS v", "array(id) AS other")
+    steps = [("m", smooth.median_of(window, rows=20_000))]
+    got = smooth.filter_series(df, "s", "i", "v", steps)
+    # In an ascending series the median lies in the middle of what the edges leave of the window.
+    half = window // 2
+    middle_of = (F.greatest(F.col("i") - half, F.lit(0)) + F.least(F.col("i") + half, F.lit(n - 1))) / 2
+    assert got.count() == n and got.filter(F.col("m") != middle_of).count() == 0
+    assert got.filter("other[0] != i").count() == 0
 
 
 def test_selection_among_a_hundred_features(spark):

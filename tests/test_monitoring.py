@@ -127,7 +127,7 @@ def test_median_alone_and_window_limits(spark):
     with pytest.raises(ValueError):
         smooth.moving_average(df, "s", "i", "v", 0)
     with pytest.raises(ValueError):
-        smooth.median_filter(df, "s", "i", "v", 2000)
+        smooth.median_filter(df, "s", "i", "v", -1)
     with pytest.raises(ValueError):
         smooth.denoise(df, "s", "i", "v", 5, layout="blocks", block_rows=3)
 
