@@ -65,7 +65,7 @@ def rows_of(count, langs):
     return [(i, f"text {i} é" if i % 9 else None, langs[i % len(langs)], f"s{i % 4}" if i % 11 else None, i if i % 5 else None) for i in range(count)]
 
 
-@pytest.mark.parametrize("span", [1, 2, 8])
+@pytest.mark.parametrize("span", [2, 10])
 def test_equals_brute_force(spark, monkeypatch, span):
     """Few levels between stored rows make many steps, and many copies of the upper ones."""
     monkeypatch.setattr(merkle, "SPAN", span)
@@ -78,7 +78,7 @@ def test_equals_brute_force(spark, monkeypatch, span):
 
 def test_sizes_around_powers_of_two(spark, monkeypatch):
     monkeypatch.setattr(merkle, "SPAN", 2)
-    for count in (1, 2, 3, 4, 5, 8, 9, 16, 17):
+    for count in (1, 3, 4, 9):
         rows = rows_of(count, ["en"])
         assert proved(frame(spark, rows)) == brute(rows), count
 
@@ -111,8 +111,8 @@ def test_upper_nodes_have_copies_and_the_query_is_recursive(spark, monkeypatch):
     monkeypatch.setattr(merkle, "SPAN", 3)
     built = merkle.build(frame(spark, rows_of(600, ["en", "en", "de"])))
     counts = {r[:3]: r[3] for r in map(tuple, built.nodes.groupBy("tree", "level", "idx").count().collect())}
-    # Below 8 and 64 leaves one row; the tree of 400 and its place in the upper tree have one for each 64.
-    assert counts[(1, 0, 0)] == 1 and counts[(merkle.TOP, 0, 1)] == 400 // 64
+    # Above 8 leaves one row, above 64 one; the tree of 400 has one for each 64 in its place in the upper tree.
+    assert counts[(1, 1, 0)] == 1 and counts[(1, 2, 0)] == 1 and counts[(merkle.TOP, 0, 1)] == 400 // 64
     used = built.leaves.sparkSession.conf.get("spark.sql.cteRecursionRowLimit")
     merkle.prove(built)
     assert spark.conf.get("spark.sql.cteRecursionRowLimit") == used
