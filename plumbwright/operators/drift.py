@@ -18,20 +18,24 @@ STATS = ("n", "completeness", "integral", "mean", "min")
 
 
 def profile(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str | Column] = (), keep: Sequence[Column] = ()
-) -> DataFrame:
+    df: DataFrame, columns: Sequence[str], by: Sequence[str | Column] = (), keep: Sequence[Column] = (),
+    counted: Column | None = None,
+) -> DataFrame:
     """Statistics per column, and per batch when ``by`` lists grouping columns.
 
     ``completeness`` is the filled share of all cells, ``integral`` the share of
     filled cells that are whole numbers; ``mean`` and ``min`` cover the numeric
     cells and are NULL without any.  Without ``by`` an empty frame still yields
-    a row per column.  ``keep`` adds batch-level aggregates to the grouping.
+    a row per column.  ``keep`` adds batch-level aggregates to the grouping.  Rows
+    for which ``counted`` is false keep their batch alive but are none of its rows;
+    their profiled cells must be NULL.
     """
     staged = df.select(
         *[field(c) for c in df.columns if c not in columns],
         *[normalise(cell(df, c)).alias(f"_t{i}") for i, c in enumerate(columns)],
     ).withColumns({f"_v{i}": number(F.col(f"_t{i}")) for i in range(len(columns))})
-    aggs = [F.count(F.lit(1)).alias("_n"), *keep]
+    rows = F.count(F.lit(1)) if counted is None else F.count_if(counted)
+    aggs = [rows.alias("_n"), *keep]
     for i in range(len(columns)):
         text, v = F.col(f"_t{i}"), F.col(f"_v{i}")
         # NaN and infinities leave a NaN remainder, so they are not whole numbers.
@@ -144,11 +148,12 @@ def violations(current: DataFrame, baseline: DataFrame, rules: list[Column]) ->
     """One row per broken rule: the profile's batch columns, column, rule and message.
 
     The baseline must have one row per column.  In a finished table, columns of
-    the baseline that a batch lacks are judged as empty; a stream's profile has
-    the columns it was given, so profile the baseline's there.
+    the baseline that a batch lacks are judged as empty, and so are those that a
+    profile without batches lacks; a stream's profile has the columns it was
+    given, so profile the baseline's there.
     """
     batch = [c for c in current.columns if c not in ("column_no", "column", *STATS)]
-    if batch and not current.isStreaming:
+    if not current.isStreaming:
         current = current.unionByName(_vanished(current, baseline, batch))
     once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("the baseline has several rows for a column")).cast("double"))
     base = baseline.groupBy("column").agg(

@@ -20,9 +20,9 @@ AMBIGUOUS = (5, 6)
 _DRIFT = ("v_drift",)
 
 
-def _profile_sql(key: str, table: str, extra: str = "") -> str:
+def _profile_sql(key: str, table: str, extra: str = "", n: str = "count(*)") -> str:
     return " UNION ALL ".join(
-        f"""SELECT {key}, {i} AS column_no, '{c}' AS "column", count(*) AS n, count(*) FILTER (WHERE t <> '') / count(*)::double AS completeness,
+        f"""SELECT {key}, {i} AS column_no, '{c}' AS "column", {n} AS n, coalesce(count(*) FILTER (WHERE t <> '') / nullif({n}, 0)::double, 0.0) AS completeness,
 CASE WHEN count(*) FILTER (WHERE t <> '') = 0 THEN 0.0 ELSE count(*) FILTER (WHERE isfinite(v) AND v = trunc(v)) / (count(*) FILTER (WHERE t <> ''))::double END AS integral,
 avg(v) AS mean, min(v) AS min {extra}
 FROM (SELECT *, {s_norm(c)} AS t, {s_float(s_norm(c))} AS v FROM {table}) GROUP BY {key}"""
@@ -391,3 +391,51 @@ def st_drift_live(t: Tables):
     profiles = drift_stream.windowed_profile(t.stream_view("v_drift").select("ts", *COLUMNS), COLUMNS, "ts")
     alarms = drift_stream.drift_monitor(profiles, baseline, drift.tuned_rules())
     return drain_appends(alarms, "drift-live").select(_hour(), "column_no", "column", "rule_no", "rule")
+
+
+# Every fifth hour the feed is silent, and one of its columns is gone throughout.
+_SILENT = "CAST(date_part('hour', ts) AS int) % 5 = 2"
+_GONE = "sales"
+_SILENCED = {
+    "h": f"""SELECT *, {_SILENT} AS silent, strftime(ts, '%Y-%m-%d %H') AS hour FROM v_drift""",
+    "fed": f"""SELECT hour, silent, {', '.join(f"CASE WHEN NOT silent THEN {c} END AS {c}" if c != _GONE else f"NULL::varchar AS {c}" for c in COLUMNS)} FROM h""",
+    "base": f"""SELECT * FROM ({_profile_sql('batch', 'v_drift')}) WHERE batch = {BASELINE}""",
+    "cur": _profile_sql("hour", "fed", n="count(*) FILTER (WHERE NOT silent)"),
+    **_rules_sql("hour", "cur"),
+}
+
+
+@plan(
+    "st_drift_silent",
+    sql(f'SELECT hour, column_no, "column", rule_no, rule FROM tuned WHERE hour <= {_CLOSED}', _DRIFT, **_SILENCED),
+)
+def st_drift_silent(t: Tables):
+    """A feed that falls silent and lacks a column, beside one that goes on."""
+    profiled = drift.profile(t["v_drift"].drop("ts", "is_incident"), COLUMNS, by=["batch"])
+    baseline = write_table(profiled.filter(F.col("batch") == BASELINE), "baseline")
+    feed = t.stream_view("v_drift").filter(f"NOT ({_SILENT})").select("ts", *[c for c in COLUMNS if c != _GONE])
+    alarms = drift_stream.live_alarms(feed, baseline, drift.tuned_rules(), "ts", t.stream("events").select("ts"))
+    return drain_appends(alarms, "drift-silent").select(_hour(), "column_no", "column", "rule_no", "rule")
+
+
+@plan(
+    "dr_single",
+    sql(
+        "SELECT column_no, \"column\", rule_no, rule FROM strict",
+        _DRIFT,
+        base=f"SELECT * FROM ({_profile_sql('batch', 'v_drift')}) WHERE batch = {BASELINE}",
+        one=f"SELECT * REPLACE (NULL::varchar AS {_GONE}) FROM v_drift WHERE batch = {BASELINE + 1}",
+        cur=f"SELECT * REPLACE (CASE WHEN \"column\" = '{_GONE}' THEN 0 ELSE n END AS n) FROM ({_profile_sql('batch', 'one')})",
+        **_rules_sql("batch", "cur"),
+    ),
+)
+def dr_single(t: Tables):
+    """One batch profiled alone, without a column of the baseline."""
+    rows = t["v_drift"].drop("ts", "is_incident")
+    baseline = drift.profile(rows.filter(F.col("batch") == BASELINE), COLUMNS)
+    some = [c for c in COLUMNS if c != _GONE]
+    current = drift.profile(rows.filter(F.col("batch") == BASELINE + 1).select(*some), some)
+    # The columns that are left keep their places in the baseline.
+    places = F.create_map(*[F.lit(x) for i, c in enumerate(COLUMNS) for x in (c, i)])
+    current = current.withColumn("column_no", places[F.col("column")])
+    return drift.violations(current, baseline, drift.strict_rules()).select("column_no", "column", "rule_no", "rule")

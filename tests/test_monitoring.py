@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plumbwright.operators import drift, smooth
 from plumbwright.streaming import drift as drift_stream
 from plumbwright.streaming import logs as log_stream
-from plumbwright.streaming.sinks import drain_updates
+from plumbwright.streaming.sinks import drain_appends, drain_updates
 
 # -- drift ------------------------------------------------------------------
 
@@ -237,3 +237,35 @@ def test_drift_stream_equals_batch_and_append_holds_open_windows(spark, tmp_path
     )
     query.awaitTermination()
     assert [r.rule for r in spark.table("drift_alarms").collect()] == ["non_negative"]
+
+
+def test_silent_hours_and_lost_columns_fire_in_the_live_stream(spark, tmp_path):
+    """Hours 1 and 2 have no rows; column w is in the baseline only; the clock goes on to hour 5."""
+    rows = [(f"2026-07-01 {h:02d}:{m:02d}:00", "1") for h in (0, 3, 4) for m in (5, 35)]
+    df = spark.createDataFrame(rows, "ts string, v string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    clock = spark.createDataFrame([(f"2026-07-01 {h:02d}:20:00",) for h in range(6)], "tick string")
+    clock = clock.withColumn("tick", F.col("tick").cast("timestamp_ntz"))
+    for name, frame in (("rows", df), ("clock", clock)):
+        frame.coalesce(1).write.parquet(str(tmp_path / name))
+    base = drift.profile(spark.createDataFrame([("1", "2"), ("1", "3")], "v string, w string"), ["v", "w"])
+    stream = lambda f, name: spark.readStream.schema(f.schema).parquet(str(tmp_path / name))
+    alarms = drift_stream.live_alarms(
+        stream(df, "rows"), base, drift.strict_rules(), "ts", stream(clock, "clock"), watermark="0 seconds", beat_time="tick"
+    )
+    found = {(r.window.start.hour, r["column"], r.rule) for r in drain_appends(alarms).collect()}
+    # The last window is still open.
+    lost = {(h, "w", rule) for h in range(5) for rule in ("completeness", "integral")}
+    silent = {(h, "v", rule) for h in (1, 2) for rule in ("completeness", "integral")}
+    assert found == lost | silent
+    profiles = drift_stream.windowed_profile(stream(df, "rows"), ["v"], "ts", beats=stream(clock, "clock"), beat_time="tick")
+    table = drain_updates(profiles, ["window", "column"])
+    assert {r.window.start.hour: r.n for r in table.collect()} == {0: 2, 1: 0, 2: 0, 3: 2, 4: 2, 5: 0}
+
+
+def test_single_profiles_lose_columns_too(spark):
+    df = spark.createDataFrame([("1", "2"), ("3", "4")], "x string, y string")
+    base = drift.profile(df, ["x", "y"])
+    for current in (drift.profile(df, ["x"]), drift.profile(df.limit(0), ["x"])):
+        found = {(r["column"], r["rule"]) for r in drift.violations(current, base, drift.tuned_rules()).collect()}
+        assert ("y", "completeness") in found
+    assert drift.violations(drift.profile(df, ["x", "y"]), base, drift.tuned_rules()).count() == 0
