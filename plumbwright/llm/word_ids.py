@@ -2,14 +2,16 @@
 
 For a vocabulary that drops white space (its pieces never reach across it), the
 ids of a text are the ids of its white-space-separated words in order.  Every
-distinct word is encoded once by the tokenizers library; texts are then
-assembled from the words' ids.
+distinct word gets a number when it is first seen and is encoded once; texts are
+then gathered from the words' ids as arrays.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -17,14 +19,36 @@ import public_tokenizers
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 
 # Distinct words that a worker remembers before it starts afresh; bounds its memory.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 1_000_000
 # Longer words are encoded each time they occur.
 LONGEST_REMEMBERED = 64
 # A control character that stands as a word of its own between words of one call.
 _MARK = "\x01"
+# Words in one call of the library.
+_CALL = 64
 # The vocabulary composes (NFC) before it lower-cases, and some marks compose with a
 # small letter only.  A mark can only join the letter right before it.
 _OPEN_CAPITAL = re.compile(rb"[A-Z][\x80-\xff]")
+# How a vocabulary cuts texts whose pieces are runs of letters, runs of marks and digits.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# Pieces of plain words: small Latin letters, which neither composing nor lower-casing
+# changes, ASCII digits, and ASCII marks but for the apostrophe.
+_PLAIN_PIECE = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_PLAIN = re.compile(f"(?:{_PLAIN_PIECE.pattern})+")
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte: itself if printable, else one from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out, spare = {b: chr(b) for b in printable}, 256
+    for b in range(256):
+        if b not in out:
+            out[b], spare = chr(spare), spare + 1
+    return [out[b] for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 def _spelt(raw: bytes) -> list[bytes]:
@@ -37,6 +61,20 @@ def _spelt(raw: bytes) -> list[bytes]:
     return [w.lower() if w.isascii() else w for w in raw.split()]
 
 
+class _Numbers(dict):
+    """Words by number; an unknown word gets the next one and waits in ``fresh``."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+        self.count = 0
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.count
+        self.count += 1
+        self.fresh.append(word)
+        return number
+
+
 class WordIds:
     """Encodes texts with a tokenizers file whose pieces never hold white space."""
 
@@ -45,51 +83,101 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.remembered = remembered
-        self.known: dict[bytes, bytes] = {}
         mark = self.library.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of distinct words.  Marked words share one call of the library."""
+        told = json.loads(self.library.to_str())
+        cut = (told["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.cuts_are_known = (
+            (told["normalizer"] or {}).get("normalizers") == _NORMALIZER
+            and [c.get("type") for c in cut] == ["Split", "ByteLevel"]
+            and cut[0]["pattern"] == {"Regex": _PIECES}
+            and not cut[1]["add_prefix_space"]
+            and not cut[1]["use_regex"]
+        )
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.pieces: dict[str, list[int]] = {}
+        # Ids of all known words one after another, and by number where a word's ids begin and how many they are.
+        self.flat, self.used = np.empty(1 << 16, self.dtype), 0
+        self.first, self.size, self.learnt = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64), 0
+
+    def _piece(self, piece: str) -> list[int]:
+        text = piece if piece.isascii() else "".join([_BYTE_LETTERS[b] for b in piece.encode()])
+        ids = self.pieces[piece] = [t.id for t in self.model.tokenize(text)]
+        return ids
+
+    def _plain(self, word: bytes) -> list[int] | None:
+        """Ids of a word whose pieces can be told here."""
+        text = word.decode()
+        if not _PLAIN.fullmatch(text) or "<|" in text or text != text.lower():
+            return None
+        known, ids = self.pieces.get, []
+        for piece in _PLAIN_PIECE.findall(text):
+            ids += known(piece) or self._piece(piece)
+        return ids
+
+    def _encode(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of distinct words: plain ones by pieces, others by the library, marked words in one call."""
+        found: list = [self._plain(w) if self.cuts_are_known else None for w in words]
         together, alone = [], []
-        for w in words:
-            (alone if self.mark is None or b"\x01" in w or b"<|" in w else together).append(w)
-        found: dict[bytes, bytes] = {}
-        step = 256
-        calls = [together[i : i + step] for i in range(0, len(together), step)]
-        joined = [f" {_MARK} ".join(w.decode() for w in c) for c in calls]
+        for i, ids in enumerate(found):
+            if ids is None:
+                (alone if self.mark is None or b"\x01" in words[i] or b"<|" in words[i] else together).append(i)
+        calls = [together[i : i + _CALL] for i in range(0, len(together), _CALL)]
+        joined = [f" {_MARK} ".join(words[i].decode() for i in c) for c in calls]
         for call, out in zip(calls, self.library.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(out.ids, self.dtype)
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(call) - 1:
+            ids, at = out.ids, 0
+            if ids.count(self.mark) != len(call) - 1:
                 alone += call
                 continue
-            raw, size, at = ids.tobytes(), self.dtype.itemsize, 0
-            for w, cut in zip(call, [*cuts.tolist(), len(ids)]):
-                found[w] = raw[at * size : cut * size]
-                at = cut + 1
-        singles = self.library.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
-        for w, out in zip(alone, singles):
-            found[w] = np.array(out.ids, self.dtype).tobytes()
+            for i in call[:-1]:
+                end = ids.index(self.mark, at)
+                found[i], at = ids[at:end], end + 1
+            found[call[-1]] = ids[at:]
+        singles = self.library.encode_batch_fast([words[i].decode() for i in alone], add_special_tokens=False)
+        for i, out in zip(alone, singles):
+            found[i] = out.ids
         return found
 
+    def _learn(self) -> None:
+        words = self.numbers.fresh
+        encoded = self._encode(words)
+        sizes = np.array([len(e) for e in encoded], np.int64)
+        ids = np.fromiter(chain.from_iterable(encoded), self.dtype, int(sizes.sum()))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while self.learnt + len(words) > len(self.first):
+            self.first = np.concatenate([self.first, np.empty_like(self.first)])
+            self.size = np.concatenate([self.size, np.empty_like(self.size)])
+        upto = slice(self.learnt, self.learnt + len(words))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[upto], self.size[upto] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used, self.learnt = self.used + len(ids), upto.stop
+        for w in words:
+            if len(w) > LONGEST_REMEMBERED:
+                del self.numbers[w]
+        self.numbers.fresh = []
+
     def many(self, raws: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text, as many bytes an id as ``dtype`` has."""
+        if self.numbers.count > self.remembered:
+            self._forget()
         split = [_spelt(r) for r in raws]
-        fresh = {w for words in split for w in words if w not in self.known}
-        if len(self.known) + len(fresh) > self.remembered:
-            self.known.clear()
-            fresh = {w for words in split for w in words}
-        learnt = self._learn(list(fresh))
-        table = self.known
-        long = {w: v for w, v in learnt.items() if len(w) > LONGEST_REMEMBERED}
-        table.update(learnt)
-        out = [b"".join(map(table.__getitem__, words)) for words in split]
-        for w in long:
-            del table[w]
-        return out
+        counts = np.array([len(words) for words in split], np.int64)
+        words = map(self.numbers.__getitem__, chain.from_iterable(split))
+        numbers = np.fromiter(words, np.int64, int(counts.sum()))
+        if self.numbers.fresh:
+            self._learn()
+        sizes = self.size[numbers]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.first[numbers] - ends[:-1], sizes) + np.arange(ends[-1])]
+        cuts = ends[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 _encoders: dict[str, WordIds] = {}

@@ -79,6 +79,21 @@ def test_word_ids_equal_the_library(word_library, remembered):
         assert np.frombuffer(raw, encoder.dtype).tolist() == ids_of(word_library, text), text
 
 
+def test_word_ids_of_many_strings_equal_the_library(word_library):
+    """Small Latin letters, digits and marks in any order, and everything that needs the library."""
+    rng = random.Random(8)
+    alphabet = "abcdezß éöÿžſıŁ" + "0123²½" + ".,;:!?-_'\"<|>#$%&()*+/=@[]^`{}~" + "ABΣσ\u0301\u0338\u1e9e\n"
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(1, 12))) for _ in range(20_000)]
+    texts += ["don't", "it's", "<|endoftext|>", "a<|endoftext|>b", "x<|y", "'s", "''", "end.", "a1b2", "\x7f", "a\x01b"]
+    encoder = word_ids.WordIds(remembered=4_000)
+    assert encoder.cuts_are_known
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        got = [np.frombuffer(raw, encoder.dtype).tolist() for raw in encoder.many([t.encode() for t in some])]
+        want = [e.ids for e in word_library.encode_batch(some, add_special_tokens=False)]
+        assert got == want, next((t, g, w) for t, g, w in zip(some, got, want) if g != w)
+
+
 def with_end(library, text):
     return np.array([*ids_of(library, text), 1], "<u4")
 
