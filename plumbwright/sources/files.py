@@ -1,13 +1,14 @@
 """Text file sources and the JSON sink.
 
 Raw CSV stays all-text; typing happens in expressions.  Files are read in
-splits unless ``multi_line`` is set, which quoted line breaks need and which
-makes each file one task.
+splits.  Quoted line breaks need ``multi_line``, which makes each file one task,
+or ``in_splits``, which keeps the splits and reads the lines twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from plumbwright.functions import text as T
 from plumbwright.functions.cells import field
+from plumbwright.sources.headers import below, header_groups
+from plumbwright.sources.quoted import quoted_records
 from plumbwright.sources.scratch import write_table
 
 _CORRUPT = "_corrupt_record"
@@ -31,44 +34,95 @@ def _csv(spark: SparkSession, multi_line: bool):
     )
 
 
+def _by_header(spark: SparkSession, path: str, columns: Sequence[str] | None, in_splits: bool, read) -> DataFrame | None:
+    """Files read by groups of one header and united by the names, or None where one plain read will do.
+
+    ``read`` takes names, files and further reader options.
+    """
+    if columns is not None and not in_splits:
+        return None
+    groups = header_groups(spark, path)
+    if len(groups) < 2 and not (in_splits and groups):
+        return None
+    for names, _ in groups:
+        if columns is not None and list(columns) != names:
+            raise ValueError(f"CSV header {names} is not {list(columns)}")
+        if len({n.strip() for n in names}) < len(names):
+            raise ValueError(f"CSV header {names} repeats a name")
+    frames = [read(names, some, below(path)) for names, some in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _parsed(records: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Records of :func:`quoted_records` without the header, as ordinal, cells and the text of odd records."""
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in (*columns, _CORRUPT))
+    row = F.from_csv("record", schema, {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": _CORRUPT})
+    return records.filter("ordinal > 0").select("ordinal", F.inline(F.array(row)))
+
+
+def _wide(columns: Sequence[str]) -> Column:
+    """Whether a record has more cells than columns."""
+    # Only records whose cell count is off carry their text; quoted parts hold no separators.
+    bare = F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', "")
+    cells = F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return F.coalesce(cells > len(columns), F.lit(False)).alias("irregular")
+
+
 def read_csv_cells(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False, in_splits: bool = False
 ) -> DataFrame:
     """All cells as text under the header's names; short rows end in NULLs.
 
-    Every file must have the same header, in the same order: another one is an
-    error when the file is read.  Passing ``columns`` saves the small job that
-    reads one header line, and checks that line too.
+    A small job reads the header of every file; files whose header has other
+    names, or the same in another order, are read by their own one and united by
+    the names.  Passing ``columns`` saves that job; then every file must have
+    exactly this header, and another one is an error when the file is read.
+
+    ``multi_line`` and ``in_splits`` read quoted line breaks (see above); the
+    latter leaves partition columns of the folder out.
     """
-    if columns is None:
-        columns = _csv(spark, multi_line).csv(path).columns
-    return _csv(spark, multi_line).schema(StructType([StructField(c, StringType()) for c in columns])).csv(path)
+
+    def plain(names: Sequence[str], place: str | list[str], options: dict[str, str]) -> DataFrame:
+        schema = StructType([StructField(c, StringType()) for c in names])
+        return _csv(spark, multi_line).options(**options).schema(schema).csv(place)
+
+    def split(names: Sequence[str], place: list[str], options: dict[str, str]) -> DataFrame:
+        return _parsed(quoted_records(spark, place), names).select(*[field(c) for c in names])
+
+    united = _by_header(spark, path, columns, in_splits, split if in_splits else plain)
+    if united is not None:
+        return united
+    return plain(_csv(spark, multi_line).csv(path).columns if columns is None else columns, path, {})
 
 
 def read_csv_records(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False, in_splits: bool = False
 ) -> DataFrame:
     """Text cells plus ``lineno`` (record ordinal, header = 1) and ``irregular``.
 
-    ``irregular`` marks records with more cells than the header.  The ordinal
-    counts records per file, so a quoted line break does not advance it.  Files
-    with another header are an error, as in :func:`read_csv_cells`, which also is
-    the reader for callers that need no ordinals.
+    ``irregular`` marks records with more cells than their file's header.  The
+    ordinal counts records per file, so a quoted line break does not advance it.
+    Headers and options are as in :func:`read_csv_cells`, which also is the reader
+    for callers that need no ordinals.
     """
-    if columns is None:
-        columns = _csv(spark, multi_line).csv(path).columns
-    schema = StructType([StructField(c, StringType()) for c in (*columns, _CORRUPT)])
-    # Records can only be checked for their cell count when all cells are parsed.
-    reader = _csv(spark, multi_line).schema(schema).options(columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
-    raw = reader.csv(path)
-    numbered = with_record_ordinal(raw, "lineno", FIRST_RECORD_LINE)
-    # Only records whose cell count is off carry their text; quoted parts hold no separators.
-    bare = F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', "")
-    cells = F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-    wide = F.coalesce(cells > len(columns), F.lit(False))
-    return numbered.select(
-        "lineno", wide.alias("irregular"), *[field(c).alias(c.strip()) for c in columns]
-    )
+
+    def finished(numbered: DataFrame, names: Sequence[str]) -> DataFrame:
+        return numbered.select("lineno", _wide(names), *[field(c).alias(c.strip()) for c in names])
+
+    def plain(names: Sequence[str], place: str | list[str], options: dict[str, str]) -> DataFrame:
+        schema = StructType([StructField(c, StringType()) for c in (*names, _CORRUPT)])
+        # Records can only be checked for their cell count when all cells are parsed.
+        reader = _csv(spark, multi_line).schema(schema).options(columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
+        return finished(with_record_ordinal(reader.options(**options).csv(place), "lineno", FIRST_RECORD_LINE), names)
+
+    def split(names: Sequence[str], place: list[str], options: dict[str, str]) -> DataFrame:
+        numbered = _parsed(quoted_records(spark, place), names)
+        return finished(numbered.withColumn("lineno", F.col("ordinal") + 1), names)
+
+    united = _by_header(spark, path, columns, in_splits, split if in_splits else plain)
+    if united is not None:
+        return united
+    return plain(_csv(spark, multi_line).csv(path).columns if columns is None else columns, path, {})
 
 
 def with_record_ordinal(df: DataFrame, name: str, first: int = 0) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbwright.functions import cells, text, vectors
 from plumbwright.operators import drift, logs, ordering, quality, reconcile, regress, relational, selection, smooth, wrangle
 from plumbwright.sources import files, scratch
+from plumbwright.sources.headers import placed_lines, settings
 from plumbwright.streaming import logs as log_stream
 
 
@@ -54,14 +55,87 @@ def test_quoted_cell_of_a_megabyte_in_wide_and_short_records(spark, tmp_path):
     assert [got[k]["lineno"] for k in "123"] == [2, 3, 4]
 
 
-@pytest.mark.parametrize("columns", [None, ["id", "name"]])
 @pytest.mark.parametrize("read", [files.read_csv_cells, files.read_csv_records])
-def test_files_with_another_header_are_refused(spark, tmp_path, read, columns):
+def test_files_with_another_header_are_refused_where_columns_are_given(spark, tmp_path, read):
     (tmp_path / "a.csv").write_text("id,name\n1,ann\n")
-    assert read(spark, str(tmp_path), columns).select("id", "name").first() == ("1", "ann")
+    assert read(spark, str(tmp_path), ["id", "name"]).select("id", "name").first() == ("1", "ann")
     (tmp_path / "b.csv").write_text("name,id\nbob,2\n")
     with pytest.raises(Exception, match="CSV header"):
-        read(spark, str(tmp_path), columns).collect()
+        read(spark, str(tmp_path), ["id", "name"]).collect()
+
+
+@pytest.mark.parametrize("in_splits", [False, True])
+def test_files_keep_their_own_headers(spark, tmp_path, in_splits):
+    """Other orders, missing and further columns, odd file names, an empty file and a quoted header."""
+    texts = {
+        "a b+c%20.csv": "id,name\n1,ann\n2,\"b, o\"\n", "b.csv": "name,id\ncat,3\n", "c.csv": "id,age\n4,40,more\n\n5\n",
+        "d.csv": "", "e.csv": '"name","id"\n"dan ""d""",6\n', "f.csv": "id,name\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    cells = files.read_csv_cells(spark, str(tmp_path), in_splits=in_splits)
+    want = {("1", "ann", None), ("2", "b, o", None), ("3", "cat", None), ("4", None, "40"), ("5", None, None), ("6", 'dan "d"', None)}
+    assert cells.columns == ["id", "name", "age"] and {tuple(r) for r in cells.collect()} == want
+    records = files.read_csv_records(spark, str(tmp_path), in_splits=in_splits)
+    got = {r["id"]: (r["lineno"], r["irregular"], r["name"], r["age"]) for r in records.collect()}
+    assert got == {
+        "1": (2, False, "ann", None), "2": (3, False, "b, o", None), "3": (2, False, "cat", None),
+        "4": (2, True, None, "40"), "5": (3, False, None, None), "6": (2, False, 'dan "d"', None),
+    }
+
+
+def test_partition_columns_stay_with_files_of_several_headers(spark, tmp_path):
+    for part, text in ((1, "id,v\n1,a\n"), (2, "v,id\nb,2\n")):
+        (tmp_path / f"part={part}").mkdir()
+        (tmp_path / f"part={part}" / "x.csv").write_text(text)
+    got = files.read_csv_cells(spark, str(tmp_path))
+    assert {(r["id"], r["v"], r["part"]) for r in got.collect()} == {("1", "a", 1), ("2", "b", 2)}
+
+
+def test_repeated_names_are_refused_among_several_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,id\n1,2\n")
+    (tmp_path / "b.csv").write_text("id,v\n1,2\n")
+    with pytest.raises(ValueError, match="repeats"):
+        files.read_csv_cells(spark, str(tmp_path))
+
+
+def cells_with_breaks(rng, break_):
+    kinds = ["plain", "", '"quoted"', '"a ""b"" c"', f'"two{break_}lines"', f'"{break_}{break_}"', '"x,y"', 'st"ray', '"' + f"long{break_}" * 20 + '"']
+    return rng.choice(kinds)
+
+
+@pytest.mark.parametrize("break_", ["\n", "\r\n"])
+@pytest.mark.parametrize("split_bytes", ["61", "500", "1m"])
+def test_quoted_line_breaks_in_splits_equal_multi_line(spark, tmp_path, split_bytes, break_):
+    rng = random.Random(split_bytes + break_)
+    for f in range(2):
+        lines = [f'id,"the{break_}name",note'] + [f"{f}-{i},{cells_with_breaks(rng, break_)},{cells_with_breaks(rng, break_)}" for i in range(20)]
+        if f == 1:
+            lines = [lines[0], *[x for line in lines[1:] for x in (line, "")]]
+        (tmp_path / f"{f}.csv").write_bytes((break_.join(lines) + (break_ if f else "")).encode())
+    want = files.read_csv_records(spark, str(tmp_path), multi_line=True)
+    names = want.columns
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": split_bytes, "spark.sql.files.openCostInBytes": "0"}):
+        got = files.read_csv_records(spark, str(tmp_path), in_splits=True)
+        many = len({(r["file"], r["block"]) for r in placed_lines(spark, str(tmp_path)).collect()})
+        rows = sorted(tuple(r) for r in got.fillna("").collect())
+        alone = sorted(map(tuple, files.read_csv_cells(spark, str(tmp_path), in_splits=True).fillna("").collect()))
+    assert got.columns == names and len(rows) == 40
+    assert rows == sorted(tuple(r) for r in want.fillna("").collect())
+    assert alone == sorted(r[2:] for r in rows)
+    assert split_bytes == "1m" or many > 6
+
+
+def test_a_large_file_with_quoted_breaks_uses_many_tasks(spark, tmp_path):
+    n = 40_000
+    body = "".join(f'{i},"first {i}\nsecond {"x" * (i % 97)}",end\n' for i in range(n))
+    (tmp_path / "big.csv").write_text("id,text,last\n" + body)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}):
+        got = files.read_csv_records(spark, str(tmp_path), in_splits=True)
+        tasks = placed_lines(spark, str(tmp_path), "\n").rdd.getNumPartitions()
+    assert tasks > 30
+    wrong = got.filter("NOT (lineno = CAST(id AS bigint) + 2 AND last = 'end' AND text LIKE concat('first ', id, '\\nsecond %'))")
+    assert got.count() == n and wrong.count() == 0
 
 
 def test_keys_may_be_called_n(spark):
