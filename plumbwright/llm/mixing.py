@@ -135,7 +135,7 @@ def _source_plan(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
 
 
 def _last_lots(sized: DataFrame, partial: DataFrame) -> DataFrame:
-    """Per source and length: the lot of the last document taken in lot order.
+    """Per source and length: the last lot that is taken, how many rows have it (tied) and how many of them are taken (take).
 
     Large lengths are cut into ranges of lots; counts tell which range holds the
     last one, and only that range is sorted.
@@ -149,10 +149,12 @@ def _last_lots(sized: DataFrame, partial: DataFrame) -> DataFrame:
     counts = counts.withColumn("before", F.coalesce(F.sum("here").over(order), F.lit(0)))
     holds = counts.filter("before < more and more <= before + here")
     wanted = holds.select(*same, "range", (F.col("more") - F.col("before")).alias("k"))
-    ranked = dealt.drop("more", "n").join(wanted, [*same, "range"]).withColumn(
-        "at", F.row_number().over(Window.partitionBy(*same, "range").orderBy(_lot_order()))
-    )
-    return ranked.filter("at = k").select(*same, F.col("lot").alias("last_lot"))
+    line = Window.partitionBy(*same, "range").orderBy(_lot_order())
+    # Equal rows have equal lots; they count before they are ordered.
+    lots = dealt.join(wanted, [*same, "range"]).groupBy(*same, "range", "lot").agg(F.count(F.lit(1)).alias("tied"), F.first("k").alias("k"))
+    upto = lots.withColumn("upto", F.sum("tied").over(line))
+    last = upto.filter("upto - tied < k and k <= upto")
+    return last.select(*same, F.col("lot").alias("last_lot"), "tied", (F.col("k") - F.col("upto") + F.col("tied")).alias("take"))
 
 
 def _lot_order() -> Column:
@@ -162,32 +164,54 @@ def _lot_order() -> Column:
 
 def _sized(docs: DataFrame, seed: int) -> DataFrame:
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
-    return docs.withColumns(
-        {"source_key": _source_key(), "size": words, "lot": F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"))}
-    )
+    # Only rows of one id and text share a lot.
+    lot = F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
+    return docs.withColumns({"source_key": _source_key(), "size": words, "lot": lot})
 
 
 def mixing_plan(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPEATS, seed: int = SEED
-) -> DataFrame:
-    """Per source and document length: target, whole copies, and the last lot that is taken once more."""
-    sized = write_table(_sized(docs.select("doc_id", "source", "text"), seed).select("source_key", "size", "lot"), "sized")
+) -> tuple[DataFrame, DataFrame]:
+    """The sized documents without their texts, and per source and length what the mix takes of them.
+
+    Of a length, all documents are taken ``copies`` times, and once more: all of
+    them (``every``), or those with lots before ``last_lot`` and ``take`` of the
+    ``tied`` rows that have it.
+    """
+    sized = _sized(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"), seed).drop("text")
+    sized = write_table(sized, "sized")
     histogram = write_table(sized.groupBy("source_key", "size").agg(F.count(F.lit(1)).alias("n")), "lengths")
     sources = histogram.groupBy("source_key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     both = histogram.join(targets(sources, weights, repeats).drop("weight"), "source_key")
     kind = "source_key string, size long, source_size long, target double, n long, copies long, more long"
     plan = write_table(both.groupBy("source_key").applyInPandas(_plan(seed), kind), "plan")
-    cuts = _last_lots(sized, plan.filter("0 < more and more < n"))
-    # Lots compare as unsigned numbers: all ones, the largest, takes every document.
-    last = F.coalesce("last_lot", F.when(F.col("more") == F.col("n"), F.lit(-1).cast("long")))
-    out = plan.join(cuts, ["source_key", "size"], "left")
-    return write_table(out.select("source_key", "size", "source_size", "target", "copies", last.alias("last_lot")), "mix")
+    cuts = _last_lots(sized.select("source_key", "size", "lot"), plan.filter("0 < more and more < n"))
+    out = plan.join(cuts, ["source_key", "size"], "left").withColumn("every", F.col("more") == F.col("n"))
+    kept = ["source_key", "size", "source_size", "target", "copies", "every", "last_lot", "tied", "take"]
+    return sized, write_table(out.select(*kept), "mix")
 
 
-def _times() -> Column:
+def _with_times(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """Sized rows with how often each is taken (times)."""
+    same = ["source_key", "size"]
+    rows = sized.join(plan, same)
     flip = F.lit(-(1 << 63))
-    chosen = F.col("lot").bitwiseXOR(flip) <= F.col("last_lot").bitwiseXOR(flip)
-    return F.col("copies") + F.coalesce(chosen, F.lit(False)).cast("long")
+    within = F.col("lot").bitwiseXOR(flip) <= F.col("last_lot").bitwiseXOR(flip)
+    more = F.col("every") | F.coalesce(within, F.lit(False))
+    if plan.filter("take < tied").isEmpty():
+        return rows.withColumn("times", F.col("copies") + more.cast("long"))
+    # Some lengths end among equal rows: these are numbered part by part of a stored table.
+    split = F.coalesce((F.col("lot") == F.col("last_lot")) & (F.col("take") < F.col("tied")), F.lit(False))
+    clear = rows.filter(~split).withColumn("times", F.col("copies") + more.cast("long"))
+    equal = write_table(rows.filter(split).withColumn("_at", F.monotonically_increasing_id()), "equal-rows")
+    equal = equal.withColumn("_part", F.shiftright("_at", 33))
+    sizes = equal.groupBy(*same, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*same, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(*same, "_part").orderBy("_at"))
+    placed = equal.join(before, [*same, "_part"]).withColumn("_place", place)
+    times = F.col("copies") + (F.col("_place") <= F.col("take")).cast("long")
+    return clear.unionByName(placed.withColumn("times", times).select(*clear.columns))
 
 
 def mix(
@@ -200,25 +224,26 @@ def mix(
 
     Defined cases: NULL and empty texts have size 0 and are taken as often as
     whole copies of their source are (once in a source without words, whose
-    target is 0); documents with a NULL source form the last source; rows with
-    the same doc_id, source and size are taken alike; an empty table gives no
-    rows; other columns are ignored.
+    target is 0); documents with a NULL source form the last source; of equal
+    rows (id, source and text) any may be the ones that are taken once more; an
+    empty table gives no rows; other columns are ignored.
     """
-    plan = mixing_plan(docs, weights, repeats, seed)
-    sized = _sized(docs.select("doc_id", "source", "text"), seed).drop("text")
-    return sized.join(plan, ["source_key", "size"]).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", "size", "source_size", "target",
-        _times().alias("times"), (F.col("size") * _times()).alias("taken"),
-    )
+    sized, plan = mixing_plan(docs, weights, repeats, seed)
+    return _with_times(sized, plan).select(
+        "doc_id", "source", "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken")
+    )
 
 
 def mixed(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPEATS, seed: int = SEED
 ) -> DataFrame:
-    """The documents of the mix with the columns of ``docs``; a document taken twice is two rows."""
-    plan = mixing_plan(docs, weights, repeats, seed)
+    """The documents of the mix with the columns of ``docs``; a document taken twice is two rows.
+
+    Defined cases are those of :func:`mix`; columns of any name are kept as they are.
+    """
+    plan = mixing_plan(docs, weights, repeats, seed)[1]
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", "text")
     sized = _sized(whole, seed).drop("text", "doc_id", "source")
-    taken = sized.join(plan, ["source_key", "size"]).select("row", _times().cast("int").alias("times"))
+    taken = _with_times(sized, plan).select("row", F.col("times").cast("int").alias("times"))
     copies = taken.filter("times > 0").select("row", F.explode(F.sequence(F.lit(1), "times")))
     return copies.select("row.*")

@@ -162,6 +162,24 @@ def test_mixed_repeats_rows(odd, empty):
     assert mixing.mix(empty).collect() == [] and mixing.mixed(empty).count() == 0
 
 
+def test_mixed_takes_as_often_as_told_from_repeated_and_null_ids(make):
+    """A third of NULL ids, equal ids, equal texts: every source ends near its target, and reruns agree."""
+    rows = []
+    for s in "abc":
+        rows += [(None, "five words in every text", s)] * 300 + [(7, "five words in every text", s)] * 300
+        rows += [(None, f"six words in the text {i}", s) for i in range(200)]
+        rows += [(1000 + i, "one two three " * (i % 5 + 1), s) for i in range(100)]
+    docs = make(rows)
+    first, again = (sorted(map(tuple, mixing.mix(d).collect()), key=str) for d in (docs, make(rows[::-1], 7)))
+    assert first == again
+    for s in "abc":
+        mine = [r for r in first if r[1] == s]
+        target, longest = mine[0][4], max(r[2] for r in mine)
+        assert len(mine) == 900 and abs(sum(r[6] for r in mine) - target) <= longest, s
+        assert all(r[6] <= 3 * r[2] for r in mine)
+    assert mixing.mixed(docs).count() == sum(r[5] for r in first)
+
+
 @pytest.mark.parametrize("table", [1 << 16, 50])
 def test_fitting_counts_comes_near_any_budget(monkeypatch, table):
     monkeypatch.setattr(mixing, "TABLE_WORDS", table)

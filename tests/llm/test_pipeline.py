@@ -2,6 +2,7 @@
 
 import collections
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -10,12 +11,17 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from plumbwright.llm import mixing, quality_model, simhash_index, word_ids
+from plumbwright.llm import mixing, quality_model, word_ids
 from plumbwright.llm.queries import QUERIES, SQL
 
 SMALL = "/root/testdata/sf0.001"
 
 
+def five_words(text):
+    words = text.encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))).split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
 def test_stages_follow_each_other(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept = {}
@@ -34,12 +40,13 @@ def test_stages_follow_each_other(spark):
     for r in sorted(kept["quality classifier"], key=lambda r: (-len(r["text"]), r["doc_id"])):
         best.setdefault("".join(r["text"].split(" ")).translate(dict.fromkeys(range(9, 14))), r["doc_id"])
     assert sorted(r["doc_id"] for r in kept["exact dedup"]) == sorted(best.values())
-    prints = {r["doc_id"]: simhash_index.fingerprint(r["text"].encode()) for r in kept["exact dedup"]}
-    roots = {i: i for i in prints}
-    for _ in prints:
-        for i in sorted(prints):
-            near = [roots[j] for j in prints if (prints[i] ^ prints[j]).bit_count() <= 4]
-            roots[i] = min(near)
+    # One of each component of texts with a five-word Jaccard similarity of 0.8 or more, compared pair by pair.
+    sets = {r["doc_id"]: five_words(r["text"]) for r in kept["exact dedup"]}
+    roots = {i: i for i in sets}
+    for a, b in combinations(sorted(sets), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            low, high = sorted((roots[a], roots[b]))
+            roots = {i: low if r == high else r for i, r in roots.items()}
     assert {r["doc_id"] for r in kept["simhash near-dedup"]} == set(roots.values())
     near = spark.createDataFrame(kept["simhash near-dedup"], docs.schema)
     times = {r["doc_id"]: r["times"] for r in mixing.mix(near).collect() if r["times"]}
