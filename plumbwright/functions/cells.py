@@ -51,7 +51,12 @@ def full_match(c: Column, pattern: str) -> Column:
 
 
 def _spelled(s: Column, pattern: str) -> Column:
-    return s.rlike(rf"\A{pattern}\z") & ~s.rlike(STRAY_UNDERSCORE)
+    return s.rlike(rf"\A{pattern}\z") & _tidy(s)
+
+
+def _tidy(s: Column) -> Column:
+    """No underscore but between digits."""
+    return ~F.contains(s, F.lit("_")) | ~s.rlike(STRAY_UNDERSCORE)
 
 
 def number(s: Column) -> Column:
@@ -90,14 +95,47 @@ def is_finite(v: Column) -> Column:
     return ~F.isnan(v) & (F.abs(v) != float("inf"))
 
 
+# Classes of a trimmed cell.
+BLANK, TEXT, WHOLE, NUMBER = 0, 1, 2, 3
+
+
+def cell_class(s: Column) -> Column:
+    """The class of trimmed text, with one number pattern; everything after it asks for less."""
+    number = _spelled(s, FLOAT_CELL)
+    return (
+        F.when(F.coalesce(s, F.lit("")) == "", BLANK)
+        .when(~number, TEXT)
+        .when(s.rlike("[^0-9_+-]"), NUMBER)
+        .otherwise(WHOLE)
+    )
+
+
+def _number_parts(s: Column) -> tuple[Column, Column, Column]:
+    """The values that a cell of digits or a number can take: bigint, decimal(38,0) and double."""
+    bare = F.replace(s, F.lit("_"), F.lit(""))
+    return bare.try_cast("bigint"), bare.try_cast("decimal(38,0)"), bare.try_cast("double")
+
+
+def coerce_class(s: Column, kind: Column) -> Column:
+    """Trimmed text of a known class as VARIANT (see :func:`coerce`)."""
+    whole, long_whole, real = _number_parts(s)
+    text = s.cast("variant")
+    return (
+        F.when(kind == WHOLE, F.coalesce(whole.cast("variant"), long_whole.cast("variant"), text))
+        .when(kind == NUMBER, F.coalesce(F.when(is_finite(real), real).cast("variant"), text))
+        .when(kind == TEXT, text)
+    )
+
+
 def coerce_kind(c: Column) -> Column:
     """Which type :func:`coerce` gives the cell: int, float, string or NULL."""
-    v = to_float(c)
+    s = strip_ws(c)
+    kind = cell_class(s)
+    _, long_whole, real = _number_parts(s)
     return (
-        F.when(is_blank(c), F.lit(None).cast("string"))
-        .when(to_long_int(c).isNotNull(), "int")
-        .when(_is_whole(c), "string")
-        .when(v.isNotNull() & is_finite(v), "float")
+        F.when(kind == BLANK, F.lit(None).cast("string"))
+        .when((kind == WHOLE) & long_whole.isNotNull(), "int")
+        .when((kind == NUMBER) & is_finite(real), "float")
         .otherwise("string")
     )
 
@@ -109,16 +147,8 @@ def coerce(c: Column) -> Column:
     with more than 38 digits they stay text.  NaN and infinities stay text, since
     they have no JSON form and would not survive a round trip.
     """
-    v = to_float(c)
-    return F.when(
-        ~is_blank(c),
-        F.coalesce(
-            to_int(c).cast("variant"),
-            to_long_int(c).cast("variant"),
-            F.when(is_finite(v) & ~_is_whole(c), v).cast("variant"),
-            strip_ws(c).cast("variant"),
-        ),
-    )
+    s = strip_ws(c)
+    return coerce_class(s, cell_class(s))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

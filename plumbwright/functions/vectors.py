@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -54,15 +57,17 @@ def subset_mask(indices) -> list[int]:
     return mask
 
 
-def masked_parity(bits: Column, mask: Column) -> Column:
-    """Parity of the masked bits: a population count per word instead of a loop over features."""
-    both = F.zip_with(bits, mask, lambda b, m: F.bit_count(F.coalesce(b.bitwiseAND(m), F.lit(0).cast("bigint"))))
-    return F.aggregate(both, F.lit(0), lambda acc, n: acc + n) % 2
+def masked_parity(words: Column, mask: Sequence[int]) -> Column:
+    """Parity of the masked bits: a population count for each word in which the mask has bits."""
+    zero = F.lit(0).cast("bigint")
+    # Words that are not there hold no bits.
+    counts = [F.bit_count(F.coalesce(F.get(words, i), zero).bitwiseAND(F.lit(m))) for i, m in enumerate(mask) if m]
+    return reduce(lambda a, b: a + b, counts) % 2 if counts else F.lit(0)
 
 
 def parity_predict(bits: Column, indices, flip: Column | int = 0) -> Column:
     """Parity of the chosen features, flipped when ``flip`` is 1."""
-    parity = masked_parity(bits, F.lit(subset_mask(indices)).cast("array<bigint>"))
+    parity = masked_parity(bits, subset_mask(indices))
     return parity.bitwiseXOR(flip if isinstance(flip, Column) else F.lit(flip))
 
 

@@ -36,7 +36,7 @@ def candidate_scores(counts: DataFrame, candidates: Sequence[Sequence[int]]) ->
     rule is right on less than half of the training rows.
     """
     # Hits are summed per (run, split) side by side, so rows are not multiplied by candidates.
-    masks = [F.lit(subset_mask(idx)).cast("array<bigint>") for idx in candidates]
+    masks = [subset_mask(idx) for idx in candidates]
     hits = [
         F.sum(F.when(masked_parity(F.col("bits"), m) == F.col("label"), F.col("n")).otherwise(0)).alias(f"h{i}")
         for i, m in enumerate(masks)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbwright.functions.cells import cell, coerce, field, is_blank
+from plumbwright.functions.cells import cell, cell_class, coerce_class, field, is_blank, strip_ws
 from plumbwright.functions.fixed import REJECT_MESSAGE
 
 
@@ -36,9 +36,13 @@ def wrangle(
     flagged = df.withColumn("_missing", missing_fields(df, required))
     wide = field(irregular) if irregular else F.lit(False)
     good = (F.size("_missing") == 0) & ~wide
-    clean = flagged.filter(good).select(
-        field(line), *[coerce(field(c)).alias(c) for c in df.columns if c not in control]
-    )
+    data = [c for c in df.columns if c not in control]
+    trimmed = [strip_ws(field(c).cast("string")).alias(f"_s{i}") for i, c in enumerate(data)]
+    kept = flagged.filter(good).select(field(line), *trimmed)
+    # A generator keeps the classes from being computed again for every use.
+    classes = [cell_class(F.col(f"_s{i}")).alias(f"_k{i}") for i in range(len(data))]
+    kept = kept.select("*", F.inline(F.array(F.struct(*classes)))) if data else kept
+    clean = kept.select(field(line), *[coerce_class(F.col(f"_s{i}"), F.col(f"_k{i}")).alias(c) for i, c in enumerate(data)])
     number = field(line).cast("bigint")
     message = F.when(
         F.size("_missing") > 0,
