@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbwright.functions.cells import field, ratio
-from plumbwright.functions.vectors import masked_parity, subset_mask
+from plumbwright.functions.vectors import subset_mask
 from plumbwright.operators.split import assign_splits
 
 SPLITS = ("train", "valid", "test")
@@ -29,6 +29,12 @@ def label_counts(df: DataFrame, bits: str, label: str, splits: str = "splits") -
     return exploded.groupBy("run", "split", "bits", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _parity(mask: Sequence[int]) -> str:
+    """Parity of the masked bits of the words w0, w1, ..."""
+    counts = [f"bit_count(w{i} & {m}L)" for i, m in enumerate(mask) if m]
+    return f"({' + '.join(counts) or '0'}) % 2"
+
+
 def candidate_scores(counts: DataFrame, candidates: Sequence[Sequence[int]]) -> DataFrame:
     """Flip and accuracies of every candidate per run.
 
@@ -37,11 +43,12 @@ def candidate_scores(counts: DataFrame, candidates: Sequence[Sequence[int]]) ->
     """
     # Hits are summed per (run, split) side by side, so rows are not multiplied by candidates.
     masks = [subset_mask(idx) for idx in candidates]
-    hits = [
-        F.sum(F.when(masked_parity(F.col("bits"), m) == F.col("label"), F.col("n")).otherwise(0)).alias(f"h{i}")
-        for i, m in enumerate(masks)
-    ]
-    summed = counts.groupBy("run", "split").agg(F.sum("n").alias("n"), *hits)
+    words = max(map(len, masks), default=0)
+    # Words that are not there hold no bits.
+    spread = counts.selectExpr("run", "split", "label", "n", *[f"coalesce(get(bits, {w}), 0L) AS w{w}" for w in range(words)])
+    # Texts, because hundreds of candidates are slow to build call by call.
+    hits = [F.expr(f"sum(IF({_parity(m)} = label, n, 0L))").alias(f"h{i}") for i, m in enumerate(masks)]
+    summed = spread.groupBy("run", "split").agg(F.sum("n").alias("n"), *hits)
     listed = F.array(*[F.col(f"h{i}") for i in range(len(masks))])
     long = summed.select("run", "split", "n", F.posexplode(listed).alias("cand_id", "hits"))
 
