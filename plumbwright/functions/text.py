@@ -45,6 +45,21 @@ def marked_words(plain: Column) -> Column:
     return _filled(F.split(F.when(plain.rlike(_BREAK), marked).otherwise(plain), _UNMARKED_GAP))
 
 
+# Words in a piece of a long text.
+PIECE_WORDS = 256
+_PIECE = rf"(?U)(?:[^\s\x1c\x1d\x1f]++[\s\x1c\x1d\x1f]*+){{1,{PIECE_WORDS}}}+"
+
+
+def marked_pieces(plain: Column) -> Column:
+    """The words of :func:`marked_words` in runs of ``PIECE_WORDS`` as texts; the last run may be shorter."""
+    marked = F.regexp_replace(plain, _BREAK_RUN, f"{PARAGRAPH_MARK} ")
+    return F.regexp_extract_all(F.when(plain.rlike(_BREAK), marked).otherwise(plain), F.lit(_PIECE), F.lit(0))
+
+
+def piece_words(piece: Column) -> Column:
+    return _filled(F.split(piece, _UNMARKED_GAP))
+
+
 def mark_paragraphs(per_paragraph: Column) -> Column:
     """The same from an array of word arrays."""
 

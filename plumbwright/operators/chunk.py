@@ -50,10 +50,8 @@ def chunk_documents(
     to arrays of token arrays, for example through a pandas UDF that calls the
     tokenizer of a model.
     """
-    if not 0 <= overlap < chunk_size:
-        raise ValueError("overlap must be at least 0 and smaller than chunk_size")
+    _check(chunk_size, overlap)
     step = chunk_size - overlap
-    floor = max(1, int(chunk_size * CHUNK_FLOOR))
     ids = [field(c) for c in id_columns]
 
     if tokenise is None:
@@ -64,23 +62,86 @@ def chunk_documents(
         staged = df.select(*ids, tokenise(T.paragraphs(field(text))).alias("_p"))
         staged = staged.select(*ids, T.mark_paragraphs(F.col("_p")).alias("_w"))
 
-    def window(k: Column) -> Column:
-        start = k * step
-        hard_end = F.least(start + chunk_size, F.col("_n"))
+    staged = staged.withColumn("_n", F.size("_w"))
+    staged = staged.withColumn("_last", _last_chunk(chunk_size, step))
+    cut = _Cutter(chunk_size, overlap, prefer_boundary)
+    whole = F.lit(0)
+    windows = F.transform(F.sequence(F.lit(0), F.col("_last")), lambda k: cut.window(k, whole))
+    chunks = F.when(F.col("_n") > 0, F.transform(windows, lambda s: cut.chunk(s, whole)))
+    return staged.select(*ids, F.inline(chunks))
+
+
+def chunk_long_documents(
+    df: DataFrame,
+    id_columns: Sequence[str],
+    text: str = "text",
+    chunk_size: int = 60,
+    overlap: int = 10,
+    prefer_boundary: bool = True,
+) -> DataFrame:
+    """The chunks of :func:`chunk_documents` for documents whose word arrays are too large for one row.
+
+    A text is cut into pieces of a fixed number of words, so a piece's number
+    tells where its words stand.  Each piece sends every chunk that reaches into
+    it the words they share; a task then holds single chunks.  One shuffle, which
+    carries the overlapping words twice.  A document's text itself is one cell.
+    """
+    _check(chunk_size, overlap)
+    step = chunk_size - overlap
+    ids = [field(c) for c in id_columns]
+    # The row number keeps documents with equal ids apart.
+    plain = df.select(*ids, F.monotonically_increasing_id().alias("_row"), T.plain_text(field(text)).alias("_t"))
+    pieces = plain.select(*ids, "_row", F.inline(F.array(F.struct(T.marked_pieces(F.col("_t")).alias("_p")))))
+    before = F.lit(T.PIECE_WORDS) * (F.size("_p") - 1)
+    counted = pieces.filter(F.size("_p") > 0).withColumn("_n", before + F.size(T.piece_words(F.element_at("_p", -1))))
+    counted = counted.withColumn("_last", _last_chunk(chunk_size, step))
+    each = counted.select(*ids, "_row", "_n", "_last", F.posexplode("_p").alias("_at", "_piece"))
+    each = each.select(*ids, "_row", "_n", "_last", (F.col("_at") * T.PIECE_WORDS).alias("_from"), F.inline(F.array(F.struct(T.piece_words(F.col("_piece")).alias("_words")))))
+    upto = F.col("_from") + F.size("_words")
+    first = F.greatest(F.lit(0), F.ceil((F.col("_from") - chunk_size + 1) / F.lit(step)).cast("int"))
+    final = F.least(F.col("_last"), F.floor((upto - 1) / F.lit(step)).cast("int"))
+    met = each.select("*", F.explode(F.when(first <= final, F.sequence(first, final))).alias("_k"))
+    low = F.greatest(F.col("_k") * step, F.col("_from"))
+    high = F.least(F.col("_k") * step + chunk_size, upto)
+    part = F.slice("_words", low - F.col("_from") + 1, high - low)
+    shared = met.filter(high > low).select(*ids, "_row", "_n", "_last", "_k", F.struct(low.alias("low"), part.alias("words")).alias("_part"))
+    grouped = shared.groupBy(*ids, "_row", "_n", "_last", "_k").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+    staged = grouped.select(*ids, "_n", "_last", "_k", F.flatten(F.col("_parts.words")).alias("_w"))
+    cut = _Cutter(chunk_size, overlap, prefer_boundary)
+    origin = F.col("_k") * step
+    chunk = F.inline(F.array(cut.window(F.col("_k"), origin).alias("_s")))
+    staged = staged.select(*ids, "_n", "_last", "_w", "_k", chunk).withColumn("_s", F.struct("k", "hard_end", "back"))
+    return staged.select(*ids, F.inline(F.array(cut.chunk(F.col("_s"), origin))))
+
+
+def _last_chunk(chunk_size: int, step: int) -> Column:
+    return F.greatest(F.lit(0), F.ceil((F.col("_n") - chunk_size) / F.lit(step)).cast("int"))
+
+
+class _Cutter:
+    """Columns for the chunks of a document's words ``_w``, of which the first is word ``origin``."""
+
+    def __init__(self, chunk_size: int, overlap: int, prefer_boundary: bool):
+        self.size, self.step, self.prefer_boundary = chunk_size, chunk_size - overlap, prefer_boundary
+        self.floor = max(1, int(chunk_size * CHUNK_FLOOR))
+
+    def window(self, k: Column, origin: Column) -> Column:
+        start = k * self.step
+        hard_end = F.least(start + self.size, F.col("_n"))
         back = F.lit(0)
-        if prefer_boundary:
+        if self.prefer_boundary:
             # Distance of the last sentence end from the window's end, 0 for none.
-            tail = F.slice("_w", start + floor + 1, F.greatest(hard_end - start - floor, F.lit(0)))
+            tail = F.slice("_w", start - origin + self.floor + 1, F.greatest(hard_end - start - self.floor, F.lit(0)))
             flags = F.reverse(F.transform(tail, _closes_sentence))
             # The end of the text is an end of its last sentence.
             back = F.when(hard_end < F.col("_n"), F.array_position(flags, True).cast("int")).otherwise(0)
         return F.struct(k.alias("k"), hard_end.alias("hard_end"), back.alias("back"))
 
-    def chunk(s: Column) -> Column:
-        start = s["k"] * step
+    def chunk(self, s: Column, origin: Column) -> Column:
+        start = s["k"] * self.step
         end = s["hard_end"] - F.greatest(s["back"] - 1, F.lit(0))
-        next_start = F.when(s["k"] < F.col("_last"), start + step).otherwise(F.col("_n"))
-        joined = F.array_join(F.slice("_w", start + 1, end - start), " ")
+        next_start = F.when(s["k"] < F.col("_last"), start + self.step).otherwise(F.col("_n"))
+        joined = F.array_join(F.slice("_w", start - origin + 1, end - start), " ")
         return F.struct(
             s["k"].alias("index"),
             F.replace(joined, F.lit(T.PARAGRAPH_MARK), F.lit("")).alias("text"),
@@ -90,12 +151,10 @@ def chunk_documents(
             F.greatest(F.lit(0), next_start - end).alias("gap_words"),
         )
 
-    staged = staged.withColumn("_n", F.size("_w"))
-    last = F.greatest(F.lit(0), F.ceil((F.col("_n") - chunk_size) / F.lit(step)).cast("int"))
-    staged = staged.withColumn("_last", last)
-    windows = F.transform(F.sequence(F.lit(0), F.col("_last")), window)
-    chunks = F.when(F.col("_n") > 0, F.transform(windows, chunk))
-    return staged.select(*ids, F.inline(chunks))
+
+def _check(chunk_size: int, overlap: int) -> None:
+    if not 0 <= overlap < chunk_size:
+        raise ValueError("overlap must be at least 0 and smaller than chunk_size")
 
 
 def _closes_sentence(word: Column) -> Column:

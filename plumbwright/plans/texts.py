@@ -173,6 +173,12 @@ def chunk_windows_paragraphs(t: Tables):
     return chunk.chunk_documents(t["v_paragraphs"], ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
 
 
+@plan("chunk_long", _chunk_sql("v_paragraphs"))
+def chunk_long(t: Tables):
+    """The same without a document's words in one row."""
+    return chunk.chunk_long_documents(t["v_paragraphs"], ["doc_id"], chunk_size=SIZE, overlap=OVERLAP)
+
+
 # -- CSV wrangling ----------------------------------------------------------
 
 REQUIRED = ("member_id", "age", "monthly_premium")

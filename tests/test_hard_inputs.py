@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbwright.functions import cells, text, vectors
-from plumbwright.operators import drift, logs, ordering, quality, reconcile, regress, relational, selection, smooth, wrangle
+from plumbwright.operators import chunk, drift, logs, ordering, quality, reconcile, regress, relational, selection, smooth, wrangle
 from plumbwright.sources import files, scratch
 from plumbwright.sources.headers import placed_lines, settings
 from plumbwright.streaming import logs as log_stream
@@ -332,3 +332,28 @@ def test_stored_tables_can_be_removed(spark, tmp_path, monkeypatch):
         assert ordering.global_rank(spark.range(5).toDF("u"), ["u"]).count() == 5
         assert len(list((tmp_path / "shared").iterdir())) > 1
     assert len(list((tmp_path / "shared").iterdir())) == 1 and kept.count() == 3
+
+
+@pytest.mark.parametrize("size, overlap, prefer", [(60, 10, True), (300, 299, True), (700, 0, False), (5, 2, True), (256, 0, True)])
+def test_chunks_of_long_documents_equal_the_array_way(spark, size, overlap, prefer):
+    rng = random.Random(size)
+    marks = ["", "", "", ".", "!", "?", ". ", ".\n\n", " \n \n "]
+    texts = [None, "", "  ", "one", " \n\n a. \n\n"]
+    texts += [" ".join(f"w{i}{rng.choice(marks)}" for i in range(n)) for n in (1, 59, 255, 256, 257, 512, 513, 2_000)]
+    rows = [(i % 4 or None, f"k{i % 2}", t) for i, t in enumerate(texts)] + [(1, "k", texts[-1])] * 2
+    df = spark.createDataFrame(rows, "id int, kind string, text string").repartition(4)
+    options = {"chunk_size": size, "overlap": overlap, "prefer_boundary": prefer}
+    want = chunk.chunk_documents(df, ["id", "kind"], **options)
+    got = chunk.chunk_long_documents(df, ["id", "kind"], **options)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    key = lambda frame: sorted(map(str, frame.collect()))
+    assert key(got) == key(want)
+
+
+def test_a_document_of_a_million_words(spark):
+    n = 1_200_000
+    df = spark.range(1).select("id", F.expr(f"array_join(transform(sequence(1, {n}), i -> concat('w', i % 97, if(i % 31 = 0, '.', ''))), ' ')").alias("text"))
+    got = chunk.chunk_long_documents(df, ["id"], chunk_size=100, overlap=20, prefer_boundary=False)
+    row = got.agg(F.count("*"), F.sum("word_count"), F.max("end_word"), F.sum("gap_words")).first()
+    chunks = 1 + -(-(n - 100) // 80)
+    assert tuple(row) == (chunks, n + 20 * (chunks - 1), n, 0)
