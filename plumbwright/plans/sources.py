@@ -126,6 +126,60 @@ def src_json_round_trip(t: Tables):
     )
 
 
+@plan("src_json_array", sql(f"SELECT *, 0::bigint AS differences FROM ({clean_sql('lineno AS id')})", _CSV))
+def src_json_array(t: Tables):
+    """The same from one array in several parts."""
+    clean, _ = wrangle.wrangle(t["v_csv_cells"], REQUIRED)
+    folder = new_folder(t.spark, "json")
+    files.write_json_array(clean, folder)
+    differ = files.round_trip_differences(clean, folder, array=True).agg(F.count(F.lit(1))).scalar()
+    row = F.parse_json("value")
+    return files.read_json_array(t.spark, folder).select(
+        F.variant_get(row, "$.lineno", "bigint").alias("id"),
+        *[F.variant_get(row, f"$.{c}", "variant").cast("string").alias(c) for c in CELLS],
+        differ.alias("differences"),
+    )
+
+
+# Files of one folder with their columns in another order, one of them without some, and quoted line breaks.
+_ORDERS = (COLUMNS, COLUMNS[::-1], COLUMNS[:3])
+
+
+@plan(
+    "src_csv_orders",
+    sql(
+        f"""SELECT lineno::varchar AS id, row_number() OVER (PARTITION BY lineno % {len(_ORDERS)} ORDER BY lineno) + 1 AS lineno,
+{', '.join(f"CASE WHEN lineno % {len(_ORDERS)} < 2 OR '{c}' IN {_ORDERS[2]} THEN {s_norm(c)} ELSE '' END AS {c}" for c in CELLS)} FROM v_csv_cells""",
+        _CSV,
+    ),
+)
+def src_csv_orders(t: Tables):
+    """Files keep their own headers; ordinals count in each file."""
+    return _ordered_files(t, in_splits=False)
+
+
+@plan("src_csv_breaks", sql("SELECT id, lineno, note FROM b", b=f"""SELECT c_custkey::varchar AS id,
+row_number() OVER (PARTITION BY c_custkey % {PARTS} ORDER BY c_custkey) + 1 AS lineno,
+CASE WHEN c_custkey % 3 = 0 THEN 'one' || chr(10) || chr(10) || 'two "' || c_name || '", three' ELSE c_name END AS note FROM customer"""))
+def src_csv_breaks(t: Tables):
+    """Quoted line breaks read in splits."""
+    note = "CASE WHEN c_custkey % 3 = 0 THEN concat('one\\n\\ntwo \"', c_name, '\", three') ELSE c_name END"
+    rows = t["customer"].selectExpr(f"c_custkey % {PARTS} AS part", "c_custkey AS id", f"{note} AS note")
+    placed, folder = _part_files(rows, "breaks")
+    placed.write.partitionBy("part").options(header=True, quote='"', escape='"').csv(folder)
+    return files.read_csv_records(t.spark, folder, in_splits=True).select("id", "lineno", "note")
+
+
+def _ordered_files(t: Tables, in_splits: bool) -> DataFrame:
+    rows = t["v_csv_cells"].withColumnRenamed("lineno", "id")
+    folder = new_folder(t.spark, "orders")
+    for i, names in enumerate(_ORDERS):
+        some = rows.filter(F.col("id") % len(_ORDERS) == i).repartition(1).sortWithinPartitions("id")
+        some.select(*names).write.mode("append").options(header=True, quote='"', escape='"', emptyValue="").csv(folder)
+    records = files.read_csv_records(t.spark, folder, in_splits=in_splits)
+    return records.select("id", "lineno", *[normalise(field(c)).alias(c) for c in CELLS])
+
+
 @plan("src_text_lines", summary_sql())
 def src_text_lines(t: Tables):
     folder = new_folder(t.spark, "lines")

@@ -181,12 +181,38 @@ def json_text(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """Write one object per line; a single array would need a single writer."""
+    """Write one object per line (see :func:`write_json_array` for a single array)."""
     df.select(json_text(df).alias("value")).write.text(path)
 
 
-def round_trip_differences(df: DataFrame, path: str) -> DataFrame:
-    """Rows that differ between the frame and the JSON written from it.
+def write_json_array(df: DataFrame, path: str, exclude: Sequence[str] = ()) -> None:
+    """Write the rows as one JSON array, in their order, by as many tasks as there are parts.
+
+    The part files, one after another in the order of their names, are the array:
+    each line is one object with the bracket or comma that belongs before it, and
+    the last one closes the array.  An empty frame is written as ``[]``.  The rows
+    are stored once, so that the first and the last are known when they are written.
+    """
+    numbered = df.select(json_text(df, exclude).alias("value"), F.monotonically_increasing_id().alias("at"))
+    stored = write_table(numbered, "array")
+    first, last = stored.agg(F.min("at"), F.max("at")).first()
+    if first is None:
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.text(path)
+        return
+    opening = F.when(F.col("at") == first, "[").otherwise(",")
+    closing = F.when(F.col("at") == last, "]").otherwise("")
+    ordered = stored.repartitionByRange("at").sortWithinPartitions("at")
+    ordered.select(F.concat(opening, "value", closing).alias("value")).write.text(path)
+
+
+def read_json_array(spark: SparkSession, path: str) -> DataFrame:
+    """Objects (``value``) of an array with one object a line, as :func:`write_json_array` writes it."""
+    inner = F.regexp_extract("value", r"\A[\[,]?\s*(.*?)\s*[\],]?\s*\z", 1)
+    return spark.read.text(path).select(inner.alias("value")).filter("value != ''")
+
+
+def round_trip_differences(df: DataFrame, path: str, array: bool = False) -> DataFrame:
+    """Rows that differ between the frame and the JSON written from it, lines or an ``array``.
 
     Empty when the file reloads to the same values.  Both sides are compared as
     parsed JSON, re-rendered.
@@ -196,6 +222,7 @@ def round_trip_differences(df: DataFrame, path: str) -> DataFrame:
         return F.to_json(F.parse_json(c)).alias("value")
 
     wrote = df.select(parsed(json_text(df)))
-    read = df.sparkSession.read.text(path).select(parsed(F.col("value")))
+    lines = read_json_array(df.sparkSession, path) if array else df.sparkSession.read.text(path)
+    read = lines.select(parsed(F.col("value")))
     counts = wrote.withColumn("d", F.lit(1)).unionAll(read.withColumn("d", F.lit(-1)))
     return counts.groupBy("value").agg(F.sum("d").alias("surplus")).filter("surplus <> 0")

@@ -1,4 +1,6 @@
+import json
 import math
+import os
 import random
 import re
 
@@ -193,6 +195,24 @@ def test_json_round_trip(spark, tmp_path):
     assert files.round_trip_differences(clean.limit(4), out).count() == 1
 
 
+def test_json_array_is_one_array_in_several_parts(spark, tmp_path):
+    """The parts in the order of their names load as one array, in the order of the rows."""
+    rows = [(i, None if i % 7 == 0 else f'say "{i}"],\n[,') for i in range(500)]
+    df = spark.createDataFrame(rows, "i int, v string").repartition(5)
+    many, none, one = (str(tmp_path / n) for n in ("many", "none", "one"))
+    files.write_json_array(df, many)
+    parts = sorted(p for p in os.listdir(many) if p.startswith("part-"))
+    loaded = json.loads("".join(open(f"{many}/{p}", encoding="utf-8").read() for p in parts))
+    assert len(parts) > 1 and sorted((r["i"], r["v"]) for r in loaded) == rows
+    assert [r["i"] for r in loaded] == [r["i"] for r in df.collect()]
+    assert files.round_trip_differences(df, many, array=True).count() == 0
+    assert files.round_trip_differences(df.filter("i < 499"), many, array=True).count() == 1
+    files.write_json_array(df.limit(0), none)
+    files.write_json_array(df.filter("i = 3"), one)
+    assert files.read_json_array(spark, none).count() == 0
+    assert [json.loads(r["value"])["i"] for r in files.read_json_array(spark, one).collect()] == [3]
+
+
 def test_required_field_may_be_absent_and_zero_is_present(spark, rows):
     df = spark.createDataFrame([(2, "0", " ")], "lineno long, a string, b string")
     _, rejects = wrangle.wrangle(df, ["c", "b", "a"])
