@@ -460,11 +460,11 @@ def lr_history(t: Tables):
 
 @plan(
     "vx_add",
-    """SELECT vec_id, (unnest(range(len(embedding))))::int AS pos, round((unnest(embedding) + unnest(embedding))::double, 6) AS value
+    """SELECT vec_id, (unnest(range(len(embedding))))::int AS pos, round((unnest(embedding) + unnest(list_reverse(embedding)))::double, 6) AS value
 FROM embeddings""",
 )
 def vx_add(t: Tables):
-    added = vectors.vector_add(F.col("embedding"), F.col("embedding"))
+    added = vectors.vector_add(F.col("embedding"), F.reverse("embedding"))
     rows = t["embeddings"].select("vec_id", F.posexplode(added).alias("pos", "value"))
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 6))
 

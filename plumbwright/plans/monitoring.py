@@ -13,6 +13,7 @@ from plumbwright.streaming.sinks import drain_appends, drain_updates
 
 # -- drift ------------------------------------------------------------------
 
+# The columns of the monitored table.
 COLUMNS = ("account_length", "temp_f", "sales", "churn")
 BASELINE = 0
 # Two batches that leave the same trace; only one of them is an incident.

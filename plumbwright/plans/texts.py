@@ -181,6 +181,7 @@ def chunk_long(t: Tables):
 
 # -- CSV wrangling ----------------------------------------------------------
 
+# The columns of the table that is wrangled.
 REQUIRED = ("member_id", "age", "monthly_premium")
 CELLS = ("member_id", "name", "age", "monthly_premium")
 _CSV = ("v_csv_cells",)
