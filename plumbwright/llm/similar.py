@@ -5,14 +5,19 @@ in any common order share an element, so documents that share such a key are
 the only candidates; nothing is lost.  Common shingles come last in the order,
 which keeps the groups of a key small.  Candidates are compared by sizes and by
 counts of shingles in cells, which only drop pairs that can't be similar, then
-by their whole sets.
+by their whole sets.  A set has about two cells for each shingle, so the counts
+leave few pairs but the similar ones; a set with twice the cells of another is
+folded to its number.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +28,10 @@ from plumbwright.sources.scratch import write_table
 
 SHINGLE = 5
 # Similar are sets of a and b elements with 9 * common >= 4 * (a + b): Jaccard 0.8.
-CELLS = 128
+# Cells in which a set's shingles are counted: at least so many, and about two for each shingle.
+LEAST_CELLS = 128
+MOST_CELLS = 1 << 16
+FULL = 255
 # Documents whose shingles are counted for the order; it changes no result.
 SAMPLED = 5_000
 COMMON = 200_000
@@ -63,8 +71,37 @@ def _common(docs: DataFrame) -> np.ndarray:
 
 
 def _cells(values: np.ndarray) -> bytes:
-    counts = np.bincount((values % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-    return np.minimum(counts, 65535).astype("<u2").tobytes()
+    """Counts of a set by the lowest bits of its shingles, compressed."""
+    width = min(max(LEAST_CELLS, 1 << (2 * len(values) - 1).bit_length()), MOST_CELLS)
+    counts = np.bincount((values & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return _packer().compress(np.minimum(counts, FULL).astype(np.uint8).tobytes())
+
+
+@cache
+def _packer():
+    return zstandard.ZstdCompressor(level=1)
+
+
+@cache
+def _unpacker():
+    return zstandard.ZstdDecompressor()
+
+
+def _counts(cells: bytes) -> np.ndarray:
+    return np.frombuffer(_unpacker().decompress(cells, max_output_size=MOST_CELLS), np.uint8)
+
+
+def _folded(counts: np.ndarray, width: int) -> np.ndarray:
+    """Counts in fewer cells, by lower bits only."""
+    return counts if len(counts) == width else counts.reshape(-1, width).sum(axis=0, dtype=np.uint32)
+
+
+def _may_be_similar(na: int, nb: int, a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of na and nb shingles have enough in common by their counts."""
+    if (a == FULL).any() or (b == FULL).any():
+        return True
+    width = min(len(a), len(b))
+    return 9 * int(np.minimum(_folded(a, width), _folded(b, width)).sum(dtype=np.int64)) >= 4 * (na + nb)
 
 
 def _sets(common: np.ndarray):
@@ -85,23 +122,21 @@ def _sets(common: np.ndarray):
     return run
 
 
-def _possible(n, cells, i, others):
-    """Which of the others can be similar to i."""
+def _possible(n, coarse, full, i, others):
+    """Which of the others can be similar to i, by their sizes and coarse counts."""
     both = n[i] + n[others]
     near = 9 * np.minimum(n[i], n[others]) >= 4 * both
     others, both = others[near], both[near]
-    full = (cells[i] == 65535).any() | (cells[others] == 65535).any(axis=1)
-    most = np.minimum(cells[i], cells[others]).sum(axis=1, dtype=np.int64)
-    return others[full | (9 * most >= 4 * both)]
+    most = np.minimum(coarse[i], coarse[others]).sum(axis=1, dtype=np.int64)
+    return others[full[i] | full[others] | (9 * most >= 4 * both)]
 
 
 def _possible_pairs(batches):
     for batch in batches:
-        n = np.stack([batch.column(k).to_numpy() for k in ("na", "nb")])
-        cells = [np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, CELLS) for k in ("ca", "cb")]
-        full = (np.maximum(*cells) == 65535).any(axis=1)
-        most = np.minimum(*cells).sum(axis=1, dtype=np.int64)
-        yield batch.select(["a", "b"]).filter(pa.array(full | (9 * most >= 4 * n.sum(axis=0))))
+        sizes = (batch.column(k).to_pylist() for k in ("na", "nb"))
+        cells = (map(_counts, batch.column(k).to_pylist()) for k in ("ca", "cb"))
+        keep = [_may_be_similar(*row) for row in zip(*sizes, *cells)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _pairs(batches):
@@ -109,11 +144,20 @@ def _pairs(batches):
 
     def candidates(rows):
         n, root, node = (rows.column(c).to_numpy() for c in ("n", "root", "node"))
-        cells = np.frombuffer(b"".join(rows.column("cells").to_pylist()), "<u2").reshape(-1, CELLS)
+        if len(n) < 2 or (root == root[0]).all():
+            return
+        # Only coarse counts of all are held open.
+        cells, coarse, full = rows.column("cells"), np.empty((len(n), LEAST_CELLS), np.uint32), np.empty(len(n), bool)
+        for i in range(len(n)):
+            counts = _counts(cells[i].as_py())
+            coarse[i], full[i] = _folded(counts, LEAST_CELLS), (counts == FULL).any()
         for i in range(len(n) - 1):
             later = np.arange(i + 1, len(n))
-            for j in _possible(n, cells, i, later[root[later] != root[i]]).tolist():
-                yield min(node[i], node[j]), max(node[i], node[j])
+            others = _possible(n, coarse, full, i, later[root[later] != root[i]]).tolist()
+            own = _counts(cells[i].as_py()) if others else None
+            for j in others:
+                if _may_be_similar(n[i], n[j], own, _counts(cells[j].as_py())):
+                    yield min(node[i], node[j]), max(node[i], node[j])
 
     def bucket(rows):
         found = list(set(candidates(rows)))
