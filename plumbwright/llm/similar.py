@@ -1,45 +1,49 @@
-"""Near-duplicates by the exact Jaccard similarity of five-word shingles.
-
-Of two sets with similarity 0.8 or more, the first fifth of each (and one more)
-in any common order share an element, so documents that share such a key are
-the only candidates; nothing is lost.  Common shingles come last in the order,
-which keeps the groups of a key small.  Candidates are compared by sizes and by
-counts of shingles in cells, which only drop pairs that can't be similar, then
-by their whole sets.  A set has about two cells for each shingle, so the counts
-leave few pairs but the similar ones; a set with twice the cells of another is
-folded to its number.
+"""Near-duplicates by wide SimHash fingerprints in a Gray-order hierarchical index.
+
+Two texts are linked if the Jaccard similarity of their five-word shingles is 0.8
+or more.  Of two such sets, the first fifth of each (and one more) in any common
+order share an element; common shingles come last in the order, which keeps the
+documents of one key few.  Keys deal the documents to buckets, and an index over
+the fingerprints of a bucket proposes pairs: neighbours in Gray order form nodes
+that hold the bits all of them share, and two nodes whose shared bits already
+differ too often are dropped with everything below.  Proposed pairs are settled
+by their whole sets.
+
+A fingerprint has 512 bits.  Sets of similarity 0.8 differ in each with a chance
+of 0.152, so in 78 bits with a standard deviation of 8; the radius of 118 is five
+of them away, and lets sets below 0.6 pass as rarely.  Sets of up to ``SMALL``
+shingles, for which these chances are rough, are not judged by their bits.
 """
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbwright.llm.common import Rows, arrow_schema, raw_texts, texts
 from plumbwright.llm.components import components
-from plumbwright.llm.simhash_index import shingle_hashes
+from plumbwright.llm.simhash_index import FAN, FRONTIER, gray_rank, shingle_hashes
 from plumbwright.sources.scratch import write_table
 
 SHINGLE = 5
 # Similar are sets of a and b elements with 9 * common >= 4 * (a + b): Jaccard 0.8.
-# Cells in which a set's shingles are counted: at least so many, and about two for each shingle.
-LEAST_CELLS = 128
-MOST_CELLS = 1 << 16
-FULL = 255
+# Fingerprints in 64-bit words, and the bits in which those of similar sets may differ.
+WORDS = 8
+RADIUS = 118
+SMALL = 64
 # Documents whose shingles are counted for the order; it changes no result.
 SAMPLED = 5_000
 COMMON = 200_000
-# Documents that one task compares with each other.
+# Documents that one task compares with each other, and those held against one copy of a set.
 GROUP_LIMIT = 2048
+STAR_LIMIT = 4096
+_EACH_BYTE = np.uint64(0x0101010101010101)
 
 _SETS = arrow_schema(
-    {"node": pa.int64(), "n": pa.int64(), "cells": pa.binary(), "keys": pa.list_(pa.int64())}
+    {"node": pa.int64(), "n": pa.int64(), "print": pa.binary(), "keys": pa.list_(pa.int64())}
 )
 _WHOLE = arrow_schema({"node": pa.int64(), "hashes": pa.binary()})
 
@@ -70,38 +74,31 @@ def _common(docs: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["key"] for r in top], np.int64).view(np.uint64))
 
 
-def _cells(values: np.ndarray) -> bytes:
-    """Counts of a set by the lowest bits of its shingles, compressed."""
-    width = min(max(LEAST_CELLS, 1 << (2 * len(values) - 1).bit_length()), MOST_CELLS)
-    counts = np.bincount((values & np.uint64(width - 1)).astype(np.int64), minlength=width)
-    return _packer().compress(np.minimum(counts, FULL).astype(np.uint8).tobytes())
-
-
-@cache
-def _packer():
-    return zstandard.ZstdCompressor(level=1)
-
-
-@cache
-def _unpacker():
-    return zstandard.ZstdDecompressor()
-
-
-def _counts(cells: bytes) -> np.ndarray:
-    return np.frombuffer(_unpacker().decompress(cells, max_output_size=MOST_CELLS), np.uint8)
+def _mixed(values: np.ndarray, salt: int) -> np.ndarray:
+    """Another 64-bit hash of every value."""
+    out = values ^ np.uint64((salt * 0x9E3779B97F4A7C15) & ((1 << 64) - 1))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        out = (out ^ (out >> np.uint64(shift))) * np.uint64(factor)
+    return out ^ (out >> np.uint64(31))
 
 
-def _folded(counts: np.ndarray, width: int) -> np.ndarray:
-    """Counts in fewer cells, by lower bits only."""
-    return counts if len(counts) == width else counts.reshape(-1, width).sum(axis=0, dtype=np.uint32)
+def _ones(values: np.ndarray) -> np.ndarray:
+    """How many values have each of the 64 bits set."""
+    # A byte of a sum counts up to 255 values, so eight bits are counted by one addition.
+    padded = np.zeros(-(-len(values) // 255) * 255, np.uint64)
+    padded[: len(values)] = values
+    padded = padded.reshape(-1, 255)
+    ones = np.empty((8, 8), np.int64)
+    for bit in range(8):
+        sums = ((padded >> np.uint64(bit)) & _EACH_BYTE).sum(axis=1, dtype=np.uint64)
+        ones[:, bit] = sums.astype("<u8").view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64)
+    return ones.reshape(-1)
 
 
-def _may_be_similar(na: int, nb: int, a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets of na and nb shingles have enough in common by their counts."""
-    if (a == FULL).any() or (b == FULL).any():
-        return True
-    width = min(len(a), len(b))
-    return 9 * int(np.minimum(_folded(a, width), _folded(b, width)).sum(dtype=np.int64)) >= 4 * (na + nb)
+def wide_print(values: np.ndarray) -> np.ndarray:
+    """The SimHash of a set of shingles: ``WORDS`` words of bits set in over half of the hashes."""
+    ones = np.concatenate([_ones(_mixed(values, salt)) for salt in range(1, WORDS + 1)])
+    return np.packbits(2 * ones > len(values), bitorder="little").view("<u8")
 
 
 def _sets(common: np.ndarray):
@@ -115,75 +112,132 @@ def _sets(common: np.ndarray):
                 late = common[at] == values if len(common) else np.zeros(n, bool)
                 ordered = np.concatenate([values[~late], values[late]])
                 keys = ordered[: n - -(-4 * n // 5) + 1].view(np.int64).tolist()
-                rows.add(_node(raw), n, _cells(values), keys, size=8 * len(keys))
+                # Small sets aren't judged by bits, so theirs stay away.
+                bits = wide_print(values).tobytes() if n > SMALL else bytes(8 * WORDS)
+                rows.add(_node(raw), n, bits, keys, size=8 * len(keys) + len(bits))
                 yield from rows.take()
         yield from rows.take(last=True)
 
     return run
 
 
-def _possible(n, coarse, full, i, others):
-    """Which of the others can be similar to i, by their sizes and coarse counts."""
-    both = n[i] + n[others]
-    near = 9 * np.minimum(n[i], n[others]) >= 4 * both
-    others, both = others[near], both[near]
-    most = np.minimum(coarse[i], coarse[others]).sum(axis=1, dtype=np.int64)
-    return others[full[i] | full[others] | (9 * most >= 4 * both)]
+class WideIndex:
+    """Hierarchical index over wide fingerprints, sorted by bucket.
 
+    Level 0 are the fingerprints.  A node above covers up to ``FAN`` neighbours of
+    one bucket and holds the bits they share, their values, and the range of the
+    components that its documents are in.
+    """
 
-def _possible_pairs(batches):
+    def __init__(self, buckets: np.ndarray, prints: np.ndarray, judged: np.ndarray, roots: np.ndarray):
+        ids = np.cumsum(np.diff(buckets, prepend=buckets[:1]) != 0)
+        used = np.where(judged, ~np.uint64(0), np.uint64(0))[:, None]
+        ones, zeros, low, high = prints & used, ~prints & used, roots, roots
+        self.levels = [(ones, ones | zeros, low, high)]
+        self.first: list[np.ndarray] = []
+        while len(ids) > ids[-1] + 1:
+            starts = np.flatnonzero(np.diff(ids, prepend=-1))
+            within = np.arange(len(ids)) - np.repeat(starts, np.diff([*starts, len(ids)]))
+            heads = np.flatnonzero(within % FAN == 0)
+            ones, zeros = np.bitwise_and.reduceat(ones, heads), np.bitwise_and.reduceat(zeros, heads)
+            low, high = np.minimum.reduceat(low, heads), np.maximum.reduceat(high, heads)
+            ids = ids[heads]
+            self.levels.append((ones, ones | zeros, low, high))
+            self.first.append(np.append(heads, len(within)))
+
+    def close_pairs(self, radius: int):
+        """Positions of pairs of different components with at most ``radius`` differing bits, some at a time."""
+        tops = np.arange(len(self.levels[-1][0]))
+        stack = [(len(self.levels) - 1, tops, tops)]
+        while stack:
+            level, a, b = stack.pop()
+            # A pair of nodes has whole fingerprints at hand, so fewer are open than of single words.
+            if len(a) > FRONTIER // WORDS:
+                cut = len(a) // 2
+                stack += [(level, a[cut:], b[cut:]), (level, a[:cut], b[:cut])]
+                continue
+            pattern, mask, low, high = self.levels[level]
+            apart = (np.minimum(low[a], low[b]) != np.maximum(high[a], high[b])) & ((a < b) if not level else True)
+            a, b = a[apart], b[apart]
+            differ = np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b]).sum(axis=1, dtype=np.int64)
+            a, b = a[differ <= radius], b[differ <= radius]
+            if not level:
+                yield a, b
+                continue
+            first = self.first[level - 1]
+            many_a, many_b = first[a + 1] - first[a], first[b + 1] - first[b]
+            sizes = many_a * many_b
+            at = np.repeat(np.arange(len(a)), sizes)
+            place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            left, right = first[a][at] + place // many_b[at], first[b][at] + place % many_b[at]
+            once = left <= right
+            stack.append((level - 1, left[once], right[once]))
+
+
+def _prints(cells: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(cells.to_pylist()), "<u8").reshape(-1, WORDS)
+
+
+def _close(na, nb, differ) -> np.ndarray:
+    """Which pairs of sets of na and nb shingles may be similar."""
+    near = 9 * np.minimum(na, nb) >= 4 * (na + nb)
+    return near & ((differ <= RADIUS) | (np.minimum(na, nb) <= SMALL))
+
+
+def _close_stars(batches):
     for batch in batches:
-        sizes = (batch.column(k).to_pylist() for k in ("na", "nb"))
-        cells = (map(_counts, batch.column(k).to_pylist()) for k in ("ca", "cb"))
-        keep = [_may_be_similar(*row) for row in zip(*sizes, *cells)]
+        differ = np.bitwise_count(_prints(batch.column("pa")) ^ _prints(batch.column("pb"))).sum(axis=1, dtype=np.int64)
+        keep = _close(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), differ)
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _pairs(batches):
-    """Candidates of the same bucket that aren't connected yet."""
-
-    def candidates(rows):
-        n, root, node = (rows.column(c).to_numpy() for c in ("n", "root", "node"))
-        if len(n) < 2 or (root == root[0]).all():
-            return
-        # Only coarse counts of all are held open.
-        cells, coarse, full = rows.column("cells"), np.empty((len(n), LEAST_CELLS), np.uint32), np.empty(len(n), bool)
-        for i in range(len(n)):
-            counts = _counts(cells[i].as_py())
-            coarse[i], full[i] = _folded(counts, LEAST_CELLS), (counts == FULL).any()
-        for i in range(len(n) - 1):
-            later = np.arange(i + 1, len(n))
-            others = _possible(n, coarse, full, i, later[root[later] != root[i]]).tolist()
-            own = _counts(cells[i].as_py()) if others else None
-            for j in others:
-                if _may_be_similar(n[i], n[j], own, _counts(cells[j].as_py())):
-                    yield min(node[i], node[j]), max(node[i], node[j])
-
-    def bucket(rows):
-        found = list(set(candidates(rows)))
-        columns = [pa.array([int(p[k]) for p in found], pa.int64()) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+def _proposed(rows: pa.Table) -> pa.RecordBatch:
+    """Pairs of whole buckets that may be similar, of different components; the larger set first."""
+    bucket, node, root, n = (rows.column(c).to_numpy() for c in ("bucket", "node", "root", "n"))
+    prints = _prints(rows.column("print"))
+    rank = gray_rank(prints[:, 0].astype(np.uint64))
+    # Documents of one component stay together, at the place of the first of them.
+    order = np.lexsort((rank, root, bucket))
+    heads = np.flatnonzero((np.diff(bucket[order], prepend=bucket[order][:1] - 1) != 0) | (np.diff(root[order], prepend=root[order][:1] - 1) != 0))
+    place = np.repeat(np.minimum.reduceat(rank[order], heads), np.diff([*heads, len(order)]))
+    order = order[np.lexsort((rank[order], root[order], place, bucket[order]))]
+    bucket, node, root, n, prints = (x[order] for x in (bucket, node, root, n, prints))
+    found = [np.empty((0, 2), np.int64)]
+    for a, b in WideIndex(bucket, prints, n > SMALL, root).close_pairs(RADIUS):
+        near = _close(n[a], n[b], 0)
+        a, b = a[near], b[near]
+        swap = (n[a] < n[b]) | ((n[a] == n[b]) & (node[a] > node[b]))
+        found.append(np.unique(np.stack([node[np.where(swap, b, a)], node[np.where(swap, a, b)]], axis=1), axis=0))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], names=["a", "b"])
+
 
+def _pairs(batches):
+    """Pairs of every bucket; rows come sorted by bucket, the last one of a batch waits for the next."""
     waiting = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([waiting, table]) if waiting is not None else table
         keys = table.column("bucket").to_numpy()
-        starts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist()]
-        for a, b in zip(starts, starts[1:]):
-            yield bucket(table.slice(a, b - a))
-        waiting = table.slice(starts[-1])
+        done = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+        if done:
+            yield _proposed(table.slice(0, done))
+        waiting = table.slice(done)
     if waiting is not None and len(waiting):
-        yield bucket(waiting)
+        yield _proposed(waiting)
 
 
-def _check_sets(batches):
+def _check_stars(batches):
+    """Pairs with similar sets; a star's own set comes before those that are held against it."""
+    star = None
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(9 * common >= 4 * (len(x) + len(y)))
+        for own, cell in zip(batch.column("own").to_pylist(), batch.column("hashes")):
+            values = np.frombuffer(cell.as_py(), np.uint64)
+            if own:
+                star = values
+            common = 0 if own else len(np.intersect1d(star, values, assume_unique=True))
+            keep.append(not own and 9 * common >= 4 * (len(star) + len(values)))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -204,28 +258,36 @@ def _with_nodes(batches):
 
 
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The stored pairs whose whole sets are similar; only their texts are moved."""
+    """The stored pairs whose whole sets are similar.
+
+    Only texts of pairs are moved.  The set of ``a`` is sent once for all its
+    pairs, or once for each ``STAR_LIMIT`` of them.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     some = texts(docs).mapInArrow(_with_nodes, "node long, text string").join(wanted, "node").dropDuplicates(["node"])
     whole = write_table(some.mapInArrow(_whole, "node long, hashes binary"), "whole-sets")
-    left = whole.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = whole.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    near = pairs.join(left, "a").join(right, "b").filter("9 * least(length(x), length(y)) >= 4 * (length(x) + length(y))")
-    return write_table(near.select("a", "b", "x", "y").mapInArrow(_check_sets, "a long, b long"), "similar")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_LIMIT).alias("parts"))
+    parts = write_table(parts, "star-parts")
+    others = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
+    copies = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    rows = others.withColumn("node", F.col("b")).union(copies.select("a", F.col("a").alias("b"), "part", F.col("a").alias("node")))
+    rows = rows.join(whole, "node").select("a", "b", "part", (F.col("a") == F.col("b")).alias("own"), "hashes")
+    rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("own"))
+    return write_table(rows.select("a", "b", "own", "hashes").mapInArrow(_check_stars, "a long, b long"), "similar")
 
 
 def similar_links(docs: DataFrame) -> DataFrame:
     """Links a, b between text hashes that connect all texts with a similarity of 0.8 or more."""
-    sets = texts(docs).mapInArrow(_sets(_common(docs)), "node long, n long, cells binary, keys array<long>")
+    sets = texts(docs).mapInArrow(_sets(_common(docs)), "node long, n long, print binary, keys array<long>")
     sets = write_table(sets.dropDuplicates(["node"]), "shingle-sets")
     keyed = sets.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("node").alias("center")).filter("docs > 1")
     keyed = write_table(keyed.join(write_table(shared, "shared-keys"), "key"), "keyed")
     # First each document with the first of its keys: this connects large families by few pairs.
     stars = keyed.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    sizes = [sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("cells").alias(f"c{k}")) for k in "ab"]
-    stars = stars.join(sizes[0], "a").join(sizes[1], "b").filter("9 * least(na, nb) >= 4 * (na + nb)")
-    stars = write_table(stars.mapInArrow(_possible_pairs, "a long, b long"), "stars")
+    sizes = [sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("print").alias(f"p{k}")) for k in "ab"]
+    stars = stars.join(sizes[0], "a").join(sizes[1], "b")
+    stars = write_table(stars.mapInArrow(_close_stars, "a long, b long"), "stars")
     links = _similar(stars, docs)
     roots = write_table(components(links), "star-roots")
     keyed = keyed.join(roots, "node", "left").select("key", "node", "docs", F.coalesce("root", "node").alias("root"))
@@ -237,7 +299,7 @@ def similar_links(docs: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("node"), parts)
     rows = rows.select("node", "root", "key", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
     bucket = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("bucket")
-    rows = rows.select("node", "root", bucket).join(sets.select("node", "n", "cells"), "node")
+    rows = rows.select("node", "root", bucket).join(sets.select("node", "n", "print"), "node")
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
     pairs = write_table(rows.mapInArrow(_pairs, "a long, b long").distinct(), "candidates")
     return links.union(_similar(pairs, docs))
