@@ -10,9 +10,9 @@ differ too often are dropped with everything below.  Proposed pairs are settled
 by their whole sets.
 
 A fingerprint has 512 bits.  Sets of similarity 0.8 differ in each with a chance
-of 0.152, so in 78 bits with a standard deviation of 8; the radius of 118 is five
-of them away, and lets sets below 0.6 pass as rarely.  Sets of up to ``SMALL``
-shingles, for which these chances are rough, are not judged by their bits.
+of 0.152, so in 78 bits with a standard deviation of about 8.5; the radius is five
+of them away and stops most sets below 0.58.  Sets of up to ``SMALL`` shingles,
+for which these chances are rough, are not judged by their bits.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ SHINGLE = 5
 # Similar are sets of a and b elements with 9 * common >= 4 * (a + b): Jaccard 0.8.
 # Fingerprints in 64-bit words, and the bits in which those of similar sets may differ.
 WORDS = 8
-RADIUS = 118
-SMALL = 64
+RADIUS = 122
+SMALL = 8
 # Documents whose shingles are counted for the order; it changes no result.
 SAMPLED = 5_000
 COMMON = 200_000

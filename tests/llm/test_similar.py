@@ -1,7 +1,9 @@
 """The pipeline's near-duplicates against brute-force Jaccard similarity."""
 
+import math
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -50,6 +52,53 @@ def test_stage_links_all_pairs_of_similarity_080(spark, make, monkeypatch, limit
     assert sorted(r["doc_id"] for r in got.collect()) == kept_brute(rows)
 
 
+def barely_similar(rng, larger, smaller):
+    """Two sets with as few values in common as a similarity of 0.8 allows."""
+    both = math.ceil(4 * (larger + smaller) / 9)
+    values = rng.integers(0, 1 << 63, larger + smaller - both, dtype=np.uint64) * np.uint64(2)
+    return values[:larger], values[larger - both :]
+
+
+def apart(a, b):
+    return int(np.bitwise_count(similar.wide_print(a) ^ similar.wide_print(b)).sum())
+
+
+@pytest.mark.parametrize("larger", [9, 10, 13, 14, 16, 24, 32, 65, 300, 2000])
+def test_fingerprints_of_similar_sets_are_within_the_radius(larger):
+    rng = np.random.default_rng(larger)
+    for smaller in {larger, -(-larger * 9 // 10), -(-larger * 4 // 5)}:
+        found = [apart(*barely_similar(rng, larger, smaller)) for _ in range(60)]
+        assert max(found) <= similar.RADIUS
+        assert np.mean(found) + 4 * np.std(found) <= similar.RADIUS
+
+
+def test_fingerprint_counts_every_bit():
+    values = np.random.default_rng(3).integers(0, 1 << 63, 700, dtype=np.uint64)
+    for part in (values[:1], values[:255], values[:256], values):
+        bits = np.array([[int(v) >> k & 1 for k in range(64)] for v in part])
+        assert similar._ones(part).tolist() == bits.sum(axis=0).tolist()
+
+
+def test_index_proposes_every_close_pair_of_different_components():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, (12, similar.WORDS), dtype=np.uint64)
+    prints = base[rng.integers(0, 12, 400)]
+    for row in prints:
+        for bit in rng.integers(0, 64 * similar.WORDS, rng.integers(0, 140)).tolist():
+            row[bit // 64] ^= np.uint64(1 << bit % 64)
+    buckets = np.sort(rng.integers(0, 4, 400))
+    judged, roots = rng.random(400) < 0.95, rng.integers(0, 60, 400)
+    index = similar.WideIndex(buckets, prints, judged, roots)
+    got = sorted((int(a), int(b)) for pair in index.close_pairs(similar.RADIUS) for a, b in zip(*pair))
+    want = []
+    for a in range(400):
+        for b in range(a + 1, 400):
+            differ = int(np.bitwise_count(prints[a] ^ prints[b]).sum()) if judged[a] and judged[b] else 0
+            if buckets[a] == buckets[b] and roots[a] != roots[b] and differ <= similar.RADIUS:
+                want.append((a, b))
+    assert got == want
+
+
 def test_odd_rows(spark, odd, empty):
     kept = similar.one_of_similar(odd)
     assert kept.columns == odd.columns
