@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from plumbwright.llm import host_rules, mixing, ngram_trie, quality_model
 
@@ -264,3 +265,91 @@ def test_elias_fano_round_trip(values):
     given = np.array(values, np.uint64)
     assert np.array_equal(ngram_trie.ef_decode(*ngram_trie.ef_encode(given)), given)
     assert len(ngram_trie.ef_decode(*ngram_trie.ef_encode(given[:0]))) == 0
+
+
+def plain_ordinal(rows, grades, top, epochs):
+    """The same ascent by loops: likelihoods of single documents, slopes by finite differences."""
+    mean = sum(grades) / len(grades)
+    spread = math.sqrt(sum((g - mean) ** 2 for g in grades) / len(grades))
+    telling = []
+    for slot in sorted({s for r in rows for s in r}):
+        having = [g for r, g in zip(rows, grades) if slot in r]
+        clear = abs(sum(g - mean for g in having)) > quality_model.CLEARLY * spread * math.sqrt(len(having))
+        if len(having) >= quality_model.LEAST_DOCUMENTS and clear:
+            telling.append(slot)
+
+    def thresholds(values):
+        out = [values[len(telling)]]
+        for gap in values[len(telling) + 1 :]:
+            out.append(out[-1] + math.exp(gap))
+        return out
+
+    def gain(values):
+        weights, total = dict(zip(telling, values)), 0.0
+        for r, g in zip(rows, grades):
+            score = sum(weights.get(s, 0.0) for s in r)
+            tails = [1.0, *(1 / (1 + math.exp(t - score)) for t in thresholds(values)), 0.0]
+            total += math.log(tails[g] - tails[g + 1])
+        return total / len(rows) - quality_model.SHRINK / 2 * sum(w * w for w in weights.values())
+
+    shares = [sum(g > k for g in grades) / len(grades) for k in range(top)]
+    starts = [-math.log(s / (1 - s)) for s in shares]
+    values = [0.0] * len(telling) + [starts[0]] + [math.log(max(b - a, 0.1)) for a, b in zip(starts, starts[1:])]
+    seen = [0.0] * len(values)
+    for _ in range(epochs):
+        slopes = []
+        for k in range(len(values)):
+            up, down = ([v + d * (i == k) for i, v in enumerate(values)] for d in (1e-5, -1e-5))
+            slopes.append((gain(up) - gain(down)) / 2e-5)
+        seen = [s + g * g for s, g in zip(seen, slopes)]
+        values = [v + quality_model.RATE * g / (math.sqrt(s) + 1e-6) for v, g, s in zip(values, slopes, seen)]
+    return dict(zip(telling, values)), thresholds(values)
+
+
+def test_fit_agrees_with_plain_likelihood(monkeypatch):
+    monkeypatch.setattr(quality_model, "EPOCHS", 25)
+    rng = random.Random(4)
+    grades = [rng.choice((0, 1, 2, 2)) for _ in range(120)]
+    rows = [sorted({g if rng.random() < 0.9 else rng.randrange(3), 5 + (g == 2), 10 + rng.randrange(4)}) for g in grades]
+    model = quality_model.fit_ordinal([np.array(r) for r in rows], np.array(grades), 2)
+    weights, thresholds = plain_ordinal(rows, grades, 2, 25)
+    assert {5, 6} <= set(weights) and set(np.flatnonzero(model.weights).tolist()) == set(weights)
+    assert [model.weights[s] for s in weights] == pytest.approx(list(weights.values()), abs=2e-4)
+    assert model.thresholds.tolist() == pytest.approx(thresholds, abs=2e-4)
+
+
+def plain_features(text):
+    """Feature slots of a text, by their definition."""
+    slot = lambda name: xxhash.xxh3_64_intdigest(name.encode(), quality_model.SEED) % 2**quality_model.FEATURE_BITS
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).split()
+    n, size, lines = max(1, len(words)), len(text), text.split("\n")
+    shape = {
+        "symbols": sum(c in "#*$%&|<>" for c in text) / n,
+        "exclaim": text.count("!") / n,
+        "upper": sum("A" <= c <= "Z" for c in text) / max(1, size),
+        "repeat": sum(words[i] == words[i + 1] for i in range(len(words) - 1)) / n,
+        "few": 1 - len(set(words)) / n,
+        "lines": 1 - len(set(lines)) / len(lines),
+        "long": math.log2(n) / 20,
+    }
+    borders = (0.0, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9, 1.5)
+    edge = "#*$%&|<>!?.,;:()[]{}\"'-_=+/\\~`^@"
+    return {slot(w.strip(edge) or w[:3]) for w in words} | {slot(f" {k} {sum(v > b for b in borders)}") for k, v in shape.items()}
+
+
+def test_scores_agree_with_plain_scorer(spark):
+    rng = np.random.default_rng(8)
+    weights = rng.normal(0, 0.2, 1 << quality_model.FEATURE_BITS).astype(np.float32)
+    model = quality_model.OrdinalModel(weights, np.array([-0.5, 0.7]))
+    texts = ["", " \n\t", "Good words. Good WORDS, (again)!", "$$$ *** buy buy buy!!!", "a\na\nb", "x" * 90, "word " * 30_000]
+    texts += [" ".join(rng.choice(["Alpha", "beta,", "beta", "#1", "--", "!!"], 40)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quality_model.score(docs, model).collect()}
+    assert set(got) == set(range(len(texts)))
+    for i, text in enumerate(texts):
+        total = sum(float(weights[s]) for s in plain_features(text))
+        tails = [1 / (1 + math.exp(t - total)) for t in (-0.5, 0.7)]
+        assert got[i]["expected_grade"] == pytest.approx(sum(tails), abs=1e-9)
+        assert got[i]["p_best"] == pytest.approx(tails[1], abs=1e-9)
+        assert got[i]["kept"] == (tails[1] >= 0.5)
+    assert {r["doc_id"] for r in quality_model.select(docs, model).collect()} == {i for i in got if got[i]["kept"]}
