@@ -234,6 +234,11 @@ def unique_documents(docs: DataFrame, suspect_bits: int = SUSPECT_BITS) -> DataF
 
     Texts that can't have a copy pass through; only suspects are shuffled, each
     text once per task.
+
+    Defined cases: NULL, empty and blank texts are equal; the longest original
+    text stays, then the smallest doc_id (NULL last), then the smallest hash of
+    the text, so reruns agree but for the other columns of repeated rows; an empty
+    table gives no rows; columns of any name are kept as they are.
     """
     bits = docs.sparkSession.sparkContext.broadcast(_suspect_table(suspect_prints(docs), suspect_bits))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -243,6 +248,7 @@ def unique_documents(docs: DataFrame, suspect_bits: int = SUSPECT_BITS) -> DataF
         kind = kind.add(name, of)
     read = named.mapInArrow(_digests(bits, suspect_bits), kind)
     doc_id = F.col("row.doc_id")
-    order = F.struct((-F.col("points")).alias("a"), doc_id.isNull().alias("b"), doc_id.alias("c"))
+    spelled = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")))
+    order = F.struct((-F.col("points")).alias("a"), doc_id.isNull().alias("b"), doc_id.alias("c"), spelled.alias("d"))
     suspects = read.filter("norm is not null").groupBy("norm").agg(F.min_by("row", order).alias("row"))
     return read.filter("norm is null").select("row.*").union(suspects.select("row.*"))

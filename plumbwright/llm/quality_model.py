@@ -249,7 +249,12 @@ def _keeper(shared, least: float):
 
 
 def select(docs: DataFrame, model: OrdinalModel, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``score`` keeps."""
+    """The rows of ``docs``, with all their columns, that ``score`` keeps.
+
+    Defined cases: NULL and empty texts are judged on their shape alone; rows with
+    a NULL doc_id and repeated rows are judged one by one; an empty table gives no
+    rows; columns of any name are kept as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     whole = texts(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return whole.mapInArrow(_keeper(shared, least), StructType([whole.schema["row"]])).select("row.*")
