@@ -3,6 +3,10 @@
 Each stage takes the documents that its predecessor kept and returns documents
 with the same columns; the last one returns the pieces of packed sequences.
 Every stage's result is written and read again as the input of the next one.
+
+Defined cases: a NULL text counts as empty and an empty table gives no rows in
+every stage; extra columns of any name are carried along up to the last stage.
+What NULL ids, ties and repeated rows do is said at the operator a stage calls.
 """
 
 from __future__ import annotations
