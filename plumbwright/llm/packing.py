@@ -15,14 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbwright.llm.common import Rows, arrow_schema, raw_texts, texts
+from plumbwright.llm.common import Rows, arrow_schema, giving_back, raw_texts, texts
 from plumbwright.llm.word_ids import WORD_FILE, id_bytes32, word_ids
 from plumbwright.sources.scratch import write_table
 
 LONGEST = 2048
 END_ID = 1
-# Documents that are encoded together; their texts and ids are in memory at once.
-TOGETHER = 256
 
 _PIECES = arrow_schema(
     {
@@ -49,17 +47,15 @@ def _cutter(path: str, longest: int, end_id: int, with_ids: bool):
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             keys, raws = batch.column("doc_id").to_pylist(), raw_texts(batch)
-            for at in range(0, len(keys), TOGETHER):
-                some = keys[at : at + TOGETHER]
-                for key, ids in zip(some, encoder.many([next(raws) for _ in some])):
-                    wide = id_bytes32(ids + end, encoder.dtype)
-                    n, start = len(wide) // 4, 0
-                    for length in power_lengths(n, longest):
-                        piece = wide[4 * start : 4 * (start + length)]
-                        index = seen[length] = seen.get(length, -1) + 1
-                        row = (key, start, length, zlib.crc32(piece), n, part, index)
-                        rows.add(*row, *([piece] if with_ids else []), size=4 * length * with_ids)
-                        start += length
+            for key, ids in zip(keys, encoder.each(raws)):
+                wide = id_bytes32(ids + end, encoder.dtype)
+                n, start = len(wide) // 4, 0
+                for length in power_lengths(n, longest):
+                    piece = wide[4 * start : 4 * (start + length)]
+                    index = seen[length] = seen.get(length, -1) + 1
+                    row = (key, start, length, zlib.crc32(piece), n, part, index)
+                    rows.add(*row, *([piece] if with_ids else []), size=4 * length * with_ids)
+                    start += length
                 yield from rows.take()
         yield from rows.take(last=True)
 
@@ -88,7 +84,7 @@ def pack(
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, at long"
     kind += ", ids binary" if with_ids else ""
     cut = texts(docs, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(
-        _cutter(path, longest, end_id, with_ids), kind
+        giving_back(_cutter(path, longest, end_id, with_ids)), kind
     )
     stored = write_table(cut, "pieces")
     sizes = stored.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plumbwright.llm.common import Rows, arrow_schema, raw_texts, texts
+from plumbwright.llm.common import Rows, arrow_schema, giving_back, raw_texts, texts
 
 # Rated documents that a fit uses at most, chosen by a seeded hash of doc_id.
 RATED_SAMPLE = 12_000
@@ -31,7 +31,8 @@ LEAST_DOCUMENTS = 3
 CLEARLY = 4.0
 EPOCHS, RATE, SHRINK = 120, 0.3, 1e-4
 SEED = 11
-REMEMBERED_WORDS = 500_000
+# Distinct words that a task remembers before it starts afresh; bounds its memory.
+REMEMBERED_WORDS = 250_000
 
 _UPPER = bytes(range(65, 91))
 _SYMBOLS = b"#*$%&|<>"
@@ -162,14 +163,12 @@ def harm_and_quality() -> Column:
     return F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
 
 
-_features = Features()
-
-
 def _sampled(batches):
-    rows = Rows(arrow_schema({"grade": pa.int32(), "slots": pa.list_(pa.int32())}))
+    # Of the task: a worker's next tasks may be of other stages, which need its memory.
+    features, rows = Features(), Rows(arrow_schema({"grade": pa.int32(), "slots": pa.list_(pa.int32())}))
     for batch in batches:
         for grade, raw in zip(batch.column("grade").to_pylist(), raw_texts(batch)):
-            slots = sorted(_features(raw))
+            slots = sorted(features(raw))
             rows.add(grade, slots, size=4 * len(slots))
             yield from rows.take()
     yield from rows.take(last=True)
@@ -190,7 +189,7 @@ def fit(
     named = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     # At most ``sample`` rows of two numbers.
     found = named.join(F.broadcast(chosen), "doc_id").select("grade", "text")
-    features = found.mapInArrow(_sampled, "grade int, slots array<int>")
+    features = found.mapInArrow(giving_back(_sampled), "grade int, slots array<int>")
     rows, grades = [], []
     for r in features.toLocalIterator():
         rows.append(np.array(r["slots"], np.int32))
@@ -200,9 +199,9 @@ def fit(
     return fit_ordinal([rows[i] for i in order], np.array([grades[i] for i in order], np.int64), top)
 
 
-def _marks(raw: bytes, weights: list, model: OrdinalModel) -> tuple[float, float]:
+def _marks(raw: bytes, features: Features, weights: list, model: OrdinalModel) -> tuple[float, float]:
     """Expected grade and the probability of the best grade."""
-    tails = model.tails(sum(map(weights.__getitem__, _features(raw))))
+    tails = model.tails(sum(map(weights.__getitem__, features(raw))))
     return float(tails.sum()), float(tails[-1])
 
 
@@ -212,11 +211,11 @@ def _scorer(shared, least: float):
     )
 
     def run(batches):
-        model, rows = shared.value, Rows(schema)
+        model, features, rows = shared.value, Features(), Rows(schema)
         weights = model.weights.tolist()
         for batch in batches:
             for key, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
-                expected, best = _marks(raw, weights, model)
+                expected, best = _marks(raw, features, weights, model)
                 rows.add(key, expected, best, best >= least)
             yield from rows.take()
         yield from rows.take(last=True)
@@ -234,15 +233,15 @@ def score(docs: DataFrame, model: OrdinalModel, least: float = 0.5) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(model)
     named = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     kind = "doc_id long, expected_grade double, p_best double, kept boolean"
-    return named.mapInArrow(_scorer(shared, least), kind)
+    return named.mapInArrow(giving_back(_scorer(shared, least)), kind)
 
 
 def _keeper(shared, least: float):
     def run(batches):
-        model = shared.value
+        model, features = shared.value, Features()
         weights = model.weights.tolist()
         for batch in batches:
-            keep = [_marks(raw, weights, model)[1] >= least for raw in raw_texts(batch)]
+            keep = [_marks(raw, features, weights, model)[1] >= least for raw in raw_texts(batch)]
             yield batch.select(["row"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -257,4 +256,5 @@ def select(docs: DataFrame, model: OrdinalModel, least: float = 0.5) -> DataFram
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     whole = texts(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return whole.mapInArrow(_keeper(shared, least), StructType([whole.schema["row"]])).select("row.*")
+    kept = whole.mapInArrow(giving_back(_keeper(shared, least)), StructType([whole.schema["row"]]))
+    return kept.select("row.*")

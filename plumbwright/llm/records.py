@@ -190,11 +190,9 @@ def _encode(path: str, end_id: int, bounds: list[int]):
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             keys, raws = batch.column("doc_id").to_pylist(), raw_texts(batch)
-            for at in range(0, len(keys), TOGETHER):
-                some = keys[at : at + TOGETHER]
-                for key, ids in zip(some, encoder.many([next(raws) for _ in some])):
-                    file_no = 0 if key is None else int(np.searchsorted(edges, key, side="left"))
-                    rows.add(key, file_no, ids + end, size=len(ids))
+            for key, ids in zip(keys, encoder.each(raws)):
+                file_no = 0 if key is None else int(np.searchsorted(edges, key, side="left"))
+                rows.add(key, file_no, ids + end, size=len(ids))
                 yield from rows.take()
         yield from rows.take(last=True)
 

@@ -94,6 +94,27 @@ def test_word_ids_of_many_strings_equal_the_library(word_library):
         assert got == want, next((t, g, w) for t, g, w in zip(some, got, want) if g != w)
 
 
+def test_recurring_words_stay_when_a_full_memory_lets_rare_ones_go(word_library):
+    encoder = word_ids.WordIds(remembered=300)
+    for at in range(40):
+        text = "the often,met word " + " ".join(f"once{at}x{i}" for i in range(30))
+        got = np.frombuffer(encoder.many([text.encode()])[0], encoder.dtype).tolist()
+        assert got == ids_of(word_library, text)
+        assert at == 0 or {b"the", b"often,met", b"word"} <= set(encoder.numbers)
+        assert len(encoder.numbers) <= 300 + 33 and len(encoder.pieces) <= 300
+
+
+def test_long_texts_are_encoded_a_few_at_a_time(monkeypatch, word_library):
+    monkeypatch.setattr(word_ids, "TOGETHER_BYTES", 1_000)
+    encoder, calls = word_ids.WordIds(), []
+    many = encoder.many
+    monkeypatch.setattr(encoder, "many", lambda raws: calls.append(sum(map(len, raws))) or many(raws))
+    texts = [f"word{i} " * 40 for i in range(50)] + ["", "end."]
+    for text, raw in zip(texts, encoder.each(t.encode() for t in texts), strict=True):
+        assert np.frombuffer(raw, encoder.dtype).tolist() == ids_of(word_library, text)
+    assert max(calls) < 1_000 + 400 and list(encoder.each([])) == []
+
+
 def with_end(library, text):
     return np.array([*ids_of(library, text), 1], "<u4")
 
