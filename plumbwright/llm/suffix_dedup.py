@@ -117,6 +117,10 @@ class Anchored:
         self.at = np.flatnonzero(_least(padded, width, np.maximum) == prints)
         self.anchors = prints[self.at]
 
+    def names(self, chosen: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Keys of the chosen anchors, one to one: the least of many fingerprints are small, names are spread evenly."""
+        return _mix(self.anchors[chosen])
+
     def contexts(self, chosen: np.ndarray) -> np.ndarray:
         """Fingerprints of what surrounds the chosen anchors: every string they are the anchor of lies in it."""
         at = self.at[chosen]
@@ -256,7 +260,7 @@ def _positions(raw: bytes) -> np.ndarray:
 
 def _send_anchors(bits: int):
     def run(key, table):
-        found = [Anchored(t).anchors for _, t in dealt_rows(table)]
+        found = [Anchored(t).names() for _, t in dealt_rows(table)]
         return _messages(key[0].as_py(), np.concatenate(found), bits)
 
     return run
@@ -273,9 +277,8 @@ def _open(bits: int):
 
     def run(key, table, replies):
         docs = dealt_rows(table)
-        found = [Anchored(t) for _, t in docs]
-        keys, rows = _Keys([a.anchors for a in found], replies, 1, bits), Rows(_OPEN)
-        for i, ((doc_id, raw), a) in enumerate(zip(docs, found)):
+        keys, rows = _Keys([Anchored(t).names() for _, t in docs], replies, 1, bits), Rows(_OPEN)
+        for i, (doc_id, raw) in enumerate(docs):
             again = np.flatnonzero(keys.of(keys.repeated, i))
             more = (raw, _ints(again)) if len(again) else (None, None)
             rows.add(key[0].as_py(), doc_id, len(raw), hashlib.sha256(raw).hexdigest(), *more)
@@ -322,7 +325,7 @@ def _split_contexts(bits: int):
 
 def _send_fresh(bits: int):
     def run(key, table):
-        found = [Anchored(t).anchors[_positions(f)] for _, t, f in _rows(table, "fresh")]
+        found = [Anchored(t).names(_positions(f)) for _, t, f in _rows(table, "fresh")]
         return _messages(key[0].as_py(), np.concatenate(found), bits)
 
     return run
@@ -333,7 +336,7 @@ def _contested(table: pa.Table, replies: pa.Table, bits: int):
     docs = _rows(table, "repeats", "fresh")
     found = [Anchored(t) for _, t, _, _ in docs]
     chosen = [_positions(f) for *_, f in docs]
-    keys = _Keys([a.anchors[c] for a, c in zip(found, chosen)], replies, 3, bits)
+    keys = _Keys([a.names(c) for a, c in zip(found, chosen)], replies, 3, bits)
     return docs, found, [a.strings(c[keys.of(keys.repeated, i)]) for i, (a, c) in enumerate(zip(found, chosen))]
 
 

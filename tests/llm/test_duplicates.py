@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from plumbwright.llm import components, exact_dedup, simhash_index, suffix_dedup
+from plumbwright.llm import common, components, exact_dedup, simhash_index, suffix_dedup
 
 WHITE = dict.fromkeys(map(ord, " \t\n\x0b\x0c\r"))
 
@@ -214,6 +214,16 @@ def test_repeats_at_every_offset_and_in_periodic_texts(make, monkeypatch):
     assert cut(make(rows)) == cut_brute(rows)
 
 
+def test_owners_of_anchors_get_even_shares(make):
+    """Anchors are the least of many fingerprints; their plain values would give one owner most of them."""
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choices("abcdefghijklmnop ", k=3_000))) for i in range(100)]
+    dealt, _ = common.deal(make(rows), 50_000)
+    sent = dealt.groupBy("sender").applyInArrow(suffix_dedup._send_anchors(4), suffix_dedup._MESSAGE_KIND)
+    owned = {r["owner"]: r["sum(n)"] for r in sent.groupBy("owner").sum("n").collect()}
+    assert len(owned) == 16 and max(owned.values()) < 1.5 * sum(owned.values()) / 16
+
+
 def test_repeats_of_odd_rows(odd, empty):
     got = cut(odd)
     assert got[1] == got[2] == [(0, 0, 0, hashlib.sha256(b"").hexdigest())]
