@@ -6,6 +6,7 @@ only move columns in and out of a batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -58,12 +59,20 @@ class Rows:
             yield pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
+def _trim() -> None:
+    """Hand freed memory of the C library back to the system, where the library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def giving_back(run: Callable) -> Callable:
     """The same mapInArrow function; at its end the worker, which may wait for other stages, returns unused memory."""
 
     def whole(batches):
         yield from run(batches)
         pa.default_memory_pool().release_unused()
+        _trim()
 
     return whole
 

@@ -154,7 +154,7 @@ def _segments(key, table):
     return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()])})
 
 
-def _suspect_table(prints: DataFrame, size: int) -> np.ndarray:
+def suspect_table(prints: DataFrame, size: int) -> np.ndarray:
     """A bit for each value of the fingerprints' leading bits; ``size`` / 8 bytes at most."""
     shift = 65 - size.bit_length()
     at = F.shiftrightunsigned("print", shift).alias("at")
@@ -206,7 +206,7 @@ def exact_groups(docs: DataFrame, suspect_bits: int = SUSPECT_BITS) -> DataFrame
     gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_suspect_table(suspect_prints(docs), suspect_bits))
+    bits = spark.sparkContext.broadcast(suspect_table(suspect_prints(docs), suspect_bits))
     named = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
     kind = "doc_id long, print long, points long, text_sha256 string, norm binary"
     read = write_table(
@@ -240,7 +240,7 @@ def unique_documents(docs: DataFrame, suspect_bits: int = SUSPECT_BITS) -> DataF
     the text, so reruns agree but for the other columns of repeated rows; an empty
     table gives no rows; columns of any name are kept as they are.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(_suspect_table(suspect_prints(docs), suspect_bits))
+    bits = docs.sparkSession.sparkContext.broadcast(suspect_table(suspect_prints(docs), suspect_bits))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     named = docs.select(row.alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     kind = StructType([named.schema["row"]])

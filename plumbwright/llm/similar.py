@@ -19,12 +19,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbwright.llm.common import Rows, arrow_schema, raw_texts, texts
+from plumbwright.llm.common import Rows, arrow_schema, giving_back, raw_texts, texts
 from plumbwright.llm.components import components
+from plumbwright.llm.exact_dedup import SUSPECT_BITS, suspect_table
 from plumbwright.llm.simhash_index import FAN, FRONTIER, gray_rank, shingle_hashes
 from plumbwright.sources.scratch import write_table
 
@@ -40,6 +42,11 @@ COMMON = 200_000
 # Documents that one task compares with each other, and those held against one copy of a set.
 GROUP_LIMIT = 2048
 STAR_LIMIT = 4096
+# Keys that a document names in each of its buckets; more of them repeat fewer pairs.
+EARLY = 4
+# Pairs of nodes that are compared at once; each may open ``FAN`` times ``FAN`` pairs below.
+OPEN = FRONTIER // FAN**2
+_NO_KEY = np.iinfo(np.int64).max
 _EACH_BYTE = np.uint64(0x0101010101010101)
 
 _SETS = arrow_schema(
@@ -68,7 +75,7 @@ def _common(docs: DataFrame) -> np.ndarray:
     """Shingles that several sampled documents have, sorted."""
     named = texts(docs)
     parts = max(1, named.count() // SAMPLED)
-    some = named.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0).mapInArrow(_shingles, "key long")
+    some = named.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0).mapInArrow(giving_back(_shingles), "key long")
     counts = some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
     top = counts.orderBy(F.desc("n"), "key").limit(COMMON).collect()
     return np.sort(np.array([r["key"] for r in top], np.int64).view(np.uint64))
@@ -151,8 +158,7 @@ class WideIndex:
         stack = [(len(self.levels) - 1, tops, tops)]
         while stack:
             level, a, b = stack.pop()
-            # A pair of nodes has whole fingerprints at hand, so fewer are open than of single words.
-            if len(a) > FRONTIER // WORDS:
+            if len(a) > OPEN:
                 cut = len(a) // 2
                 stack += [(level, a[cut:], b[cut:]), (level, a[:cut], b[:cut])]
                 continue
@@ -191,25 +197,50 @@ def _close_stars(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _proposed(rows: pa.Table) -> pa.RecordBatch:
+def _early(cells: pa.Array) -> np.ndarray:
+    """Lists of up to ``EARLY`` keys as rows of a matrix."""
+    out = np.full((len(cells), EARLY), _NO_KEY)
+    out[np.arange(EARLY) < pc.list_value_length(cells).to_numpy()[:, None]] = cells.flatten().to_numpy()
+    return out
+
+
+def _met_before(key: np.ndarray, early_a: np.ndarray, early_b: np.ndarray) -> np.ndarray:
+    """Which pairs both name a key below that of their bucket; the least of such keys proposes them."""
+    below = early_a < key[:, None]
+    return ((early_a[:, :, None] == early_b[:, None, :]).any(axis=2) & below).any(axis=1)
+
+
+def _distinct(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], names=["a", "b"])
+
+
+def _proposed(rows: pa.Table):
     """Pairs of whole buckets that may be similar, of different components; the larger set first."""
-    bucket, node, root, n = (rows.column(c).to_numpy() for c in ("bucket", "node", "root", "n"))
-    prints = _prints(rows.column("print"))
+    bucket, key, side, node, root, n = (rows.column(c).to_numpy() for c in ("bucket", "key", "side", "node", "root", "n"))
+    prints, early = _prints(rows.column("print")), _early(rows.column("early").combine_chunks())
     rank = gray_rank(prints[:, 0].astype(np.uint64))
     # Documents of one component stay together, at the place of the first of them.
     order = np.lexsort((rank, root, bucket))
     heads = np.flatnonzero((np.diff(bucket[order], prepend=bucket[order][:1] - 1) != 0) | (np.diff(root[order], prepend=root[order][:1] - 1) != 0))
     place = np.repeat(np.minimum.reduceat(rank[order], heads), np.diff([*heads, len(order)]))
     order = order[np.lexsort((rank[order], root[order], place, bucket[order]))]
-    bucket, node, root, n, prints = (x[order] for x in (bucket, node, root, n, prints))
-    found = [np.empty((0, 2), np.int64)]
+    bucket, key, side, node, root, n, prints, early = (x[order] for x in (bucket, key, side, node, root, n, prints, early))
+    found, size = [], 0
     for a, b in WideIndex(bucket, prints, n > SMALL, root).close_pairs(RADIUS):
-        near = _close(n[a], n[b], 0)
+        # Where two parts of a key meet, the pairs within a part are left to its own bucket.
+        near = _close(n[a], n[b], 0) & ((side[a] < 0) | (side[a] != side[b]))
         a, b = a[near], b[near]
+        once = ~_met_before(key[a], early[a], early[b])
+        a, b = a[once], b[once]
         swap = (n[a] < n[b]) | ((n[a] == n[b]) & (node[a] > node[b]))
-        found.append(np.unique(np.stack([node[np.where(swap, b, a)], node[np.where(swap, a, b)]], axis=1), axis=0))
-    pairs = np.unique(np.concatenate(found), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], names=["a", "b"])
+        found.append(np.stack([node[np.where(swap, b, a)], node[np.where(swap, a, b)]], axis=1))
+        size += len(a)
+        if size >= FRONTIER:
+            yield _distinct(found)
+            found, size = [], 0
+    if size:
+        yield _distinct(found)
 
 
 def _pairs(batches):
@@ -221,10 +252,10 @@ def _pairs(batches):
         keys = table.column("bucket").to_numpy()
         done = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
         if done:
-            yield _proposed(table.slice(0, done))
+            yield from _proposed(table.slice(0, done))
         waiting = table.slice(done)
     if waiting is not None and len(waiting):
-        yield _proposed(waiting)
+        yield from _proposed(waiting)
 
 
 def _check_stars(batches):
@@ -251,21 +282,33 @@ def _whole(batches):
     yield from rows.take(last=True)
 
 
-def _with_nodes(batches):
-    for batch in batches:
-        found = pa.array([_node(r) for r in raw_texts(batch)], pa.int64())
-        yield pa.RecordBatch.from_arrays([found, batch.column("text")], names=["node", "text"])
+def _with_nodes(table, size: int):
+    """Texts whose bit in the table of wanted ones is set."""
+    shift = 65 - size.bit_length()
+
+    def run(batches):
+        bits = table.value
+        for batch in batches:
+            found = np.array([_node(r) for r in raw_texts(batch)], np.int64)
+            at = (found.view(np.uint64) >> np.uint64(shift)).astype(np.int64)
+            wanted = pa.array((bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("text")], names=["node", "text"]).filter(wanted)
+
+    return run
 
 
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The stored pairs whose whole sets are similar.
 
-    Only texts of pairs are moved.  The set of ``a`` is sent once for all its
-    pairs, or once for each ``STAR_LIMIT`` of them.
+    Only texts of pairs are moved: a table of fixed size tells the scan which texts
+    are not wanted, with more of them more texts pass, and a join drops those.  The
+    set of ``a`` is sent once for all its pairs, or once for each ``STAR_LIMIT`` of them.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    some = texts(docs).mapInArrow(_with_nodes, "node long, text string").join(wanted, "node").dropDuplicates(["node"])
-    whole = write_table(some.mapInArrow(_whole, "node long, hashes binary"), "whole-sets")
+    wanted = write_table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    bits = docs.sparkSession.sparkContext.broadcast(suspect_table(wanted.withColumnRenamed("node", "print"), SUSPECT_BITS))
+    some = texts(docs).mapInArrow(giving_back(_with_nodes(bits, SUSPECT_BITS)), "node long, text string")
+    some = some.join(wanted, "node").dropDuplicates(["node"])
+    whole = write_table(some.mapInArrow(giving_back(_whole), "node long, hashes binary"), "whole-sets")
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_LIMIT).alias("parts"))
     parts = write_table(parts, "star-parts")
     others = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
@@ -273,12 +316,12 @@ def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     rows = others.withColumn("node", F.col("b")).union(copies.select("a", F.col("a").alias("b"), "part", F.col("a").alias("node")))
     rows = rows.join(whole, "node").select("a", "b", "part", (F.col("a") == F.col("b")).alias("own"), "hashes")
     rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("own"))
-    return write_table(rows.select("a", "b", "own", "hashes").mapInArrow(_check_stars, "a long, b long"), "similar")
+    return write_table(rows.select("a", "b", "own", "hashes").mapInArrow(giving_back(_check_stars), "a long, b long"), "similar")
 
 
 def similar_links(docs: DataFrame) -> DataFrame:
     """Links a, b between text hashes that connect all texts with a similarity of 0.8 or more."""
-    sets = texts(docs).mapInArrow(_sets(_common(docs)), "node long, n long, print binary, keys array<long>")
+    sets = texts(docs).mapInArrow(giving_back(_sets(_common(docs))), "node long, n long, print binary, keys array<long>")
     sets = write_table(sets.dropDuplicates(["node"]), "shingle-sets")
     keyed = sets.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("node").alias("center")).filter("docs > 1")
@@ -287,7 +330,7 @@ def similar_links(docs: DataFrame) -> DataFrame:
     stars = keyed.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     sizes = [sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("print").alias(f"p{k}")) for k in "ab"]
     stars = stars.join(sizes[0], "a").join(sizes[1], "b")
-    stars = write_table(stars.mapInArrow(_close_stars, "a long, b long"), "stars")
+    stars = write_table(stars.mapInArrow(giving_back(_close_stars), "a long, b long"), "stars")
     links = _similar(stars, docs)
     roots = write_table(components(links), "star-roots")
     keyed = keyed.join(roots, "node", "left").select("key", "node", "docs", F.coalesce("root", "node").alias("root"))
@@ -295,13 +338,20 @@ def similar_links(docs: DataFrame) -> DataFrame:
     # Then what keys share over the borders of components.
     mixed = keyed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     rows = keyed.join(write_table(mixed.select("key"), "mixed-keys"), "key")
+    # Each document's keys in order: a pair is proposed where the first key that both name has its bucket.
+    places = F.sort_array(F.collect_list(F.struct("key", "docs"))).alias("places")
+    rows = rows.groupBy("node").agg(F.min("root").alias("root"), places).join(sets.select("node", "n", "print"), "node")
+    early = F.transform(F.slice("places", 1, EARLY), lambda place: place["key"]).alias("early")
+    rows = rows.select("node", "root", "n", "print", early, F.explode("places").alias("place"))
+    rows = rows.select("node", "root", "n", "print", "early", "place.key", "place.docs")
     parts = F.when(F.col("docs") > GROUP_LIMIT, F.ceil(F.col("docs") * 2 / GROUP_LIMIT)).otherwise(1).cast("long")
-    own = F.pmod(F.xxhash64("node"), parts)
-    rows = rows.select("node", "root", "key", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), parts))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     bucket = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("bucket")
-    rows = rows.select("node", "root", bucket).join(sets.select("node", "n", "print"), "node")
+    side = F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side")
+    rows = rows.select("node", "root", "n", "print", "early", "key", side, bucket)
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
-    pairs = write_table(rows.mapInArrow(_pairs, "a long, b long").distinct(), "candidates")
+    pairs = write_table(rows.mapInArrow(giving_back(_pairs), "a long, b long").distinct(), "candidates")
     return links.union(_similar(pairs, docs))
 
 
@@ -324,7 +374,7 @@ def one_of_similar(docs: DataFrame) -> DataFrame:
     go together; an empty table gives no rows; columns of any name are kept.
     """
     named = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
-    nodes = write_table(named.mapInArrow(_nodes, "doc_id long, node long"), "nodes")
+    nodes = write_table(named.mapInArrow(giving_back(_nodes), "doc_id long, node long"), "nodes")
     first = nodes.groupBy("node").agg(F.min("doc_id").alias("first"))
     rooted = first.join(components(similar_links(docs)), "node", "left")
     rooted = write_table(rooted.select("node", "first", F.coalesce("root", "node").alias("root")), "roots")

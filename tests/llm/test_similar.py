@@ -2,8 +2,11 @@
 
 import math
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -99,6 +102,77 @@ def test_index_proposes_every_close_pair_of_different_components():
     assert got == want
 
 
+def family(rng, n):
+    """Prints close to each other."""
+    prints = np.tile(rng.integers(0, 1 << 63, similar.WORDS, dtype=np.uint64), (n, 1))
+    for row in prints:
+        for bit in rng.integers(0, 64 * similar.WORDS, 20).tolist():
+            row[bit // 64] ^= np.uint64(1 << bit % 64)
+    return prints
+
+
+def bucket_rows(key, side, nodes, prints, keys):
+    early = [sorted(keys[i])[: similar.EARLY] for i in nodes]
+    size = len(nodes)
+    cells = {"node": nodes, "root": nodes, "n": [50] * size, "print": [prints[i].tobytes() for i in nodes]}
+    kinds = {"early": pa.list_(pa.int64())}
+    cells |= {"early": early, "key": [key] * size, "side": side, "bucket": [key] * size}
+    return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k)) for k, v in cells.items()], names=list(cells))
+
+
+def proposed(batches):
+    return sorted((a, b) for out in similar._pairs(batches) for a, b in zip(*(c.to_pylist() for c in out.columns)))
+
+
+def test_pair_of_many_keys_is_proposed_once_and_of_any_key_at_all():
+    rng = np.random.default_rng(8)
+    prints = family(rng, 30)
+    keys = {i: set(rng.choice(40, rng.integers(1, 25), replace=False).tolist()) for i in range(30)}
+    batches = []
+    for key in range(40):
+        nodes = [i for i in keys if key in keys[i]]
+        batches += [bucket_rows(key, [-1] * len(nodes), nodes, prints, keys)] * bool(nodes)
+    got = proposed(batches)
+    want = {(a, b) for a in keys for b in keys if a < b and keys[a] & keys[b]}
+    assert set(got) == want
+    repeated = sum(len(keys[a] & keys[b]) for a, b in want)
+    least = {i: set(sorted(k)[: similar.EARLY]) for i, k in keys.items()}
+    assert all(got.count((a, b)) == 1 for a, b in want if least[a] & least[b])
+    assert len(got) < repeated / 3
+
+
+def test_parts_of_a_key_propose_each_pair_in_one_bucket():
+    prints, keys = family(np.random.default_rng(4), 6), {i: {7} for i in range(6)}
+    parts = [[0, 1, 2], [3, 4, 5]]
+    batches = [bucket_rows(7, [-1] * 3, part, prints, keys) for part in parts]
+    batches.append(bucket_rows(7, [0] * 3 + [1] * 3, parts[0] + parts[1], prints, keys))
+    got = [pair for batch in batches for pair in proposed([batch])]
+    assert sorted(got) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
+
+
+def test_index_opens_few_pairs_at_once():
+    prints = family(np.random.default_rng(6), similar.GROUP_LIMIT)
+    index = similar.WideIndex(np.zeros(len(prints), np.int64), prints, np.ones(len(prints), bool), np.arange(len(prints)))
+    tracemalloc.start()
+    found = sum(len(a) for a, _ in index.close_pairs(similar.RADIUS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == len(prints) * (len(prints) - 1) // 2
+    assert peak < 32 << 20
+
+
+def test_only_wanted_texts_leave_the_scan(spark):
+    texts = [f"text {i}" for i in range(400)]
+    nodes = [similar._node(t.encode()) for t in texts]
+    wanted = spark.createDataFrame([(n,) for n in nodes[:40]], "print long")
+    bits = similar.suspect_table(wanted, similar.SUSPECT_BITS)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    out = list(similar._with_nodes(SimpleNamespace(value=bits), similar.SUSPECT_BITS)([batch]))
+    got = {n: t for part in out for n, t in zip(*(c.to_pylist() for c in part.columns))}
+    assert {n: got.get(n) for n in nodes[:40]} == dict(zip(nodes, texts[:40]))
+    assert len(got) < 60
+
+
 def test_odd_rows(spark, odd, empty):
     kept = similar.one_of_similar(odd)
     assert kept.columns == odd.columns
