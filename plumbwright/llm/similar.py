@@ -43,7 +43,7 @@ COMMON = 200_000
 GROUP_LIMIT = 2048
 STAR_LIMIT = 4096
 # Keys that a document names in each of its buckets; more of them repeat fewer pairs.
-EARLY = 4
+EARLY = 16
 # Pairs of nodes that are compared at once; each may open ``FAN`` times ``FAN`` pairs below.
 OPEN = FRONTIER // FAN**2
 _NO_KEY = np.iinfo(np.int64).max
