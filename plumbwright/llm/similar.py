@@ -7,7 +7,9 @@ documents of one key few.  Keys deal the documents to buckets, and an index over
 the fingerprints of a bucket proposes pairs: neighbours in Gray order form nodes
 that hold the bits all of them share, and two nodes whose shared bits already
 differ too often are dropped with everything below.  Proposed pairs are settled
-by their whole sets.
+by their whole sets: one by one where they are few, and where a bucket proposes
+many for each of its documents, that crowd's sets meet in one task, which gives
+back no more links than it has documents.
 
 A fingerprint has 512 bits.  Sets of similarity 0.8 differ in each with a chance
 of 0.152, so in 78 bits with a standard deviation of about 8.5; the radius is five
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from plumbwright.llm.common import Rows, arrow_schema, giving_back, raw_texts, texts
 from plumbwright.llm.components import components
 from plumbwright.llm.exact_dedup import SUSPECT_BITS, suspect_table
-from plumbwright.llm.simhash_index import FAN, FRONTIER, gray_rank, shingle_hashes
+from plumbwright.llm.simhash_index import FAN, FRONTIER, _roots, _unite, gray_rank, shingle_hashes
 from plumbwright.sources.scratch import write_table
 
 SHINGLE = 5
@@ -42,6 +44,10 @@ COMMON = 200_000
 # Documents that one task compares with each other, and those held against one copy of a set.
 GROUP_LIMIT = 2048
 STAR_LIMIT = 4096
+# Pairs for each of some documents beyond which they are settled together, and the
+# shingles of a run of documents; at most two runs are settled at once.
+CROWDED = 8
+RUN_SHINGLES = 1 << 19
 # Keys that a document names in each of its buckets; more of them repeat fewer pairs.
 EARLY = 16
 # Pairs of nodes that are compared at once; each may open ``FAN`` times ``FAN`` pairs below.
@@ -53,6 +59,14 @@ _SETS = arrow_schema(
     {"node": pa.int64(), "n": pa.int64(), "print": pa.binary(), "keys": pa.list_(pa.int64())}
 )
 _WHOLE = arrow_schema({"node": pa.int64(), "hashes": pa.binary()})
+# A pair a, b; or in a, without b, a document of the crowd of the runs low and high of a bucket.
+_CROWD = ("bucket", "low", "high")
+_MEMBER = ("bucket", "key", "side", "root", "n", "print", "early")
+_PROPOSED = arrow_schema(
+    dict.fromkeys(("a", "b", "low", "high", "run", "bucket", "key", "side", "root", "n"), pa.int64())
+    | {"print": pa.binary(), "early": pa.list_(pa.int64())}
+)
+_PROPOSED_SQL = ", ".join(f"{f.name} long" for f in list(_PROPOSED)[:-2]) + ", print binary, early array<long>"
 
 
 def shingle_set(raw: bytes) -> np.ndarray:
@@ -210,52 +224,186 @@ def _met_before(key: np.ndarray, early_a: np.ndarray, early_b: np.ndarray) -> np
     return ((early_a[:, :, None] == early_b[:, None, :]).any(axis=2) & below).any(axis=1)
 
 
-def _distinct(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.unique(np.concatenate(found), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], names=["a", "b"])
+def _columns(rows: pa.Table, *names: str) -> list[np.ndarray]:
+    return [rows.column(name).to_numpy() for name in names]
 
 
-def _proposed(rows: pa.Table):
-    """Pairs of whole buckets that may be similar, of different components; the larger set first."""
-    bucket, key, side, node, root, n = (rows.column(c).to_numpy() for c in ("bucket", "key", "side", "node", "root", "n"))
-    prints, early = _prints(rows.column("print")), _early(rows.column("early").combine_chunks())
-    rank = gray_rank(prints[:, 0].astype(np.uint64))
+def _in_index_order(rows: pa.Table) -> pa.Table:
+    bucket, root = _columns(rows, "bucket", "root")
+    rank = gray_rank(_prints(rows.column("print"))[:, 0].astype(np.uint64))
     # Documents of one component stay together, at the place of the first of them.
     order = np.lexsort((rank, root, bucket))
     heads = np.flatnonzero((np.diff(bucket[order], prepend=bucket[order][:1] - 1) != 0) | (np.diff(root[order], prepend=root[order][:1] - 1) != 0))
     place = np.repeat(np.minimum.reduceat(rank[order], heads), np.diff([*heads, len(order)]))
-    order = order[np.lexsort((rank[order], root[order], place, bucket[order]))]
-    bucket, key, side, node, root, n, prints, early = (x[order] for x in (bucket, key, side, node, root, n, prints, early))
-    found, size = [], 0
+    return rows.take(pa.array(order[np.lexsort((rank[order], root[order], place, bucket[order]))]))
+
+
+def _near(rows: pa.Table):
+    """Positions of pairs of a bucket that may be similar, of different components, some at a time."""
+    bucket, key, side, root, n = _columns(rows, "bucket", "key", "side", "root", "n")
+    prints, early = _prints(rows.column("print")), _early(rows.column("early").combine_chunks())
     for a, b in WideIndex(bucket, prints, n > SMALL, root).close_pairs(RADIUS):
         # Where two parts of a key meet, the pairs within a part are left to its own bucket.
         near = _close(n[a], n[b], 0) & ((side[a] < 0) | (side[a] != side[b]))
         a, b = a[near], b[near]
         once = ~_met_before(key[a], early[a], early[b])
-        a, b = a[once], b[once]
-        swap = (n[a] < n[b]) | ((n[a] == n[b]) & (node[a] > node[b]))
-        found.append(np.stack([node[np.where(swap, b, a)], node[np.where(swap, a, b)]], axis=1))
-        size += len(a)
-        if size >= FRONTIER:
-            yield _distinct(found)
-            found, size = [], 0
-    if size:
-        yield _distinct(found)
-
-
-def _pairs(batches):
-    """Pairs of every bucket; rows come sorted by bucket, the last one of a batch waits for the next."""
+        yield a[once], b[once]
+
+
+def _runs(bucket: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Numbers, over all buckets, of runs of neighbours with about ``RUN_SHINGLES`` shingles each."""
+    starts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1))
+    before = np.cumsum(n) - n
+    within = (before - np.repeat(before[starts], np.diff([*starts, len(n)]))) // RUN_SHINGLES
+    return np.cumsum((np.diff(bucket, prepend=bucket[:1]) != 0) | (np.diff(within, prepend=within[:1]) != 0))
+
+
+class _Cells:
+    """Pairs of positions by the runs they are in; two runs, or one with itself, are a cell.
+
+    A cell is a crowd once it has over ``crowded`` pairs for each of its documents
+    that are in any pair; the pairs of crowds are not kept.
+    """
+
+    def __init__(self, run: np.ndarray, crowded: float):
+        self.crowded = crowded
+        self.run, self.paired = run, np.zeros(len(run), bool)
+        self.a = self.b = self.crowds = np.zeros(0, np.int64)
+        self.limit = FRONTIER
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.paired[a] = self.paired[b] = True
+        self.a, self.b = np.concatenate([self.a, a]), np.concatenate([self.b, b])
+        if len(self.a) >= self.limit:
+            self.sift()
+            self.limit = max(FRONTIER, 2 * len(self.a))
+
+    def sift(self) -> None:
+        cell = self.run[self.a] * len(self.run) + self.run[self.b]
+        cells, pairs = np.unique(cell, return_counts=True)
+        low, high = np.divmod(cells, len(self.run))
+        size = np.bincount(self.run, weights=self.paired)
+        new = cells[pairs > self.crowded * (size[low] + np.where(low < high, size[high], 0))]
+        self.crowds = np.union1d(self.crowds, new)
+        few = ~np.isin(cell, self.crowds)
+        self.a, self.b = self.a[few], self.b[few]
+
+    def members(self):
+        """Of every crowd its two runs and the positions of its documents."""
+        for low, high in zip(*(x.tolist() for x in np.divmod(self.crowds, len(self.run)))):
+            yield low, high, np.flatnonzero(((self.run == low) | (self.run == high)) & self.paired)
+
+
+def _larger_first(rows: pa.Table, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Distinct pairs of documents at the positions, the larger set first."""
+    node, n = _columns(rows, "node", "n")
+    swap = (n[a] < n[b]) | ((n[a] == n[b]) & (node[a] > node[b]))
+    pairs = np.unique(np.stack([node[np.where(swap, b, a)], node[np.where(swap, a, b)]], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], names=["a", "b"])
+
+
+def _starts(rows: pa.Table, names: tuple[str, ...]) -> np.ndarray:
+    """Where the groups of sorted rows begin."""
+    new = np.arange(len(rows)) == 0
+    for column in _columns(rows, *names):
+        new |= np.diff(column, prepend=column[:1]) != 0
+    return np.flatnonzero(new)
+
+
+def _whole_groups(batches, *names: str):
+    """Rows of whole groups; they come sorted, the last group of a batch waits for the next one."""
     waiting = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([waiting, table]) if waiting is not None else table
-        keys = table.column("bucket").to_numpy()
-        done = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+        done = int(_starts(table, names)[-1]) if len(table) else 0
         if done:
-            yield from _proposed(table.slice(0, done))
+            yield table.slice(0, done)
         waiting = table.slice(done)
     if waiting is not None and len(waiting):
-        yield from _proposed(waiting)
+        yield waiting
+
+
+def _pairs(batches, crowds: list[pa.Table] | None = None):
+    """Pairs of every bucket that may be similar; with a list ``crowds``, those of crowds go there by their documents."""
+    for rows in _whole_groups(batches, "bucket"):
+        rows = _in_index_order(rows)
+        cells = _Cells(_runs(*_columns(rows, "bucket", "n")), np.inf if crowds is None else CROWDED)
+        for a, b in _near(rows):
+            cells.add(a, b)
+        cells.sift()
+        if len(cells.a):
+            yield _larger_first(rows, cells.a, cells.b)
+        for low, high, some in cells.members():
+            of = {"a": rows.column("node"), "run": pa.array(cells.run)} | {name: rows.column(name) for name in _MEMBER}
+            members = pa.table(of).take(pa.array(some))
+            for name, run in (("low", low), ("high", high)):
+                members = members.append_column(name, pa.array(np.full(len(some), run)))
+            crowds.append(members)
+
+
+def _proposed(batches):
+    """Rows of ``_PROPOSED`` for every bucket."""
+    crowds: list[pa.Table] = []
+    for pairs in _pairs(batches, crowds):
+        yield _padded(pairs)
+        while crowds:
+            yield _padded(crowds.pop())
+    while crowds:
+        yield _padded(crowds.pop())
+
+
+def _padded(some: pa.Table | pa.RecordBatch) -> pa.RecordBatch:
+    """Rows with NULL in the columns that they lack."""
+    cells = []
+    for f in _PROPOSED:
+        cell = some.column(f.name) if f.name in some.schema.names else pa.nulls(len(some), f.type)
+        cells.append((cell.combine_chunks() if isinstance(cell, pa.ChunkedArray) else cell).cast(f.type))
+    return pa.RecordBatch.from_arrays(cells, schema=_PROPOSED)
+
+
+def _settle(rows: pa.Table) -> pa.RecordBatch:
+    """Links, fewer than documents, that connect those of a crowd whose sets are similar."""
+    rows = _in_index_order(rows)
+    node, root, run, low, high = _columns(rows, "node", "root", "run", "low", "high")
+    sets = [np.frombuffer(cell.as_py(), np.uint64) for cell in rows.column("hashes")]
+    n = np.array([len(s) for s in sets])
+    starts = np.cumsum(n) - n
+    # Shingles by numbers within the crowd.
+    values = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    del sets
+    held = np.zeros(values.max() + 1, np.int8)
+    parent = np.unique(root, return_index=True, return_inverse=True)
+    parent = parent[1][parent[2]]
+    for a, b in _near(rows):
+        # Pairs within one of two runs are left to that run's own cell.
+        here = (run[a] != run[b]) == (low[a] != high[a])
+        a, b = a[here], b[here]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        heads = np.flatnonzero(np.diff(a, prepend=-1))
+        for one, others in zip(a[heads].tolist(), np.split(b, heads[1:])):
+            others = others[_roots(parent, others) != _roots(parent, np.array([one]))]
+            if not len(others):
+                continue
+            own = values[starts[one] : starts[one] + n[one]]
+            held[own] = 1
+            ends = np.cumsum(n[others])
+            at = np.repeat(starts[others] - ends + n[others], n[others]) + np.arange(ends[-1])
+            common = np.add.reduceat(held[values[at]], ends - n[others], dtype=np.int64)
+            held[own] = 0
+            alike = others[9 * common >= 4 * (n[one] + n[others])]
+            _unite(parent, np.full(len(alike), one), alike)
+        parent = _roots(parent, np.arange(len(parent)))
+    linked = parent != np.arange(len(parent))
+    return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[parent[linked]])], names=["a", "b"])
+
+
+def _crowd_links(batches):
+    for rows in _whole_groups(batches, *_CROWD):
+        starts = _starts(rows, _CROWD)
+        for start, end in zip(starts, [*starts[1:], len(rows)]):
+            yield _settle(rows.slice(start, end - start))
 
 
 def _check_stars(batches):
@@ -297,18 +445,28 @@ def _with_nodes(table, size: int):
     return run
 
 
-def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The stored pairs whose whole sets are similar.
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
 
-    Only texts of pairs are moved: a table of fixed size tells the scan which texts
-    are not wanted, with more of them more texts pass, and a join drops those.  The
-    set of ``a`` is sent once for all its pairs, or once for each ``STAR_LIMIT`` of them.
+def _whole_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The sets of the texts in ``nodes``.
+
+    Only these texts are moved: a table of fixed size tells the scan which texts
+    are not wanted, with more of them more texts pass, and a join drops those.
     """
-    wanted = write_table(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    wanted = write_table(nodes.distinct(), "wanted")
     bits = docs.sparkSession.sparkContext.broadcast(suspect_table(wanted.withColumnRenamed("node", "print"), SUSPECT_BITS))
     some = texts(docs).mapInArrow(giving_back(_with_nodes(bits, SUSPECT_BITS)), "node long, text string")
     some = some.join(wanted, "node").dropDuplicates(["node"])
-    whole = write_table(some.mapInArrow(giving_back(_whole), "node long, hashes binary"), "whole-sets")
+    return write_table(some.mapInArrow(giving_back(_whole), "node long, hashes binary"), "whole-sets")
+
+
+def _similar(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """The stored pairs whose whole sets are similar.
+
+    The set of ``a`` is sent once for all its pairs, or once for each ``STAR_LIMIT`` of them.
+    """
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_LIMIT).alias("parts"))
     parts = write_table(parts, "star-parts")
     others = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
@@ -331,7 +489,7 @@ def similar_links(docs: DataFrame) -> DataFrame:
     sizes = [sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("print").alias(f"p{k}")) for k in "ab"]
     stars = stars.join(sizes[0], "a").join(sizes[1], "b")
     stars = write_table(stars.mapInArrow(giving_back(_close_stars), "a long, b long"), "stars")
-    links = _similar(stars, docs)
+    links = _similar(stars, _whole_sets(_ends(stars), docs))
     roots = write_table(components(links), "star-roots")
     keyed = keyed.join(roots, "node", "left").select("key", "node", "docs", F.coalesce("root", "node").alias("root"))
     keyed = write_table(keyed, "rooted-keys")
@@ -351,8 +509,14 @@ def similar_links(docs: DataFrame) -> DataFrame:
     side = F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side")
     rows = rows.select("node", "root", "n", "print", "early", "key", side, bucket)
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
-    pairs = write_table(rows.mapInArrow(giving_back(_pairs), "a long, b long").distinct(), "candidates")
-    return links.union(_similar(pairs, docs))
+    found = write_table(rows.mapInArrow(giving_back(_proposed), _PROPOSED_SQL), "proposed")
+    pairs = write_table(found.filter("b is not null").select("a", "b").distinct(), "candidates")
+    # A crowd's pairs aren't rows: its documents meet in one task.
+    crowds = found.filter("b is null").drop("b").withColumnRenamed("a", "node")
+    whole = _whole_sets(_ends(pairs).union(crowds.select("node")), docs)
+    rows = crowds.join(whole, "node").repartition(*_CROWD).sortWithinPartitions(*_CROWD)
+    settled = write_table(rows.mapInArrow(giving_back(_crowd_links), "a long, b long"), "crowd-links")
+    return links.union(_similar(pairs, whole)).union(settled)
 
 
 def _nodes(batches):

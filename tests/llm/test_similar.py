@@ -150,6 +150,85 @@ def test_parts_of_a_key_propose_each_pair_in_one_bucket():
     assert sorted(got) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
 
 
+def roots_of(nodes, links):
+    root = {i: i for i in nodes}
+    for a, b in links:
+        low, high = sorted((root[a], root[b]))
+        root = {i: low if r == high else r for i, r in root.items()}
+    return root
+
+
+def crowd(rng, size, n=50):
+    """Sets of ``n`` values that share most of them, of a similarity around 0.8."""
+    base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    sets = {}
+    for i in range(size):
+        sets[i] = base.copy()
+        other = rng.choice(n, rng.integers(0, 9), replace=False)
+        sets[i][other] = rng.integers(0, 1 << 63, len(other), dtype=np.uint64)
+    return {i: np.sort(values) for i, values in sets.items()}
+
+
+@pytest.mark.parametrize("shingles", [1 << 19, 1500])
+@pytest.mark.parametrize("at_once", [10_000, 37])
+def test_crowds_are_linked_as_by_all_pairs(monkeypatch, shingles, at_once):
+    monkeypatch.setattr(similar, "RUN_SHINGLES", shingles)
+    rng = np.random.default_rng(11)
+    sets = dict(enumerate([*crowd(rng, 110).values(), *crowd(rng, 12).values()]))
+    prints = {i: similar.wide_print(values) for i, values in sets.items()}
+    keys = {i: set(values[:11].tolist()) for i, values in sets.items()}
+    batches = []
+    for key in sorted(set().union(*keys.values())):
+        nodes = [i for i in sets if key in keys[i]]
+        # The commonest keys come in two parts, as if they had too many documents.
+        parts = [[i for i in nodes if i % 2 == k] for k in (0, 1)]
+        if len(nodes) > 70:
+            batches += [bucket_rows(key, [-1] * len(part), part, prints, keys) for part in parts]
+            batches.append(bucket_rows(key, [i % 2 for i in nodes], nodes, prints, keys))
+        elif len(nodes) > 1:
+            batches.append(bucket_rows(key, [-1] * len(nodes), nodes, prints, keys))
+    # Each of them is a bucket.
+    batches = [b.set_column(7, "bucket", pa.array([at] * len(b))) for at, b in enumerate(batches)]
+    rows = pa.Table.from_batches(batches).to_batches(max_chunksize=at_once)
+    found = pa.Table.from_batches(similar._proposed(rows)).to_pylist()
+    pairs = [(r["a"], r["b"]) for r in found if r["b"] is not None]
+    members = [{"node": r["a"], "hashes": sets[r["a"]].tobytes()} | r for r in found if r["b"] is None]
+    members.sort(key=lambda r: (r["bucket"], r["low"], r["high"]))
+    assert members
+    held = pa.Table.from_pylist(members, similar._PROPOSED.append(pa.field("node", pa.int64())).append(pa.field("hashes", pa.binary())))
+    links = [(r["a"], r["b"]) for out in similar._crowd_links(held.to_batches(max_chunksize=at_once)) for r in out.to_pylist()]
+    assert len(links) < len(members)
+    alike = lambda a, b: 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))
+    want = roots_of(sets, [(a, b) for a in sets for b in sets if a < b and alike(a, b)])
+    assert 1 < len(set(want.values())) < len(sets)
+    assert roots_of(sets, links + [pair for pair in pairs if alike(*pair)]) == want
+
+
+def test_rows_of_a_crowd_follow_its_documents(spark, make, monkeypatch):
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"x{rng.random()}"
+        rows.append((i, " ".join(words)))
+    counts = {}
+    write = similar.write_table
+
+    def counted(df, name):
+        out = write(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(similar, "write_table", counted)
+    got = similar.one_of_similar(make(rows))
+    want = kept_brute(rows)
+    assert 1 < len(want) and sorted(r["doc_id"] for r in got.collect()) == want
+    # All pairs are 12,720.
+    assert sum(counts.get(name, 0) for name in ("stars", "proposed", "candidates")) < 4_000
+
+
 def test_index_opens_few_pairs_at_once():
     prints = family(np.random.default_rng(6), similar.GROUP_LIMIT)
     index = similar.WideIndex(np.zeros(len(prints), np.int64), prints, np.ones(len(prints), bool), np.arange(len(prints)))
